@@ -1,0 +1,131 @@
+"""Windows that re-fire on late rows, with a late side output (L1, L2, T2, T3).
+
+Spark's own append mode emits a window once and discards late rows without
+a trace. The original job instead keeps a window open for an allowed
+lateness after it first fires, re-emits its ranking on every late row, and
+sends rows too late for all their windows to a side output. This module
+does that with ``foreachBatch``, one micro-batch at a time:
+
+1. the watermark is the running maximum event time of the earlier batches
+   minus the disorder bound (read from ``maxima/``; this batch's running
+   maximum is written there for the next one);
+2. kept rows late for all their windows go to ``late/batch_id=N``;
+3. the others are counted in their still-open windows (``accepted_counts``)
+   and written as deltas to ``counts/batch_id=N``;
+4. the windows this batch touched are re-ranked from the summed deltas of
+   all batches, and written to ``rankings/batch_id=N``; reading skips
+   windows past ``retention`` (T3), whose counts can no longer change.
+
+Every write overwrites only its own ``batch_id`` folder, so a retried batch
+(after a lost executor or a restart from the checkpoint) rewrites the same
+result. The state lives in the shared checkpoint folder. The result equals
+the replay form (``clickstats.operators.late``) for the same batches.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from clickstats.operators.late import accepted_counts, accepted_windows
+from clickstats.operators.rank import top_n
+from clickstats.operators.windows import duration_ms
+
+
+def expire_windows(counts: DataFrame, watermark_ms: Column | int | None, retention_ms: int) -> DataFrame:
+    """Drop windows whose end is ``retention`` or more behind the watermark (T3).
+
+    A null watermark (nothing seen yet) expires nothing.
+    """
+    if watermark_ms is None:
+        return counts
+    wm = watermark_ms if isinstance(watermark_ms, Column) else F.lit(watermark_ms)
+    return counts.where(wm.isNull() | (F.col("window_end") + F.lit(retention_ms) > wm))
+
+
+class LateAwareCounts:
+    """``foreachBatch`` function keeping re-firing window counts and rankings.
+
+    The batch rows need ``time_col`` (epoch ms) and ``key``; ``keep`` is the
+    job's filter, applied after the watermark is taken from all rows.
+    """
+
+    def __init__(self, state_dir: str, key: str, size: str, slide: str, delay: str, lateness: str,
+                 keep: Column, n: int = 5, retention: str | None = None, time_col: str = "event_ms",
+                 count_col: str = "count"):
+        self.state_dir = state_dir.rstrip("/")
+        self.key, self.size, self.slide, self.lateness = key, size, slide, lateness
+        self.size_ms, self.slide_ms = duration_ms(size), duration_ms(slide)
+        self.delay_ms, self.lateness_ms = duration_ms(delay), duration_ms(lateness)
+        self.retention_ms = duration_ms(retention) if retention else self.lateness_ms
+        self.keep, self.n, self.time_col, self.count_col = keep, n, time_col, count_col
+
+    def _path(self, table: str, batch_id: int | None = None) -> str:
+        p = f"{self.state_dir}/{table}"
+        return p if batch_id is None else f"{p}/batch_id={batch_id}"
+
+    def _earlier_maxima(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The running maximum left by the previous batch (one row), if any."""
+        try:
+            return spark.read.parquet(self._path("maxima", batch_id - 1))
+        except AnalysisException:
+            pass
+        try:  # batch ids with gaps: fall back to all earlier batches
+            return spark.read.parquet(self._path("maxima")).where(F.col("batch_id") < batch_id)
+        except AnalysisException:
+            return None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            self._process(spark, batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+        # Nothing is collected to the driver: the earlier batches' maximum
+        # enters the plans as a scalar subquery.
+        c = F.col
+        earlier = self._earlier_maxima(spark, batch_id)
+        before = (F.lit(None).cast("bigint") if earlier is None
+                  else earlier.select(F.max("running_max")).scalar())
+        watermark = before - F.lit(self.delay_ms)
+        (batch.agg(F.max(self.time_col).alias("_m"))
+         .select(F.greatest(c("_m"), before).alias("running_max"))
+         .write.mode("overwrite").parquet(self._path("maxima", batch_id)))
+
+        kept = batch.where(self.keep).withColumn("watermark_ms", watermark)
+        first, last = accepted_windows(self.size_ms, self.slide_ms, self.lateness_ms, self.time_col)
+        is_late = F.coalesce(first > last, F.lit(False))
+        kept.where(is_late).drop("watermark_ms").write.mode("overwrite").parquet(self._path("late", batch_id))
+
+        deltas = accepted_counts(kept.where(~is_late), self.key, self.size, self.slide, self.lateness,
+                                 self.time_col, self.count_col)
+        deltas.write.mode("overwrite").parquet(self._path("counts", batch_id))
+
+        touched = spark.read.parquet(self._path("counts", batch_id)).select("window_end").distinct()
+        all_counts = expire_windows(spark.read.parquet(self._path("counts")), watermark, self.retention_ms)
+        totals = (all_counts.join(touched, "window_end", "left_semi")
+                  .groupBy(self.key, "window_end").agg(F.sum(self.count_col).alias(self.count_col)))
+        (top_n(totals, self.key, self.n, count_col=self.count_col)
+         .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
+
+
+def final_counts(spark: SparkSession, state_dir: str, key: str, count_col: str = "count") -> DataFrame:
+    """Current count of every window: the sum of its deltas over all batches."""
+    return (spark.read.parquet(f"{state_dir.rstrip('/')}/counts")
+            .groupBy(key, "window_end").agg(F.sum(count_col).alias(count_col)))
+
+
+def latest_rankings(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Last ranking emitted for each window (the one after its last re-firing)."""
+    r = spark.read.parquet(f"{state_dir.rstrip('/')}/rankings")
+    last = r.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
+    return r.join(last, ["window_end", "batch_id"], "left_semi")
+
+
+def late_rows(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The side output: rows too late for all their windows."""
+    return spark.read.parquet(f"{state_dir.rstrip('/')}/late")
