@@ -126,6 +126,11 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     two), so each ``(key, block)`` holds all intervals it needs and its
     running sum is exact without looking at other blocks. One shuffle on
     ``(key, block)``; a hot key is spread over its blocks.
+
+    That shuffle is small (pane counts) but its output expands to every
+    window, so it gets a fixed partition count (``spark.sql.shuffle.partitions``)
+    instead of one sized by adaptive execution from its small input, which
+    would leave the whole expansion to one task.
     """
     span = max(max_span, 1)
     block = span * max(block_windows, 1)
@@ -135,7 +140,8 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     per_block = intervals.select(
         *keys, first_col, last_col, weight_col,
         F.explode(F.sequence(first_blk, last_blk)).alias("_blk"))
-    deltas = (per_block.repartition(*[c(k) for k in keys], c("_blk"))
+    parts = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deltas = (per_block.repartition(parts, *[c(k) for k in keys], c("_blk"))
               .select(*keys, "_blk", F.explode(F.array(
                   F.struct(c(first_col).alias("e"), c(weight_col).alias("d")),
                   F.struct((c(last_col) + 1).alias("e"), (-c(weight_col)).alias("d")))).alias("_x"))
