@@ -1,25 +1,34 @@
-"""Windows that re-fire on late rows, with a late side output (L1, L2, T2, T3).
+"""Streaming window counts and rankings with allowed lateness and a late side
+output (L1, L2, T2, T3), one micro-batch at a time in ``foreachBatch``.
 
-Spark's own append mode emits a window once and discards late rows without
-a trace. The original job instead keeps a window open for an allowed
-lateness after it first fires, re-emits its ranking on every late row, and
-sends rows too late for all their windows to a side output. This module
-does that with ``foreachBatch``, one micro-batch at a time:
+Spark's own append mode emits a window once and discards late rows without a
+trace, and expands every row size/slide times. This sink instead follows the
+original job: a window stays open for an allowed lateness after its end,
+re-emits its ranking when late rows update it (``emit="update"``), and rows
+too late for all their windows go to a side output. With ``emit="final"``
+each window is ranked once, when it closes. Per micro-batch N:
 
 1. the watermark is the running maximum event time of the earlier batches
-   minus the disorder bound (read from ``maxima/``; this batch's running
-   maximum is written there for the next one);
+   minus the disorder bound (``maxima/``; batch N writes its own running
+   maximum there for batch N+1);
 2. kept rows late for all their windows go to ``late/batch_id=N``;
-3. the others are counted in their still-open windows (``accepted_counts``)
+3. the others are counted in their still-open windows (pane counts turned
+   into window counts, see ``accepted_counts``; nothing is expanded per row)
    and written as deltas to ``counts/batch_id=N``;
-4. the windows this batch touched are re-ranked from the summed deltas of
-   all batches, and written to ``rankings/batch_id=N``; reading skips
-   windows past ``retention`` (T3), whose counts can no longer change.
-
-Every write overwrites only its own ``batch_id`` folder, so a retried batch
-(after a lost executor or a restart from the checkpoint) rewrites the same
-result. The state lives in the shared checkpoint folder. The result equals
-the replay form (``clickstats.operators.late``) for the same batches.
+4. the open-window snapshot of batch N-1 plus these deltas gives the current
+   counts; windows that can take no more rows (``end - 1 + retention <=``
+   the new watermark, T3) leave the snapshot for ``closed/batch_id=N``, the
+   rest is the snapshot ``state/batch_id=N``;
+5. rankings go to ``rankings/batch_id=N``: the windows this batch touched
+   (update) or the windows that closed (final).
+
+Reads are bounded by the open windows, not by the stream's history. Every
+write replaces only its own ``batch_id`` folder and depends only on batch N
+and the files of batch N-1, so a retried batch (lost executor, restart from
+the checkpoint) writes the same result. Nothing is collected to the driver:
+the earlier maximum enters the plans as a scalar subquery. The state lives
+under the shared checkpoint folder. Results equal the replay form in
+``clickstats.operators.late`` for the same batches.
 """
 
 from __future__ import annotations
@@ -34,45 +43,49 @@ from clickstats.operators.windows import duration_ms
 
 
 def expire_windows(counts: DataFrame, watermark_ms: Column | int | None, retention_ms: int) -> DataFrame:
-    """Drop windows whose end is ``retention`` or more behind the watermark (T3).
-
-    A null watermark (nothing seen yet) expires nothing.
-    """
+    """Keep the windows that may still change: ``end - 1 + retention > watermark``
+    (T3). A null watermark (nothing seen yet) expires nothing."""
     if watermark_ms is None:
         return counts
     wm = watermark_ms if isinstance(watermark_ms, Column) else F.lit(watermark_ms)
-    return counts.where(wm.isNull() | (F.col("window_end") + F.lit(retention_ms) > wm))
+    return counts.where(wm.isNull() | (F.col("window_end") - 1 + F.lit(retention_ms) > wm))
 
 
-class LateAwareCounts:
-    """``foreachBatch`` function keeping re-firing window counts and rankings.
+class WindowCountsSink:
+    """``foreachBatch`` function keeping window counts, rankings and late rows.
 
-    The batch rows need ``time_col`` (epoch ms) and ``key``; ``keep`` is the
-    job's filter, applied after the watermark is taken from all rows.
+    Batch rows need ``time_col`` (epoch ms) and ``key``; ``keep`` is the job's
+    filter, applied after the watermark is taken from all rows.
     """
 
-    def __init__(self, state_dir: str, key: str, size: str, slide: str, delay: str, lateness: str,
-                 keep: Column, n: int = 5, retention: str | None = None, time_col: str = "event_ms",
+    def __init__(self, state_dir: str, key: str, size: str, slide: str, delay: str = "0 seconds",
+                 lateness: str = "0 seconds", keep: Column | None = None, n: int = 5,
+                 emit: str = "update", retention: str | None = None, time_col: str = "event_ms",
                  count_col: str = "count"):
+        if emit not in ("update", "final"):
+            raise ValueError("emit must be 'update' or 'final'")
         self.state_dir = state_dir.rstrip("/")
         self.key, self.size, self.slide, self.lateness = key, size, slide, lateness
         self.size_ms, self.slide_ms = duration_ms(size), duration_ms(slide)
         self.delay_ms, self.lateness_ms = duration_ms(delay), duration_ms(lateness)
-        self.retention_ms = duration_ms(retention) if retention else self.lateness_ms
-        self.keep, self.n, self.time_col, self.count_col = keep, n, time_col, count_col
+        self.retention_ms = max(duration_ms(retention) if retention else 0, self.lateness_ms)
+        self.keep = F.lit(True) if keep is None else keep
+        self.n, self.emit, self.time_col, self.count_col = n, emit, time_col, count_col
 
     def _path(self, table: str, batch_id: int | None = None) -> str:
         p = f"{self.state_dir}/{table}"
         return p if batch_id is None else f"{p}/batch_id={batch_id}"
 
-    def _earlier_maxima(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The running maximum left by the previous batch (one row), if any."""
+    def _read_previous(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
+        """``table`` as left by the latest batch before ``batch_id``, if any."""
         try:
-            return spark.read.parquet(self._path("maxima", batch_id - 1))
+            return spark.read.parquet(self._path(table, batch_id - 1))
         except AnalysisException:
             pass
-        try:  # batch ids with gaps: fall back to all earlier batches
-            return spark.read.parquet(self._path("maxima")).where(F.col("batch_id") < batch_id)
+        try:  # gaps in batch ids: take the latest earlier batch
+            t = spark.read.parquet(self._path(table)).where(F.col("batch_id") < batch_id)
+            last = t.select(F.max("batch_id")).scalar()
+            return t.where(F.col("batch_id") == last).drop("batch_id")
         except AnalysisException:
             return None
 
@@ -85,38 +98,54 @@ class LateAwareCounts:
             batch.unpersist()
 
     def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        # Nothing is collected to the driver: the earlier batches' maximum
-        # enters the plans as a scalar subquery.
-        c = F.col
-        earlier = self._earlier_maxima(spark, batch_id)
+        c, k, cnt = F.col, self.key, self.count_col
+        earlier = self._read_previous(spark, "maxima", batch_id)
         before = (F.lit(None).cast("bigint") if earlier is None
                   else earlier.select(F.max("running_max")).scalar())
-        watermark = before - F.lit(self.delay_ms)
         (batch.agg(F.max(self.time_col).alias("_m"))
          .select(F.greatest(c("_m"), before).alias("running_max"))
          .write.mode("overwrite").parquet(self._path("maxima", batch_id)))
+        old_wm = before - F.lit(self.delay_ms)
+        new_wm = (spark.read.parquet(self._path("maxima", batch_id)).select(F.max("running_max")).scalar()
+                  - F.lit(self.delay_ms))
 
-        kept = batch.where(self.keep).withColumn("watermark_ms", watermark)
+        kept = batch.where(self.keep).withColumn("watermark_ms", old_wm)
         first, last = accepted_windows(self.size_ms, self.slide_ms, self.lateness_ms, self.time_col)
         is_late = F.coalesce(first > last, F.lit(False))
         kept.where(is_late).drop("watermark_ms").write.mode("overwrite").parquet(self._path("late", batch_id))
+        (accepted_counts(kept.where(~is_late), k, self.size, self.slide, self.lateness, self.time_col, cnt)
+         .write.mode("overwrite").parquet(self._path("counts", batch_id)))
+        deltas = spark.read.parquet(self._path("counts", batch_id))
+
+        previous = self._read_previous(spark, "state", batch_id)
+        current = deltas if previous is None else previous.select(k, "window_end", cnt).unionByName(deltas)
+        current = current.groupBy(k, "window_end").agg(F.sum(cnt).alias(cnt)).persist()
+        try:
+            is_open = c("window_end") - 1 + F.lit(self.retention_ms) > new_wm
+            still_open = F.coalesce(is_open, F.lit(True))
+            current.where(~still_open).write.mode("overwrite").parquet(self._path("closed", batch_id))
+            current.where(still_open).write.mode("overwrite").parquet(self._path("state", batch_id))
+            if self.emit == "update":
+                ranked = current.join(deltas.select("window_end").distinct(), "window_end", "left_semi")
+            else:
+                ranked = current.where(~still_open)
+            (top_n(ranked, k, self.n, count_col=cnt)
+             .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
+        finally:
+            current.unpersist()
 
-        deltas = accepted_counts(kept.where(~is_late), self.key, self.size, self.slide, self.lateness,
-                                 self.time_col, self.count_col)
-        deltas.write.mode("overwrite").parquet(self._path("counts", batch_id))
 
-        touched = spark.read.parquet(self._path("counts", batch_id)).select("window_end").distinct()
-        all_counts = expire_windows(spark.read.parquet(self._path("counts")), watermark, self.retention_ms)
-        totals = (all_counts.join(touched, "window_end", "left_semi")
-                  .groupBy(self.key, "window_end").agg(F.sum(self.count_col).alias(self.count_col)))
-        (top_n(totals, self.key, self.n, count_col=self.count_col)
-         .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
+# Kept for the name used in the job descriptions: re-firing counts are the update form.
+LateAwareCounts = WindowCountsSink
 
 
 def final_counts(spark: SparkSession, state_dir: str, key: str, count_col: str = "count") -> DataFrame:
-    """Current count of every window: the sum of its deltas over all batches."""
-    return (spark.read.parquet(f"{state_dir.rstrip('/')}/counts")
-            .groupBy(key, "window_end").agg(F.sum(count_col).alias(count_col)))
+    """Count of every window so far: closed windows plus the latest open snapshot."""
+    root = state_dir.rstrip("/")
+    closed = spark.read.parquet(f"{root}/closed").select(key, "window_end", count_col)
+    state = spark.read.parquet(f"{root}/state")
+    latest = state.select(F.max("batch_id")).scalar()
+    return closed.unionByName(state.where(F.col("batch_id") == latest).select(key, "window_end", count_col))
 
 
 def latest_rankings(spark: SparkSession, state_dir: str) -> DataFrame:

@@ -144,3 +144,32 @@ def test_late_aware_stream_equals_replay_on_table(spark, scratch):
     assert got == want and len(want) > 1000
     assert (sorted(r.event_ms for r in late_counts.late_rows(spark, state).collect())
             == sorted(r.event_ms for r in split.late.collect()))
+
+
+@pytest.mark.parametrize("slide", ["5 minutes", "3 seconds"])
+def test_app_hot_items_final_equals_batch(spark, scratch, slide):
+    from clickstats.streaming.apps import start_hot_items
+    vals = _sf_small_lines(spark)
+    chunks = [vals[j * len(vals) // 3:(j + 1) * len(vals) // 3] for j in range(3)]
+    chunks.append(["1,999999,0,pv,4102444800"])  # far-future sentinel closes every window
+    folder = write_batches(f"{scratch}/in", chunks)
+    lines = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
+    q = start_hot_items(lines, f"{scratch}/out", f"{scratch}/ckpt", slide=slide, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = {(r.item_id, r.window_end, r["count"], r.rank) for r in spark.read.parquet(f"{scratch}/out/rankings")
+           .collect()}
+    rows = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
+    want = {(r.item_id, r.window_end, r["count"], r.rank) for r in jobs.hot_items(rows, "1 hour", slide).collect()}
+    assert got == want and len(want) > 1000
+
+
+def test_app_page_views_to_parquet(spark, scratch):
+    from clickstats.streaming.apps import start_page_views
+    vals = _sf_small_lines(spark)
+    folder = write_batches(f"{scratch}/in", [vals[: len(vals) // 2], vals[len(vals) // 2:],
+                                             ["1,999999,0,pv,4102444800"]])
+    lines = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
+    start_page_views(lines, f"{scratch}/out", f"{scratch}/ckpt", trigger={"availableNow": True}).awaitTermination(300)
+    got = {(r.pv, r.window_end, r["count"]) for r in spark.read.parquet(f"{scratch}/out").collect()}
+    rows = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
+    assert got == {(r.pv, r.window_end, r["count"]) for r in jobs.page_views(rows).collect()}
