@@ -13,12 +13,11 @@ each window is ranked once, when it closes. Per micro-batch N:
    maximum there for batch N+1);
 2. kept rows late for all their windows go to ``late/batch_id=N``;
 3. the others are counted in their still-open windows (pane counts turned
-   into window counts, see ``accepted_counts``; nothing is expanded per row)
-   and written as deltas to ``counts/batch_id=N``;
-4. the open-window snapshot of batch N-1 plus these deltas gives the current
-   counts; windows that can take no more rows (``end - 1 + retention <=``
-   the new watermark, T3) leave the snapshot for ``closed/batch_id=N``, the
-   rest is the snapshot ``state/batch_id=N``;
+   into window counts, see ``accepted_counts``; nothing is expanded per row);
+4. the open windows of batch N-1 plus these counts give the current counts,
+   written to ``windows/batch_id=N`` with ``open`` false for windows that can
+   take no more rows (``end - 1 + retention <=`` the new watermark, T3): they
+   are final and batch N+1 reads only the open ones;
 5. rankings go to ``rankings/batch_id=N``: the windows this batch touched
    (update) or the windows that closed (final).
 
@@ -102,37 +101,32 @@ class WindowCountsSink:
         earlier = self._read_previous(spark, "maxima", batch_id)
         before = (F.lit(None).cast("bigint") if earlier is None
                   else earlier.select(F.max("running_max")).scalar())
-        (batch.agg(F.max(self.time_col).alias("_m"))
-         .select(F.greatest(c("_m"), before).alias("running_max"))
-         .write.mode("overwrite").parquet(self._path("maxima", batch_id)))
+        running = F.greatest(batch.select(F.max(self.time_col)).scalar(), before)
+        batch.sparkSession.range(1).select(running.alias("running_max")).write.mode("overwrite").parquet(
+            self._path("maxima", batch_id))
         old_wm = before - F.lit(self.delay_ms)
-        new_wm = (spark.read.parquet(self._path("maxima", batch_id)).select(F.max("running_max")).scalar()
-                  - F.lit(self.delay_ms))
+        new_wm = running - F.lit(self.delay_ms)
 
         kept = batch.where(self.keep).withColumn("watermark_ms", old_wm)
         first, last = accepted_windows(self.size_ms, self.slide_ms, self.lateness_ms, self.time_col)
         is_late = F.coalesce(first > last, F.lit(False))
         kept.where(is_late).drop("watermark_ms").write.mode("overwrite").parquet(self._path("late", batch_id))
-        (accepted_counts(kept.where(~is_late), k, self.size, self.slide, self.lateness, self.time_col, cnt)
-         .write.mode("overwrite").parquet(self._path("counts", batch_id)))
-        deltas = spark.read.parquet(self._path("counts", batch_id))
+        deltas = accepted_counts(kept.where(~is_late), k, self.size, self.slide, self.lateness, self.time_col, cnt)
 
-        previous = self._read_previous(spark, "state", batch_id)
-        current = deltas if previous is None else previous.select(k, "window_end", cnt).unionByName(deltas)
-        current = current.groupBy(k, "window_end").agg(F.sum(cnt).alias(cnt)).persist()
-        try:
-            is_open = c("window_end") - 1 + F.lit(self.retention_ms) > new_wm
-            still_open = F.coalesce(is_open, F.lit(True))
-            current.where(~still_open).write.mode("overwrite").parquet(self._path("closed", batch_id))
-            current.where(still_open).write.mode("overwrite").parquet(self._path("state", batch_id))
-            if self.emit == "update":
-                ranked = current.join(deltas.select("window_end").distinct(), "window_end", "left_semi")
-            else:
-                ranked = current.where(~still_open)
-            (top_n(ranked, k, self.n, count_col=cnt)
-             .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
-        finally:
-            current.unpersist()
+        previous = self._read_previous(spark, "windows", batch_id)
+        current = deltas.withColumn("_touched", F.lit(True))
+        if previous is not None:
+            current = (previous.where(c("open")).select(k, "window_end", cnt, F.lit(False).alias("_touched"))
+                       .unionByName(current))
+        still_open = F.coalesce(c("window_end") - 1 + F.lit(self.retention_ms) > new_wm, F.lit(True))
+        (current.groupBy(k, "window_end").agg(F.sum(cnt).alias(cnt), F.max("_touched").alias("touched"))
+         .withColumn("open", still_open)
+         .write.mode("overwrite").parquet(self._path("windows", batch_id)))
+
+        windows = spark.read.parquet(self._path("windows", batch_id))
+        ranked = windows.where(c("touched") if self.emit == "update" else ~c("open"))
+        (top_n(ranked.select(k, "window_end", cnt), k, self.n, count_col=cnt)
+         .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
 
 
 # Kept for the name used in the job descriptions: re-firing counts are the update form.
@@ -140,12 +134,12 @@ LateAwareCounts = WindowCountsSink
 
 
 def final_counts(spark: SparkSession, state_dir: str, key: str, count_col: str = "count") -> DataFrame:
-    """Count of every window so far: closed windows plus the latest open snapshot."""
-    root = state_dir.rstrip("/")
-    closed = spark.read.parquet(f"{root}/closed").select(key, "window_end", count_col)
-    state = spark.read.parquet(f"{root}/state")
-    latest = state.select(F.max("batch_id")).scalar()
-    return closed.unionByName(state.where(F.col("batch_id") == latest).select(key, "window_end", count_col))
+    """Count of every window so far: windows closed in any batch, plus the
+    windows still open after the latest batch."""
+    w = spark.read.parquet(f"{state_dir.rstrip('/')}/windows")
+    latest = w.select(F.max("batch_id")).scalar()
+    return (w.where(~F.col("open") | (F.col("batch_id") == latest))
+            .select(key, "window_end", count_col))
 
 
 def latest_rankings(spark: SparkSession, state_dir: str) -> DataFrame:

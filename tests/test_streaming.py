@@ -128,8 +128,8 @@ def test_late_aware_stream_equals_replay_fixture(spark, scratch):
 
 def test_late_aware_stream_equals_replay_on_table(spark, scratch):
     lines = standin.access_log_lines(load_table(spark, SF_SMALL, "events"), with_arrival=True)
-    # Coarser arrival batches (1 day) keep the number of micro-batches small for a test.
-    coarse = lines.select("value", F.floor(F.col("batch_id") / 144).cast("bigint").alias("batch_id"))
+    # Coarser arrival batches (2 days) keep the number of micro-batches small for a test.
+    coarse = lines.select("value", F.floor(F.col("batch_id") / 288).cast("bigint").alias("batch_id"))
     data = coarse.collect()
     ids = sorted({r.batch_id for r in data})
     batches = [[r.value for r in data if r.batch_id == b] for b in ids]
