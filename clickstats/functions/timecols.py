@@ -22,8 +22,13 @@ def ntz_epoch_micros(col: str) -> Column:
 
 
 def floor_div(col: Column, divisor: int) -> Column:
-    """Integer floor division (correct for negative values too)."""
-    return ((col - F.pmod(col, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
+    """Exact integer floor division of a bigint by a positive constant.
+
+    Integral ``div`` truncates toward zero; one less when the remainder is
+    negative gives the floor. No floating point, no overflow.
+    """
+    d = F.lit(divisor)
+    return F.call_function("div", col, d) - F.when(col % d < 0, F.lit(1)).otherwise(F.lit(0))
 
 
 def millis_to_ntz(col: Column) -> Column:

@@ -49,3 +49,17 @@ def test_running_max_two_levels_matches_brute_force(spark):
     for b, _ in data:
         earlier = [v for bb, v in data if bb < b]
         assert got[b] == (max(earlier) if earlier else None)
+
+
+def test_on_time_plus_late_is_all_kept_rows(spark):
+    from conftest import SF_SMALL
+    from clickstats.plans import registered as R
+    from clickstats.plans.jobs import is_get
+    rows = R.arrival_log_rows(spark, SF_SMALL)
+    split = split_late(rows, is_get(), "10 minutes", "5 seconds", "1 second", "1 minute")
+    kept = rows.where(is_get()).select("event_ms", "url", "batch_id")
+    on_time, late = split.on_time.select(kept.columns), split.late.select(kept.columns)
+    assert late.count() > 0
+    assert on_time.unionByName(late).exceptAll(kept).count() == 0
+    assert kept.exceptAll(on_time.unionByName(late)).count() == 0
+    assert on_time.join(late, kept.columns, "left_semi").count() == 0
