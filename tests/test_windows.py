@@ -77,3 +77,11 @@ def test_durations():
     assert duration_ms("1 hour") == H and duration_ms("3 seconds") == 3000 and duration_ms("10 min") == 10 * M
     with pytest.raises(ValueError):
         duration_ms("soon")
+
+
+def test_sliding_without_key(spark):
+    rnd = random.Random(5)
+    items = [("all", rnd.randrange(0, 5 * H)) for _ in range(200)]
+    df = rows(spark, items).drop("key")
+    got = {("all", r.window_end, r["count"]) for r in windowed_count(df, None, "1 hour", "5 minutes").collect()}
+    assert got == brute(items, H, 5 * M)
