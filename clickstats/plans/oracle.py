@@ -132,6 +132,16 @@ _REPORT = f"""
   GROUP BY window_end
 """
 
+_URL_REPORT = f"""
+  SELECT window_end,
+         '=============================' || {NL} || '窗口关闭时间：' || {_java_ts('window_end')} || {NL}
+         || string_agg('topN' || CAST("rank" AS VARCHAR) || 'url:' || url
+                       || '页面热度：' || CAST(url_count AS VARCHAR) || {NL}, '' ORDER BY "rank")
+         || '=============================' || {NL} AS report
+  FROM ({_top(_sliding(_GET, "url", 5, 120, "url_count"), "url", "url_count")}) t
+  GROUP BY window_end
+"""
+
 ORACLE: dict[str, str] = {
     "ingest_behavior": _BEHAVIOR,
     "ingest_behavior_rejects": _BEHAVIOR_REJECTS,
@@ -160,6 +170,7 @@ ORACLE: dict[str, str] = {
 """,
     "hot_urls_top5": _top(_sliding(_GET, "url", 5, 120, "url_count"), "url", "url_count"),
     "hot_items_report": _REPORT,
+    "hot_urls_report": _URL_REPORT,
     "late_rows": f"SELECT {_LOG_OUT} FROM ({_ARRIVED}) a WHERE {_FULLY_LATE}",
     "on_time_rows": f"SELECT {_LOG_OUT} FROM ({_ARRIVED}) a WHERE NOT {_FULLY_LATE}",
     "hot_urls_updated": _top(_ACCEPTED, "url", "url_count"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickstats.operators import late
 from clickstats.operators.ingest import ingest_access_log, ingest_behavior
-from clickstats.operators.rank import HOT_ITEMS_LAYOUT, render_report, top_n
+from clickstats.operators.rank import HOT_ITEMS_LAYOUT, HOT_URLS_LAYOUT, render_report, top_n
 from clickstats.plans import jobs
 from clickstats.sources import standin
 from clickstats.sources.lines import decode_kafka
@@ -150,6 +150,12 @@ def q_hot_items_report(spark, sf_dir):
     return render_report(top, "item_id", HOT_ITEMS_LAYOUT)
 
 
+def q_hot_urls_report(spark, sf_dir):
+    """The text report of the top 5 URLs of each 10 min / 5 s window."""
+    top = jobs.hot_urls(log_rows(spark, sf_dir), "10 minutes", "5 seconds", 5)
+    return render_report(top, "url", HOT_URLS_LAYOUT, count_col="url_count")
+
+
 # --- late data (L1, L2, T2 with re-firing, T3) -------------------------------
 
 def q_late_rows(spark, sf_dir):
@@ -186,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_kafka": q_hot_items_kafka,
     "hot_urls_top5": q_hot_urls_top5,
     "hot_items_report": q_hot_items_report,
+    "hot_urls_report": q_hot_urls_report,
     "late_rows": q_late_rows,
     "on_time_rows": q_on_time_rows,
     "hot_urls_updated": q_hot_urls_updated,
