@@ -124,6 +124,13 @@ def test_late_aware_stream_equals_replay_fixture(spark, scratch):
     assert got == {(1, 300): 3, (1, 600): 4, (1, 900): 2, (1, 1200): 1, (2, 300): 1, (2, 600): 2,
                    (2, 900): 2, (2, 1200): 1, (26, 5100): 1, (26, 5400): 2, (26, 5700): 1}
     assert sorted(r.ts_sec for r in late_counts.late_rows(spark, state).collect()) == [100, 650]
+    # the last ranking emitted for each window is the top 5 of its final counts
+    from clickstats.operators.rank import top_n
+    last = {(r.item_id, r.window_end, r["count"], r.rank) for r in
+            late_counts.latest_rankings(spark, state).collect()}
+    final = {(r.item_id, r.window_end, r["count"], r.rank) for r in
+             top_n(late_counts.final_counts(spark, state, "item_id"), "item_id", 5).collect()}
+    assert last == final
 
 
 def test_late_aware_stream_equals_replay_on_table(spark, scratch):
@@ -173,3 +180,20 @@ def test_app_page_views_to_parquet(spark, scratch):
     got = {(r.pv, r.window_end, r["count"]) for r in spark.read.parquet(f"{scratch}/out").collect()}
     rows = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
     assert got == {(r.pv, r.window_end, r["count"]) for r in jobs.page_views(rows).collect()}
+
+
+def test_stream_url_counts_final_with_lateness(spark, scratch):
+    import datetime as dt
+
+    from clickstats.streaming.jobs import stream_url_counts
+
+    def log_line(token):
+        key, sec = token[0], int(token[1:])
+        return f"10.0.0.1 1 - {dt.datetime.fromtimestamp(sec, dt.UTC).strftime('%d/%m/%Y:%H:%M:%S')} +0000 GET /{key}"
+    folder = write_batches(f"{scratch}/in", [[log_line(t) for t in b] for b in FIXTURE_65])
+    rows = ingest_access_log(read_lines(spark, folder, streaming=True, max_files_per_trigger=1)).rows
+    counts = stream_url_counts(rows, "10 minutes", "5 minutes", delay="1 second", lateness="0 seconds")
+    run_available(spark, counts, scratch, "urls65")
+    got = {(r.url, r.window_end // 1000): r.url_count for r in spark.table("urls65").collect()}
+    assert got == {("/a", 300): 3, ("/a", 600): 5, ("/a", 900): 3, ("/a", 1200): 2,
+                   ("/b", 300): 1, ("/b", 600): 2, ("/b", 900): 2, ("/b", 1200): 1}
