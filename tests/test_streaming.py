@@ -60,6 +60,18 @@ def test_append_counts_follow_spark_late_rule(spark, scratch):
                    (2, 300): 1, (2, 600): 2, (2, 900): 2, (2, 1200): 1}
 
 
+def test_append_flush_by_far_future_row(spark, scratch):
+    # FIXTURES 6.6: the last batch's far-future row closes every earlier window; its own stay open.
+    batches = [["a0", "a10"], ["b20", "a290"], ["b310", "a305"], ["b700", "a640"], ["zz99999"]]
+    folder = write_batches(f"{scratch}/in", [[behavior_line(t) for t in b] for b in batches])
+    counts = stream_counts(stream_rows(spark, folder), "item_id", "10 minutes", "5 minutes", "1 second",
+                           keep=is_page_view())
+    run_available(spark, counts, scratch, "fx66")
+    got = {(r.item_id, r.window_end // 1000): r["count"] for r in spark.table("fx66").collect()}
+    assert got == {(1, 300): 3, (1, 600): 4, (1, 900): 2, (1, 1200): 1,
+                   (2, 300): 1, (2, 600): 2, (2, 900): 2, (2, 1200): 1}
+
+
 @pytest.mark.parametrize("guarded,expected", [(True, {300: 4}), (False, {})])
 def test_watermark_taken_before_filter(spark, scratch, guarded, expected):
     batches = [["g0", "g10"], ["x5000", "x5000"], ["g20", "g30"], ["g40", "g50"]]
