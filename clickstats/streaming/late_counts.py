@@ -129,10 +129,6 @@ class WindowCountsSink:
          .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
 
 
-# Kept for the name used in the job descriptions: re-firing counts are the update form.
-LateAwareCounts = WindowCountsSink
-
-
 def final_counts(spark: SparkSession, state_dir: str, key: str, count_col: str = "count") -> DataFrame:
     """Count of every window so far: windows closed in any batch, plus the
     windows still open after the latest batch."""

@@ -121,7 +121,7 @@ def test_stream_salted_page_views(spark, scratch):
 def _late_stream(spark, scratch, batches, key, keep, size, slide, delay, lateness, parse):
     folder = write_batches(f"{scratch}/in", batches)
     state = f"{scratch}/state"
-    fn = late_counts.LateAwareCounts(state, key, size, slide, delay, lateness, keep)
+    fn = late_counts.WindowCountsSink(state, key, size, slide, delay, lateness, keep)
     rows = parse(read_lines(spark, folder, streaming=True, max_files_per_trigger=1)).rows
     run_available(spark, rows, scratch, "late", sink="foreachBatch", for_each_batch=fn)
     return state
