@@ -14,7 +14,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     left to one task; a large input already has many splits and is read as is.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext / RDD view (e.g. Spark Connect): read as is
+        return df
+    return df.repartition(cores) if splits < cores else df
