@@ -45,7 +45,7 @@ def running_max_before(per_batch: DataFrame, batch_col: str, value_col: str, out
     earlier = (grouped.groupBy("_grp").agg(F.max(value_col).alias("_gmax"))
                .select("_grp", F.max("_gmax").over(outer).alias("_before")))
     return (within.join(earlier, "_grp")
-            .select(*[x for x in per_batch.columns], F.greatest(c("_in"), c("_before")).alias(out_col)))
+            .select(*per_batch.columns, F.greatest(c("_in"), c("_before")).alias(out_col)))
 
 
 def batch_watermarks(rows: DataFrame, delay: str | int, batch_col: str = "batch_id",
@@ -97,7 +97,7 @@ def split_late(rows: DataFrame, keep: Column, size: str | int, slide: str | int,
     kept = rows.where(keep).join(wm, batch_col, "left")
     first, last = accepted_windows(size_ms, slide_ms, lateness_ms, time_col)
     is_late = F.coalesce(first > last, F.lit(False))
-    cols = [c for c in rows.columns]
+    cols = list(rows.columns)
     return LateSplit(on_time=kept.where(~is_late).select(*cols, "watermark_ms"),
                      late=kept.where(is_late).select(*cols),
                      watermarks=wm)
