@@ -209,3 +209,30 @@ def test_stream_url_counts_final_with_lateness(spark, scratch):
     got = {(r.url, r.window_end // 1000): r.url_count for r in spark.table("urls65").collect()}
     assert got == {("/a", 300): 3, ("/a", 600): 5, ("/a", 900): 3, ("/a", 1200): 2,
                    ("/b", 300): 1, ("/b", 600): 2, ("/b", 900): 2, ("/b", 1200): 1}
+
+
+def test_app_hot_urls_update_on_fixture(spark, scratch):
+    import datetime as dt
+
+    from clickstats.streaming.apps import start_hot_urls
+
+    def log_line(token):
+        key, sec = token[0], int(token[1:])
+        when = dt.datetime.fromtimestamp(sec, dt.UTC).strftime("%d/%m/%Y:%H:%M:%S")
+        return f"10.0.0.1 1 - {when} +0000 GET /{key}"
+
+    folder = write_batches(f"{scratch}/in", [[log_line(t) for t in b] for b in FIXTURE_65]
+                           + [["10.0.0.1 1 - 01/01/1970:00:00:01 +0000 POST /a"]])
+    lines = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
+    start_hot_urls(lines, f"{scratch}/out", f"{scratch}/ckpt", "10 minutes", "5 minutes", "1 second",
+                   "0 seconds", trigger={"availableNow": True}).awaitTermination(300)
+    got = {(r.url, r.window_end // 1000): r.url_count
+           for r in late_counts.final_counts(spark, f"{scratch}/out", "url", "url_count").collect()}
+    assert got == {("/a", 300): 3, ("/a", 600): 4, ("/a", 900): 2, ("/a", 1200): 1, ("/b", 300): 1,
+                   ("/b", 600): 2, ("/b", 900): 2, ("/b", 1200): 1, ("/z", 5100): 1, ("/z", 5400): 2,
+                   ("/z", 5700): 1}
+    late = sorted(r.event_ms // 1000 for r in late_counts.late_rows(spark, f"{scratch}/out").collect())
+    assert late == [100, 650]   # the POST row is filtered out, not a late GET row
+    ranks = {(r.window_end // 1000, r.rank): r.url for r in late_counts.latest_rankings(spark, f"{scratch}/out")
+             .collect()}
+    assert ranks[(600, 1)] == "/a" and ranks[(600, 2)] == "/b"
