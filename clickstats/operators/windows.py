@@ -64,6 +64,9 @@ def windowed_count(rows: DataFrame, keys: str | list[str] | None, size: str | in
     ``method``: ``auto`` | ``direct`` | ``panes``; ``panes`` needs size to be a
     multiple of slide.
     """
+    if rows.isStreaming:
+        raise ValueError("windowed_count runs on batch DataFrames; for streams use "
+                         "clickstats.streaming.jobs.stream_counts or streaming.late_counts.WindowCountsSink")
     keys = _key_cols(keys)
     size_ms = duration_ms(size)
     slide_ms = size_ms if slide is None else duration_ms(slide)

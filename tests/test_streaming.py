@@ -236,3 +236,14 @@ def test_app_hot_urls_update_on_fixture(spark, scratch):
     ranks = {(r.window_end // 1000, r.rank): r.url for r in late_counts.latest_rankings(spark, f"{scratch}/out")
              .collect()}
     assert ranks[(600, 1)] == "/a" and ranks[(600, 2)] == "/b"
+
+
+def test_batch_operators_refuse_streams_with_a_pointer(spark, scratch):
+    from clickstats.operators.rank import top_n
+    from clickstats.operators.windows import windowed_count
+    folder = write_batches(f"{scratch}/in", [["1,1,0,pv,0"]])
+    rows = stream_rows(spark, folder)
+    with pytest.raises(ValueError, match="stream_counts"):
+        windowed_count(rows, "item_id", "1 hour", "5 minutes")
+    with pytest.raises(ValueError, match="rank_each_batch"):
+        top_n(rows.withColumnRenamed("ts_sec", "count").withColumnRenamed("event_ms", "window_end"), "item_id")
