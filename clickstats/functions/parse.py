@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +14,19 @@ INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 LOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
 
 
-def split_fields(value: Column, sep_regex: str) -> Column:
-    """Split a line into fields the way ``String.split`` does: trailing empty
-    fields are dropped, inner empty fields are kept."""
-    return F.split(F.regexp_replace(value, f"(?:{sep_regex})+$", ""), sep_regex)
+def split_fields(value: Column, sep: str) -> Column:
+    """Split a line on the literal separator ``sep`` the way ``String.split``
+    does: trailing empty fields are dropped, inner empty fields are kept.
+
+    A one-character separator is trimmed off the end with ``rtrim`` (no
+    regular expression per row); a longer one with an anchored replace.
+    """
+    pattern = re.escape(sep)
+    if len(sep) == 1:
+        stripped = F.rtrim(value, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(value, f"(?:{pattern})+$", "")
+    return F.split(stripped, pattern)
 
 
 def field(fields: Column, index: int) -> Column:
