@@ -68,3 +68,12 @@ def test_carried_columns_pass_through(spark):
     df = lines_df(spark, ["1,2,3,pv,5", "bad"], batch_id=7)
     out = ingest_behavior(df, on_bad="reject")
     assert out.rows.first().batch_id == 7 and out.rejects.first().batch_id == 7
+
+
+def test_fail_mode_not_skipped_by_a_later_filter(spark):
+    from clickstats.plans.jobs import hot_items, is_page_view
+    df = lines_df(spark, ["1,2,3,pv,5", "1,2,3"])   # second line lacks behavior and timestamp
+    with pytest.raises(PySparkException, match="malformed line"):
+        ingest_behavior(df, on_bad="fail").rows.where(is_page_view()).collect()
+    with pytest.raises(PySparkException, match="malformed line"):
+        hot_items(ingest_behavior(df, on_bad="fail").rows).collect()
