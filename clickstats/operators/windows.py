@@ -145,10 +145,9 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
         F.explode(F.sequence(first_blk, last_blk)).alias("_blk"))
     parts = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     deltas = (per_block.repartition(parts, *[c(k) for k in keys], c("_blk"))
-              .select(*keys, "_blk", F.explode(F.array(
-                  F.struct(c(first_col).alias("e"), c(weight_col).alias("d")),
-                  F.struct((c(last_col) + 1).alias("e"), (-c(weight_col)).alias("d")))).alias("_x"))
-              .select(*keys, "_blk", c("_x.e").alias("_e"), c("_x.d").alias("_d"))
+              .select(*keys, "_blk", F.inline(F.array(
+                  F.struct(c(first_col).alias("_e"), c(weight_col).alias("_d")),
+                  F.struct((c(last_col) + 1).alias("_e"), (-c(weight_col)).alias("_d")))))
               .groupBy(*keys, "_blk", "_e").agg(F.sum("_d").alias("_d")))
     w = Window.partitionBy(*keys, "_blk").orderBy("_e")
     covered = deltas.select(
@@ -159,7 +158,7 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     blk_hi = blk_lo + block
     lo = F.greatest(c("_e"), blk_lo)
     hi = F.least(F.coalesce(c("_next"), blk_hi), blk_hi)
+    step = F.lit(step_ms)
     return (covered.where((c("_s") > 0) & (lo < hi))
-            .select(*keys, c("_s").alias(count_col),
-                    F.explode(F.sequence(lo, hi - 1)).alias("_idx"))
-            .select(*keys, (c("_idx") * step_ms).alias("window_end"), count_col))
+            .select(*keys, F.explode(F.sequence(lo * step, (hi - 1) * step, step)).alias("window_end"),
+                    c("_s").alias(count_col)))
