@@ -51,3 +51,14 @@ def test_log_time_round_trip(spark, stamps):
              for s in stamps]
     got = sorted(r.event_ms for r in ingest_access_log(lines_df(spark, lines)).rows.collect())
     assert got == sorted(s * 1000 for s in stamps)
+
+
+def test_salted_totals_equal_unsalted(spark):
+    from conftest import SF_MID
+    from clickstats.plans import jobs, registered
+    rows = registered.behavior_rows(spark, SF_MID)
+    plain = {(r.window_end, r["count"]) for r in jobs.page_views(rows).collect()}
+    for salts in (1, 4, 16):
+        salted = {(r.window_end, r["count"]) for r in jobs.page_views_salted(rows, salts=salts).collect()}
+        assert salted == plain
+    assert sum(c for _, c in plain) == rows.where(jobs.is_page_view()).count()
