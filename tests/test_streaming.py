@@ -247,3 +247,33 @@ def test_batch_operators_refuse_streams_with_a_pointer(spark, scratch):
         windowed_count(rows, "item_id", "1 hour", "5 minutes")
     with pytest.raises(ValueError, match="rank_each_batch"):
         top_n(rows.withColumnRenamed("ts_sec", "count").withColumnRenamed("event_ms", "window_end"), "item_id")
+
+
+def test_kafka_shaped_stream_hot_items(spark, scratch):
+    """W3: Kafka-shaped rows (the Kafka source's schema, read from parquet here) decoded and ranked
+    per 1 h / 3 s window as a stream; equal to the batch job on the same lines."""
+    from clickstats.sources.lines import decode_kafka
+    from clickstats.streaming.apps import start_hot_items
+    rows = standin.kafka_rows(load_table(spark, SF_SMALL, "events")).orderBy("offset").collect()
+    sentinel = spark.createDataFrame([(None, bytearray(b"1,999999,0,pv,4102444800"), "hot", 0, 10**9, None, 0)],
+                                     standin.kafka_rows(load_table(spark, SF_SMALL, "events")).schema)
+    schema = sentinel.schema
+    folder = f"{scratch}/kafka"
+    thirds = [rows[i * len(rows) // 3:(i + 1) * len(rows) // 3] for i in range(3)]
+    for i, part in enumerate(thirds):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{folder}/chunk={i}")
+    sentinel.coalesce(1).write.parquet(f"{folder}/chunk=3")
+    for i in range(4):  # one chunk per micro-batch, in order
+        for f in os.listdir(f"{folder}/chunk={i}"):
+            os.utime(f"{folder}/chunk={i}/{f}", (2_000_000 + i * 10, 2_000_000 + i * 10))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(folder))
+    q = start_hot_items(decode_kafka(stream), f"{scratch}/out", f"{scratch}/ckpt", slide="3 seconds",
+                        trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = {(r.item_id, r.window_end, r["count"], r.rank)
+           for r in spark.read.parquet(f"{scratch}/out/rankings").collect()}
+    batch_rows = ingest_behavior(decode_kafka(spark.createDataFrame(rows, schema)).select("value")).rows
+    want = {(r.item_id, r.window_end, r["count"], r.rank)
+            for r in jobs.hot_items(batch_rows, "1 hour", "3 seconds").collect()}
+    assert got == want and len(want) > 10000
