@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # The shape of an integer the jobs accept (optional sign, ASCII
 # digits, nothing else; Java's Long.parseLong / Integer.valueOf accept the same).
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+\z"
 # The access-log time layout; the zone id is appended before parsing.
 LOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
 
@@ -35,8 +35,9 @@ def field(fields: Column, index: int) -> Column:
 
 
 def parse_integer(text: Column, type_name: str = "bigint") -> Column:
-    """Strict integer parse: null unless the whole text is a signed decimal
-    that fits the type (so ``' 7 '`` and ``'7x'`` are rejected)."""
+    """Strict integer parse: null unless the whole text matches
+    ``INTEGER_PATTERN`` and fits the type (so ``' 7 '``, ``'7x'`` and ``'7\\n'``
+    are rejected; ``\\z`` is the very end, where ``$`` would allow a newline)."""
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(type_name))
 
 

@@ -27,6 +27,7 @@ def test_behavior_rejects_with_reasons(spark):
         "1,2,3,pv,": "timestamp missing",          # trailing empty field dropped, as String.split does
         "1,2,3,,5": None,                          # inner empty behavior is a value
         "+1,-2,3,pv,5": None,
+        "1,2\n,3,pv,5": "item_id not an integer",   # a newline inside a field is not whitespace to skip
         "": "user_id not an integer",
     }
     out = ingest_behavior(lines_df(spark, list(bad)), on_bad="reject")
