@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstats.functions.timecols import floor_div
+from clickstats.operators.late import accepted_counts, split_late
 from clickstats.operators.rank import top_n
 from clickstats.operators.windows import duration_ms, windowed_count
 
@@ -51,10 +52,27 @@ def hot_urls(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seco
              method: str = "auto") -> DataFrame:
     """Top ``n`` URLs by GET hits per sliding window, every window complete:
     ``url, window_end, url_count, rank``. (For arrival order, lateness and
-    re-fired windows see ``clickstats.operators.late``.)"""
+    re-fired windows see ``hot_urls_with_lateness``.)"""
     return top_n(url_counts(log_rows, size, slide, method), "url", n, count_col="url_count")
 
 
+def hot_urls_with_lateness(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
+                           delay: str = "1 second", lateness: str = "1 minute", n: int = 5,
+                           batch_col: str = "batch_id") -> tuple[DataFrame, DataFrame]:
+    """The hot-URL job over rows in arrival order: ``(rankings, late)``.
+
+    ``log_rows`` carry the micro-batch each row arrived in (``batch_col``).
+    Rows are judged by the watermark of the batches before theirs (max event
+    time minus ``delay``); windows keep taking rows for ``lateness`` after
+    their end and re-fire. ``rankings`` is the top ``n`` per window after its
+    last re-firing (``url, window_end, url_count, rank``); ``late`` holds the
+    GET rows too late for all their windows (the side output).
+    """
+    split = split_late(log_rows, is_get(), size, slide, delay, lateness, batch_col)
+    counts = accepted_counts(split.on_time, "url", size, slide, lateness, count_col="url_count")
+    return top_n(counts, "url", n, count_col="url_count"), split.late
+
+
 def page_views(behavior_rows: DataFrame, size: str = "1 hour") -> DataFrame:
     """Total page views per tumbling window: ``pv, window_end, count``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickstats.operators import late
 from clickstats.operators.ingest import ingest_access_log, ingest_behavior
-from clickstats.operators.rank import HOT_ITEMS_LAYOUT, HOT_URLS_LAYOUT, render_report, top_n
+from clickstats.operators.rank import HOT_ITEMS_LAYOUT, HOT_URLS_LAYOUT, render_report
 from clickstats.plans import jobs
 from clickstats.sources import standin
 from clickstats.sources.lines import decode_kafka
@@ -171,9 +171,9 @@ def q_on_time_rows(spark, sf_dir):
 def q_hot_urls_updated(spark, sf_dir):
     """Top 5 URLs per window after every late re-firing: counts of all rows
     each window accepted within the 1 min allowed lateness."""
-    counts = late.accepted_counts(_hot_url_split(spark, sf_dir).on_time, "url", "10 minutes", "5 seconds",
-                                  "1 minute", count_col="url_count")
-    return top_n(counts, "url", 5, count_col="url_count").select("url", "window_end", "url_count", "rank")
+    top, _ = jobs.hot_urls_with_lateness(arrival_log_rows(spark, sf_dir), "10 minutes", "5 seconds",
+                                         "1 second", "1 minute", 5)
+    return top.select("url", "window_end", "url_count", "rank")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
