@@ -27,7 +27,7 @@ BROKEN_EVERY = 97
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "events")
+    return load_table(spark, sf_dir, "events", spread_by="event_id")
 
 
 def behavior_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
