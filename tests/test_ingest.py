@@ -78,3 +78,10 @@ def test_fail_mode_not_skipped_by_a_later_filter(spark):
         ingest_behavior(df, on_bad="fail").rows.where(is_page_view()).collect()
     with pytest.raises(PySparkException, match="malformed line"):
         hot_items(ingest_behavior(df, on_bad="fail").rows).collect()
+
+
+def test_output_columns(spark):
+    from clickstats.operators.ingest import ACCESS_LOG_COLUMNS, BEHAVIOR_COLUMNS
+    assert ingest_behavior(lines_df(spark, ["1,2,3,pv,5"])).rows.columns == BEHAVIOR_COLUMNS
+    assert ingest_access_log(lines_df(spark, ["a b - c d e f"])).rows.columns == ACCESS_LOG_COLUMNS
+    assert ingest_access_log(lines_df(spark, ["x"]), on_bad="reject").rejects.columns == ["value", "reason"]
