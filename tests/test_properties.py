@@ -62,3 +62,37 @@ def test_salted_totals_equal_unsalted(spark):
         salted = {(r.window_end, r["count"]) for r in jobs.page_views_salted(rows, salts=salts).collect()}
         assert salted == plain
     assert sum(c for _, c in plain) == rows.where(jobs.is_page_view()).count()
+
+
+late_rows = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 3000), st.integers(0, 6),
+                               st.booleans()), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(data=late_rows, lateness_s=st.sampled_from([0, 30, 120]))
+def test_split_late_and_accepted_counts_equal_brute_force(spark, data, lateness_s):
+    from pyspark.sql import functions as F
+
+    from clickstats.operators.late import accepted_counts, split_late
+    size, slide, delay, lateness = 300_000, 60_000, 1_000, lateness_s * 1000
+    rows = [(k, t * 1000, b, kept) for k, t, b, kept in data]
+    df = spark.createDataFrame(rows, "key string, event_ms bigint, batch_id bigint, kept boolean")
+    split = split_late(df, F.col("kept"), size, slide, delay, lateness)
+    got_late = sorted((r.key, r.event_ms, r.batch_id) for r in split.late.collect())
+    got_counts = {(r.key, r.window_end, r["count"]) for r in
+                  accepted_counts(split.on_time, "key", size, slide, lateness).collect()}
+
+    want_late, counts = [], {}
+    for k, t, b, kept in rows:
+        earlier = [tt for _, tt, bb, _ in rows if bb < b]          # every row moves event time, kept or not
+        wm = max(earlier) - delay if earlier else None
+        if not kept:
+            continue
+        ends = [(t // slide + j) * slide for j in range(1, size // slide + 1)]
+        open_ends = [e for e in ends if wm is None or e - 1 + lateness > wm]
+        if not open_ends:
+            want_late.append((k, t, b))
+        for e in open_ends:
+            counts[(k, e)] = counts.get((k, e), 0) + 1
+    assert got_late == sorted(want_late)
+    assert got_counts == {(k, e, c) for (k, e), c in counts.items()}
