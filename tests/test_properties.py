@@ -96,3 +96,18 @@ def test_split_late_and_accepted_counts_equal_brute_force(spark, data, lateness_
             counts[(k, e)] = counts.get((k, e), 0) + 1
     assert got_late == sorted(want_late)
     assert got_counts == {(k, e, c) for (k, e), c in counts.items()}
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.integers(0, 30), st.integers(0, 4), st.integers(1, 4)), min_size=1, max_size=80,
+                     unique_by=lambda x: (x[0], x[1])),
+       n=st.integers(1, 6))
+def test_top_n_equals_sorting(spark, data, n):
+    from clickstats.operators.rank import top_n
+    df = spark.createDataFrame(data, "item_id bigint, window_end bigint, count bigint")
+    got = {(r.item_id, r.window_end, r["count"], r.rank) for r in top_n(df, "item_id", n).collect()}
+    want = set()
+    for w in {w for _, w, _ in data}:
+        ranked = sorted((x for x in data if x[1] == w), key=lambda x: (-x[2], x[0]))[:n]
+        want |= {(i, w, c, r) for r, (i, _, c) in enumerate(ranked, start=1)}
+    assert got == want
