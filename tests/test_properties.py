@@ -111,3 +111,26 @@ def test_top_n_equals_sorting(spark, data, n):
         ranked = sorted((x for x in data if x[1] == w), key=lambda x: (-x[2], x[0]))[:n]
         want |= {(i, w, c, r) for r, (i, _, c) in enumerate(ranked, start=1)}
     assert got == want
+
+
+def _java_ts(ms: int) -> str:
+    import datetime as dt
+    wall = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=ms)
+    frac = "0" if ms % 1000 == 0 else f"{ms % 1000:03d}".rstrip("0")
+    return wall.strftime("%Y-%m-%d %H:%M:%S") + "." + frac
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.integers(0, 99), st.integers(-10**12, 4 * 10**12), st.integers(1, 9)),
+                     min_size=1, max_size=30, unique_by=lambda x: (x[0], x[1])))
+def test_render_report_equals_formatting(spark, data):
+    from clickstats.operators.rank import HOT_ITEMS_LAYOUT as L, render_report, top_n
+    top = top_n(spark.createDataFrame(data, "item_id bigint, window_end bigint, count bigint"), "item_id", 5)
+    got = {r.window_end: r.report for r in render_report(top, "item_id", L).collect()}
+    want = {}
+    for w in {w for _, w, _ in data}:
+        ranked = sorted((x for x in data if x[1] == w), key=lambda x: (-x[2], x[0]))[:5]
+        lines = "".join(f"{L.rank_label}{r}{L.key_label}{i}{L.count_label}{c}{L.row_end}"
+                        for r, (i, _, c) in enumerate(ranked, start=1))
+        want[w] = f"{L.head}{L.time_label}{_java_ts(w)}{L.after_time}{lines}{L.tail}"
+    assert got == want
