@@ -37,6 +37,15 @@ def column_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def steps(offsets: np.ndarray, limit: int):
+    """(i, z) ranges of texts, each of at most ``limit`` bytes or of a single longer text."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        z = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
+        yield i, z
+        i = z
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z, every other byte as it is."""
     return _LOWER[data]
