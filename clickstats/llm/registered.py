@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from clickstats.llm.q_html import op4_html_text
 from clickstats.llm.q_mixing import op8_mix_sources
+from clickstats.llm.q_pii import op6_personal_data
 from clickstats.llm.q_secret import OP7_SQL, op7_secret_scan
 from clickstats.llm.q_toxicity import op3_toxicity
 
 LLM_QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_html_text": op4_html_text,
+    "op6_personal_data": op6_personal_data,
     "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
 }

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clickstats.llm import textops
 from clickstats.llm.tables import fresh, text_column
@@ -172,12 +173,15 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "toxicity_score") -> DataFrame:
-    """``docs`` with ``out``: the score of each whole text, 0 to 1. Null and empty texts get the bias alone."""
+    """``docs`` with ``out``: the score of each whole text, 0 to 1. Null and empty texts get the bias alone.
+
+    A column called ``out`` in ``docs`` is replaced; every other column stays.
+    """
     (t,) = fresh(docs, "score_text")
     shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))  # BUCKETS numbers, whatever the corpus
-    plain = docs.withColumn(t, text_column(text))
-    schema = docs.schema.add(out, "double")
-    names = docs.columns
+    names = [c for c in docs.columns if c != out]
+    plain = docs.select(*[F.col(f"`{c}`") for c in names], text_column(text).alias(t))
+    schema = StructType([*plain.drop(t).schema.fields, StructField(out, DoubleType())])
 
     def run(batches):
         m = ToxicityModel(*shared.value)
