@@ -6,6 +6,7 @@ from clickstats.llm.q_html import op4_html_text
 from clickstats.llm.q_mixing import op8_mix_sources
 from clickstats.llm.q_pii import op6_personal_data
 from clickstats.llm.q_secret import OP7_SQL, op7_secret_scan
+from clickstats.llm.q_topk import OP9_SQL, op9_exact_topk
 from clickstats.llm.q_toxicity import op3_toxicity
 
 LLM_QUERIES = {
@@ -14,7 +15,9 @@ LLM_QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
+    "op9_exact_topk": op9_exact_topk,
 }
 LLM_ORACLE = {
     "op7_secret_scan": OP7_SQL,
+    "op9_exact_topk": OP9_SQL,
 }
