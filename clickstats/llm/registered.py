@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickstats.llm.q_html import op4_html_text
 from clickstats.llm.q_mixing import op8_mix_sources
 from clickstats.llm.q_ngram import OP1_SQL, op1_ngram_jaccard
+from clickstats.llm.q_decontaminate import OP5_SQL, op5_decontaminate
 from clickstats.llm.q_dedup import OP2_SQL, OP10_SQL, op2_phrase_dedup, op10_suffix_dedup
 from clickstats.llm.q_pii import op6_personal_data
 from clickstats.llm.q_secret import OP7_SQL, op7_secret_scan
@@ -16,6 +17,7 @@ LLM_QUERIES = {
     "op2_phrase_dedup": op2_phrase_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_html_text": op4_html_text,
+    "op5_decontaminate": op5_decontaminate,
     "op6_personal_data": op6_personal_data,
     "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
@@ -25,6 +27,7 @@ LLM_QUERIES = {
 LLM_ORACLE = {
     "op1_ngram_jaccard": OP1_SQL,
     "op2_phrase_dedup": OP2_SQL,
+    "op5_decontaminate": OP5_SQL,
     "op7_secret_scan": OP7_SQL,
     "op9_exact_topk": OP9_SQL,
     "op10_suffix_dedup": OP10_SQL,
