@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from clickstats.llm import blobs, textops
 from clickstats.llm.components import connected_components
-from clickstats.llm.tables import cut, shuffle_partitions, text_column
+from clickstats.llm.tables import cut, fresh, shuffle_partitions, text_column
 
 WORDS = 5
 PERCENT = 80
@@ -78,10 +78,10 @@ def _each_set(batches, text_at: int):
 
 
 def _scan_classes(texts: DataFrame) -> DataFrame:
-    """(doc_id, n, cls) of every row, and the partial frequency counts of every task in rows with a chunk."""
-    schema = "doc_id long, n long, cls long, chunk int, counts binary"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("chunk", pa.int32()),
-                       ("counts", pa.binary())])
+    """(doc_id, row, n, cls) of every row, and the partial frequency counts of every task in rows with a chunk."""
+    schema = "doc_id long, row long, n long, cls long, chunk int, counts binary"
+    arrow = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
+                       ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
         counts = np.zeros(FREQUENCY_BUCKETS, np.int64)
@@ -97,11 +97,11 @@ def _scan_classes(texts: DataFrame) -> DataFrame:
             if held:
                 counts += np.bincount(np.concatenate(held), minlength=FREQUENCY_BUCKETS)
             none = pa.nulls(b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n), pa.array(cls.view(np.int64)),
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(cls.view(np.int64)),
                                               none.cast(pa.int32()), none.cast(pa.binary())], schema=arrow)
         parts = counts.reshape(-1, _CHUNK)
         none = pa.nulls(len(parts)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(np.arange(len(parts)), pa.int32()),
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(parts)), pa.int32()),
                                           pa.array([p.tobytes() for p in parts], pa.binary())], schema=arrow)
 
     return texts.mapInArrow(run, schema)
@@ -333,19 +333,21 @@ def _search_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, row) of every row of ``docs``.
 
     ``n_shingles``: distinct 5-word shingles of the lower-cased text; a shorter
     text's whole word sequence is its only shingle; null, empty and blank texts
     have none and link with nothing. ``component_id``: the smallest id reachable
     by links, the own included; null ids are passed over in that minimum, and
     a null stands where a row without a set has no id, or a component none.
-    Rows that repeat an id are rows of their own. An empty table gives an empty
+    Rows that repeat an id are rows of their own; ``row`` is a hash of the text. An empty table gives an empty
     result. Other columns of ``docs`` are not read.
     """
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_column(text).alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_column(text).alias("text"),
+                        F.xxhash64(text_column(text)).alias("row"))
     scanned = cut(_scan_classes(texts))
-    rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "n", "cls")
+    texts = texts.drop("row")
+    rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "row", "n", "cls")
     frequency = _frequencies(scanned.where(F.col("chunk").isNotNull()).select("chunk", "counts"))
     classes = cut(rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
 
@@ -389,4 +391,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     member = cut(labelled.select("cls", "root").join(lowest, "root").select(F.col("cls").alias("c"), "component_id"))
     return rows.join(member, (F.col("cls") == F.col("c")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row")
+
+
+def keep_one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` of which none links to another: of each component the row with the smallest id stays.
+
+    Rows without a shingle stay. Rows that repeat both id and text are one document, of which one row stays. In a component
+    without any id every different text stays.
+    """
+    found = cut(jaccard_components(docs, key, text))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
+    linked = found.where("n_shingles > 0")
+    stay = linked.where(F.col("component_id").isNotNull()).groupBy("component_id").agg(best).select("best.doc_id", "best.row")
+    lone = found.where("n_shingles = 0").select("doc_id", "row")
+    nameless = linked.where(F.col("component_id").isNull()).select("doc_id", "row")
+    i, r, mine = fresh(docs, "stay_id", "stay_row", "stay_own")
+    stay = stay.unionAll(lone).unionAll(nameless).distinct().toDF(i, r)
+    own = docs.withColumn(mine, F.xxhash64(text_column(text)))
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col(i)) & (F.col(mine) == F.col(r))
+    return own.join(stay, same, "left_semi").dropDuplicates([key, mine]).drop(mine)

@@ -10,7 +10,7 @@ from clickstats.llm.tables import load
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
-    return jaccard_components(load(spark, sf_dir, "documents"))
+    return jaccard_components(load(spark, sf_dir, "documents")).drop("row")
 
 
 OP1_SQL = r"""

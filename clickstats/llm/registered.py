@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickstats.llm.q_html import op4_html_text
 from clickstats.llm.q_mixing import op8_mix_sources
 from clickstats.llm.q_ngram import OP1_SQL, op1_ngram_jaccard
+import corpus_pipeline
 from clickstats.llm.q_decontaminate import OP5_SQL, op5_decontaminate
 from clickstats.llm.q_dedup import OP2_SQL, OP10_SQL, op2_phrase_dedup, op10_suffix_dedup
 from clickstats.llm.q_pii import op6_personal_data
@@ -23,6 +24,7 @@ LLM_QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_topk": op9_exact_topk,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLE = {
     "op1_ngram_jaccard": OP1_SQL,
@@ -32,3 +34,5 @@ LLM_ORACLE = {
     "op9_exact_topk": OP9_SQL,
     "op10_suffix_dedup": OP10_SQL,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
