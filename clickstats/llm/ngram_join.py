@@ -99,7 +99,7 @@ def _scan_classes(texts: DataFrame) -> DataFrame:
             none = pa.nulls(b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(cls.view(np.int64)),
                                               none.cast(pa.int32()), none.cast(pa.binary())], schema=arrow)
-        parts = counts.reshape(-1, _CHUNK)
+        parts = counts.astype(np.uint32).reshape(-1, _CHUNK)  # a task reads fewer than 2**32 shingles
         none = pa.nulls(len(parts)).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(parts)), pa.int32()),
                                           pa.array([p.tobytes() for p in parts], pa.binary())], schema=arrow)
@@ -114,7 +114,7 @@ def _frequencies(counts: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(raw.as_py(), np.int64)
+                part = np.frombuffer(raw.as_py(), np.uint32).astype(np.int64)
                 total[chunk] = total[chunk] + part if chunk in total else part
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
                                           pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["chunk", "counts"])
@@ -281,29 +281,31 @@ def divide_skip_links(sets: list[np.ndarray], asks: list[bool] | None = None, kn
     return links
 
 
-def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, shingles) of the classes in ``wanted`` (doc_id of a text that has it, cls)."""
-    w = wanted.select(F.col("doc_id").alias("want_id"), F.col("cls").alias("want"))
-    rows = texts.join(w, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("want", "text")
+def _sets_of(texts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, cls, asks, comp, shingles) from ``wanted``: the same without the set, with the doc_id of a text that has it."""
+    w = wanted.select(F.col("doc_id").alias("want_id"), *keys, "cls", "asks", "comp")
+    rows = texts.join(w, F.col("doc_id").eqNullSafe(F.col("want_id"))).select(*keys, "cls", "asks", "comp", "text")
+    n = len(keys)
+    schema = ", ".join(f"{k} {'long' if k == 'grp' else 'int'}" for k in keys) + ", cls long, asks boolean, comp long, shingles binary"
 
     def run(batches):
         for b in batches:
-            want = b.column(0).to_numpy().view(np.uint64)
-            cls, raw = [], []
-            for _, i, s in _each_set([b], 1):
+            want = b.column(n).to_numpy().view(np.uint64)
+            at, raw = [], []
+            for _, i, s in _each_set([b], n + 3):
                 if _class_of(s) == int(want[i]):  # rows may share an id and differ in text
-                    cls.append(want[i])
+                    at.append(i)
                     raw.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(raw, pa.binary())],
-                                             names=["cls", "shingles"])
+            kept = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns[:n + 3], pa.array(raw, pa.binary())],
+                                             names=[*keys, "cls", "asks", "comp", "shingles"])
 
-    return rows.mapInArrow(run, "cls long, shingles binary")
+    return rows.mapInArrow(run, schema)
 
 
 def _search_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Links (a, b) from rows of (keys, cls, asks, comp, shingles), one DivideSkip search per value of the keys."""
     n_keys = len(keys)
-    rows = rows.select(*keys, "cls", "asks", "comp", "shingles")
     rows = rows.repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "cls")
 
     def search(group):
@@ -352,38 +354,48 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     classes = cut(rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
 
     groups = cut(_groups(_short_postings(texts, frequency)))
-    sizes = groups.groupBy("hub").agg(F.sum("n").alias("total")).select(
-        F.col("hub").alias("h"), F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    dealt = groups.join(sizes, F.col("hub") == F.col("h")).drop("h")
+    # Candidates that hang together form one group while that fits into a block, so that each set is sent once.
+    tied = cut(connected_components(groups.select(F.col("hub").alias("a"), F.col("cls").alias("b"))))
+    placed = groups.select("cls", "n").distinct().join(tied, F.col("cls") == F.col("node")).select("cls", "n", "root")
+    total = placed.groupBy("root").agg(F.sum("n").alias("total"))
+    small = total.where(F.col("total") <= BLOCK_SHINGLES).select(F.col("root").alias("r"))
+    whole = placed.join(small, F.col("root") == F.col("r")).select(F.col("root").alias("grp"), "cls", "n", F.lit(1).alias("blocks"),
+                                                                   F.lit(0).alias("block"))
+    # What hangs together beyond that is searched hub by hub; a hub's group may still need several blocks.
+    large = total.where(F.col("total") > BLOCK_SHINGLES).select(F.col("root").alias("r"))
+    hubs = tied.join(large, F.col("root") == F.col("r")).select(F.col("node").alias("h"))
+    by_hub = groups.join(hubs, F.col("hub") == F.col("h")).select(F.col("hub").alias("grp"), "cls", "n")
+    sizes = by_hub.groupBy("grp").agg(F.sum("n").alias("total")).select(
+        F.col("grp").alias("h"), F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = by_hub.join(sizes, F.col("grp") == F.col("h")).drop("h")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     # The hub is in every block of its group.
-    block = F.when(F.col("cls") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    dealt = cut(dealt.select("hub", "cls", "n", "blocks", F.explode(block).alias("block")))
-    sets = cut(_sets_of(texts, classes.join(dealt.select("cls").distinct(), "cls")))
-    first = dealt.join(sets, "cls").withColumn("asks", F.lit(True)).withColumn("comp", F.col("cls"))
-    links = cut(_search_groups(first, ["hub", "block"]))
+    block = F.when(F.col("cls") == F.col("grp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = dealt.select("grp", "cls", "n", "blocks", F.explode(block).alias("block"))
+    dealt = cut(whole.unionAll(dealt))
+
+    def search(rows, keys):
+        return _search_groups(_sets_of(texts, rows.join(classes, "cls"), keys), keys)
+
+    first = dealt.withColumn("asks", F.lit(True)).withColumn("comp", F.col("cls"))
+    links = cut(search(first, ["grp", "block"]))
     comps = cut(connected_components(links))
 
     split = dealt.where("blocks > 1")
     if split.limit(1).count():
-        c = comps.select(F.col("node"), "root")
-        held = split.join(c, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "cls")).drop("node", "root")
-        c = c.select(F.col("node").alias("h"), "root")
-        held = held.join(c, F.col("hub") == F.col("h"), "left")
-        held = held.withColumn("asks", F.col("comp") != F.coalesce("root", "hub")).drop("h", "root")
-        out = held.where("asks").groupBy("hub").agg(F.sum("n").alias("t")).select(
-            F.col("hub").alias("h"), F.ceil(F.col("t") / BLOCK_SHINGLES).cast("int").alias("turns"))
-        held = cut(held.join(out, F.col("hub") == F.col("h")).drop("h"))  # groups without such sets are done
+        held = split.join(comps, F.col("cls") == F.col("node"), "left")
+        held = held.withColumn("comp", F.coalesce("root", "cls")).drop("node", "root")
+        held = held.join(comps.select(F.col("node").alias("h"), "root"), F.col("grp") == F.col("h"), "left")
+        held = held.withColumn("asks", F.col("comp") != F.coalesce("root", "grp")).drop("h", "root")
+        out = held.where("asks").groupBy("grp").agg(F.sum("n").alias("t")).select(
+            F.col("grp").alias("h"), F.ceil(F.col("t") / BLOCK_SHINGLES).cast("int").alias("turns"))
+        held = cut(held.join(out, F.col("grp") == F.col("h")).drop("h"))  # groups without such sets are done
         turn = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("turns")).cast("int")
-        asking = held.where("asks").select("hub", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(
-            "block"), "cls", "asks", "comp")
-        others = held.where(~F.col("asks")).select("hub", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"),
-                                                   "block", "cls", "asks", "comp")
-        # Asking sets also meet the asking sets of the other turns, as members of their own block.
-        among = held.where("asks").select("hub", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "block", "cls",
-                                          "asks", "comp")
-        second = asking.unionAll(others).unionAll(among).join(sets, "cls")
-        links = cut(links.unionAll(_search_groups(second, ["hub", "turn", "block"])))
+        every_turn, every_block = F.sequence(F.lit(0), F.col("turns") - 1), F.sequence(F.lit(0), F.col("blocks") - 1)
+        asking = held.where("asks").select("grp", turn.alias("turn"), F.explode(every_block).alias("block"), "cls", "asks", "comp")
+        # In every turn each block holds all its members, asking or not.
+        others = held.select("grp", F.explode(every_turn).alias("turn"), "block", "cls", "asks", "comp")
+        links = cut(links.unionAll(search(asking.unionAll(others).distinct(), ["grp", "turn", "block"])))
         comps = cut(connected_components(links))
 
     labelled = classes.join(comps, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
