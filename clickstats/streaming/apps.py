@@ -3,41 +3,67 @@
 Each ``start_*`` takes a streaming DataFrame of lines (``value string``, from
 ``read_lines``, ``read_kafka_lines`` + ``decode_kafka`` or
 ``read_socket_lines``), a folder for results and a checkpoint folder, and
-returns the started ``StreamingQuery``. Put both folders under the shared
-checkpoint folder of the cluster (see ``clickstats.session.state_path``).
+returns the started ``StreamingQuery``. A relative folder is taken under the
+shared checkpoint folder of the cluster (``clickstats.session.state_path``); an
+absolute one should be shared too.
 
 ``on_bad="fail"`` stops the stream at a malformed line, as the original
-parsers do; ``"reject"`` drops such lines (use ``ingest_*`` directly to also
-write them somewhere).
+parsers do; ``"reject"`` writes such lines with the reason to ``rejects``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickstats.operators.ingest import ingest_access_log, ingest_behavior
+from clickstats.operators.ingest import Ingested, ingest_access_log, ingest_behavior
 from clickstats.plans.jobs import is_get, is_page_view
+from clickstats.session import state_path
 from clickstats.streaming.jobs import stream_page_views, stream_page_views_salted
 from clickstats.streaming.late_counts import WindowCountsSink
 from clickstats.streaming.sinks import write_stream
 
 
+def _place(spark: SparkSession, folder: str) -> str:
+    return folder if folder.startswith("/") or ":" in folder.split("/")[0] else state_path(spark, folder)
+
+
+def _each_batch(parse: Callable[[DataFrame], Ingested], on_bad: str, out_dir: str, sink: WindowCountsSink):
+    """A ``foreachBatch`` function: parse the lines of a batch, write the rejected ones, give the rows to ``sink``."""
+
+    def run(lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
+        try:
+            parts = parse(lines)
+            if on_bad == "reject":
+                parts.rejects.write.mode("overwrite").parquet(f"{out_dir}/rejects/batch_id={batch_id}")
+            sink(parts.rows, batch_id)
+        finally:
+            lines.unpersist()
+
+    return run
+
+
 def start_hot_items(lines: DataFrame, out_dir: str, checkpoint: str, size: str = "1 hour",
                     slide: str = "5 minutes", n: int = 5, on_bad: str = "fail",
                     trigger: dict | None = None) -> StreamingQuery:
     """Top ``n`` items by page views per sliding window, each window ranked once
-    when event time passes its end (ascending time: no disorder allowed).
+    when event time passes its end (ascending time: the watermark is 1 ms behind
+    the latest event time, so a window closes once a row at its end is seen).
 
-    Rankings: ``out_dir/rankings``; window counts: ``closed`` and ``state``.
-    Works for any slide: counts come from pane counts, not per-row expansion.
-    For the Kafka variant pass ``decode_kafka(read_kafka_lines(...))`` and
-    ``slide="3 seconds"``.
+    Rankings: ``out_dir/rankings``; rejected lines: ``out_dir/rejects``. Works
+    for any size and slide: counts come from runs of windows, not per-row
+    expansion. For the Kafka variant pass ``decode_kafka(read_kafka_lines(...))``
+    and ``slide="3 seconds"``. At the end of a bounded source the windows still
+    open are not flushed; use ``plans.jobs.hot_items`` for files.
     """
-    rows = ingest_behavior(lines, on_bad).rows
-    sink = WindowCountsSink(out_dir, "item_id", size, slide, "0 seconds", "0 seconds", is_page_view(), n,
-                            emit="final")
-    return write_stream(rows, checkpoint, sink="foreachBatch", for_each_batch=sink, trigger=trigger)
+    out_dir = _place(lines.sparkSession, out_dir).rstrip("/")
+    sink = WindowCountsSink(out_dir, "item_id", size, slide, "1 ms", "0 seconds", is_page_view(), n,
+                            emit="final", write_counts=False)
+    return write_stream(lines, _place(lines.sparkSession, checkpoint), sink="foreachBatch", trigger=trigger,
+                        for_each_batch=_each_batch(lambda b: ingest_behavior(b, on_bad), on_bad, out_dir, sink))
 
 
 def start_hot_urls(lines: DataFrame, out_dir: str, checkpoint: str, size: str = "10 minutes",
@@ -45,19 +71,35 @@ def start_hot_urls(lines: DataFrame, out_dir: str, checkpoint: str, size: str =
                    emit: str = "update", on_bad: str = "fail", tz: str = "UTC",
                    trigger: dict | None = None) -> StreamingQuery:
     """Top ``n`` URLs by GET hits per sliding window with bounded disorder and
-    allowed lateness; re-ranked on every late update (``emit="update"``) or
-    once at close (``"final"``). Late rows: ``out_dir/late``."""
-    rows = ingest_access_log(lines, on_bad, tz).rows
+    allowed lateness. ``emit="update"``: every window a batch touches is ranked
+    again over all its URLs; ``"final"``: once at close. Late rows:
+    ``out_dir/late``; rejected lines: ``out_dir/rejects``.
+
+    Dates are strict: one-digit days, trailing text and 31/02 are malformed,
+    which stops the stream with ``on_bad="fail"`` where the original's lenient
+    parser went on.
+    """
+    out_dir = _place(lines.sparkSession, out_dir).rstrip("/")
     sink = WindowCountsSink(out_dir, "url", size, slide, delay, lateness, is_get(), n, emit=emit,
                             count_col="url_count")
-    return write_stream(rows, checkpoint, sink="foreachBatch", for_each_batch=sink, trigger=trigger)
+    return write_stream(lines, _place(lines.sparkSession, checkpoint), sink="foreachBatch", trigger=trigger,
+                        for_each_batch=_each_batch(lambda b: ingest_access_log(b, on_bad, tz), on_bad, out_dir, sink))
 
 
 def start_page_views(lines: DataFrame, out_path: str, checkpoint: str, size: str = "1 hour",
                      salted: bool = False, salts: int = 4, on_bad: str = "fail",
                      trigger: dict | None = None) -> StreamingQuery:
     """Total page views per tumbling window, appended to parquet at ``out_path``
-    as each window closes; ``salted`` counts in two stages over ``salts``."""
-    rows = ingest_behavior(lines, on_bad).rows
-    totals = stream_page_views_salted(rows, size, salts) if salted else stream_page_views(rows, size)
+    as each window closes; ``salted`` counts in two stages over ``salts``.
+
+    With ``on_bad="reject"`` a second query, with its own checkpoint beside the
+    first, appends the rejected lines to ``<out_path>-rejects``; find it in
+    ``spark.streams.active``.
+    """
+    spark = lines.sparkSession
+    out_path, checkpoint = _place(spark, out_path).rstrip("/"), _place(spark, checkpoint).rstrip("/")
+    parts = ingest_behavior(lines, on_bad)
+    totals = stream_page_views_salted(parts.rows, size, salts) if salted else stream_page_views(parts.rows, size)
+    if on_bad == "reject":
+        write_stream(parts.rejects, f"{checkpoint}-rejects", sink="parquet", path=f"{out_path}-rejects", trigger=trigger)
     return write_stream(totals, checkpoint, sink="parquet", path=out_path, trigger=trigger)

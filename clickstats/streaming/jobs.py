@@ -2,28 +2,26 @@
 
 Counts run as Spark's own windowed aggregation in append mode: state per
 (window, key), evicted when the watermark passes the window end (plus any
-allowed lateness), so state stays bounded. Rankings are computed per
-micro-batch from the windows that batch finalized (``foreachBatch``); all keys
-of a window are finalized in the same micro-batch, so each ranking is
-complete, and no single state row ever holds all keys of a window.
+allowed lateness), so state stays bounded.
 
-For re-firing windows (allowed lateness with updates) and a late side output
-see ``clickstats.streaming.late_counts``.
+For rankings, re-firing windows (allowed lateness with updates), fine slides
+and a late side output see ``clickstats.streaming.late_counts``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickstats.operators.rank import top_n
 from clickstats.operators.windows import duration_ms
-from clickstats.plans.jobs import is_get, is_page_view, salted_label
+from clickstats.plans.jobs import is_page_view, salted_label
 from clickstats.streaming.eventtime import keep_after_watermark, with_event_time
 
 
+#: Spark's streaming windows expand every row into each of its windows.
+MAX_WINDOWS_PER_ROW = 12
+
+
 def stream_counts(rows: DataFrame, key: str | None, size: str, slide: str | None = None,
                   delay: str = "0 seconds", lateness: str = "0 seconds", keep: Column | None = None,
                   time_col: str = "event_time", count_col: str = "count") -> DataFrame:
@@ -32,9 +30,11 @@ def stream_counts(rows: DataFrame, key: str | None, size: str, slide: str | None
     A window is emitted when the watermark (max event time - ``delay``
     - ``lateness``) passes its end; rows arriving for it later are dropped by
     Spark. ``keep`` filters rows after the watermark (see
-    ``keep_after_watermark``). Use for a few windows per row; every row is
-    expanded size/slide times.
+    ``keep_after_watermark``). Every row is expanded size/slide times, so more
+    than ``MAX_WINDOWS_PER_ROW`` are refused; ``WindowCountsSink`` takes any.
     """
+    if slide and duration_ms(size) > MAX_WINDOWS_PER_ROW * duration_ms(slide):
+        raise ValueError(f"more than {MAX_WINDOWS_PER_ROW} windows per row; use streaming.late_counts.WindowCountsSink")
     total_delay = f"{duration_ms(delay) + duration_ms(lateness)} milliseconds"
     timed = with_event_time(rows, total_delay, time_col)
     if keep is not None:
@@ -46,31 +46,6 @@ def stream_counts(rows: DataFrame, key: str | None, size: str, slide: str | None
             .select(*keys, F.unix_millis(F.col("_w.end")).alias("window_end"), count_col))
 
 
-def rank_each_batch(path: str, key: str, n: int = 5, count_col: str = "count") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: rank the windows a micro-batch finalized
-    and write them to ``path/batch_id=<id>``.
-
-    Overwriting that one folder makes a retried batch harmless; the folders
-    read back as one table partitioned by ``batch_id``.
-    """
-    def rank(batch: DataFrame, batch_id: int) -> None:
-        (top_n(batch, key, n, count_col=count_col)
-         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
-    return rank
-
-
-def stream_item_counts(behavior_rows: DataFrame, size: str = "1 hour", slide: str = "5 minutes",
-                       delay: str = "0 seconds") -> DataFrame:
-    """Page views per item and sliding window, of a stream of behavior rows."""
-    return stream_counts(behavior_rows, "item_id", size, slide, delay, keep=is_page_view())
-
-
-def stream_url_counts(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
-                      delay: str = "1 second", lateness: str = "1 minute") -> DataFrame:
-    """GET hits per URL and sliding window, final counts after the allowed lateness."""
-    return stream_counts(log_rows, "url", size, slide, delay, lateness, keep=is_get(), count_col="url_count")
-
-
 def stream_page_views(behavior_rows: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
     """Total page views per tumbling window of a stream: ``pv, window_end, count``."""
     counts = stream_counts(behavior_rows, None, size, None, delay, keep=is_page_view())

@@ -9,25 +9,29 @@ too late for all their windows go to a side output. With ``emit="final"``
 each window is ranked once, when it closes. Per micro-batch N:
 
 1. the watermark is the running maximum event time of the earlier batches
-   minus the disorder bound (``maxima/``; batch N writes its own running
-   maximum there for batch N+1);
+   minus the disorder bound;
 2. kept rows late for all their windows go to ``late/batch_id=N``;
-3. the others are counted in their still-open windows (pane counts turned
-   into window counts, see ``accepted_counts``; nothing is expanded per row);
-4. the open windows of batch N-1 plus these counts give the current counts,
-   written to ``windows/batch_id=N`` with ``open`` false for windows that can
-   take no more rows (``end - 1 + retention <=`` the new watermark, T3): they
-   are final and batch N+1 reads only the open ones;
-5. rankings go to ``rankings/batch_id=N``: the windows this batch touched
-   (update) or the windows that closed (final).
-
-Reads are bounded by the open windows, not by the stream's history. Every
-write replaces only its own ``batch_id`` folder and depends only on batch N
-and the files of batch N-1, so a retried batch (lost executor, restart from
-the checkpoint) writes the same result. Nothing is collected to the driver:
-the earlier maximum enters the plans as a scalar subquery. The state lives
-under the shared checkpoint folder. Results equal the replay form in
-``clickstats.operators.late`` for the same batches.
+3. the others are counted per key and run of open windows and appended to
+   ``deltas/batch_id=N``: as many rows as the batch has different keys and
+   runs, however many windows they lie in;
+4. ``emit="update"``: the windows the batch touched are ranked over *all* their
+   keys, from the runs kept so far, into ``rankings/batch_id=N``;
+5. the windows that close (``end - 1 + retention <=`` the new watermark) are
+   counted once into ``closed/batch_id=N`` and, with ``emit="final"``, ranked;
+6. every ``compact_every`` batches the runs are merged into
+   ``compact/batch_id=N`` without the windows that closed, and the folders of
+   the generation before the last are deleted (T3);
+7. ``progress/batch_id=N`` records the running maximum and the row counts of
+   the state, last of all.
+
+Each write replaces only its own ``batch_id`` folder and depends only on batch
+N and files that are kept until batch N can no longer be retried, so a retried
+batch writes the same result. State that is missing or incomplete raises: the
+folders a batch reads are known from ``progress`` and their rows are counted.
+A few numbers per batch come to the driver, no rows. Results equal the replay
+form in ``clickstats.operators.late`` for the same batches. ``emit="final"``
+has no flush at the end of a bounded source: windows still open then stay in
+the state; use the batch jobs for files.
 """
 
 from __future__ import annotations
@@ -36,9 +40,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from clickstats.operators.late import accepted_counts, accepted_windows
+from clickstats.operators.late import accepted_windows
 from clickstats.operators.rank import top_n
-from clickstats.operators.windows import duration_ms
+from clickstats.operators.windows import duration_ms, interval_counts
+
+PROGRESS = ("running_max bigint, watermark bigint, start bigint, compacted bigint, delta_rows bigint, compact_rows bigint, "
+            "size_ms bigint, slide_ms bigint, retention_ms bigint, batch_id bigint")
 
 
 def expire_windows(counts: DataFrame, watermark_ms: Column | int | None, retention_ms: int) -> DataFrame:
@@ -50,43 +57,87 @@ def expire_windows(counts: DataFrame, watermark_ms: Column | int | None, retenti
     return counts.where(wm.isNull() | (F.col("window_end") - 1 + F.lit(retention_ms) > wm))
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _progress_rows(spark: SparkSession, state_dir: str) -> list:
+    """The progress rows still kept, by batch; none if nothing has been written yet."""
+    try:
+        table = spark.read.schema(PROGRESS).parquet(f"{state_dir}/progress")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return table.orderBy("batch_id").collect()
+
+
+def _read_state(spark: SparkSession, state_dir: str, key_type: str, key: str, rows: list, upto: int) -> DataFrame | None:
+    """Runs (key, _first, _last, _c) as batch ``upto`` left them; raises if a part is missing or short."""
+    by_id = {r["batch_id"]: r for r in rows}
+    last = by_id[upto]
+    base = last["compacted"]
+    ids = list(range(last["start"] if base is None else base + 1, upto + 1))
+    paths = [f"{state_dir}/deltas/batch_id={i}" for i in ids]
+    missing = [i for i in ids if i not in by_id]
+    if base is not None:
+        paths.append(f"{state_dir}/compact/batch_id={base}")
+        missing += [base] if base not in by_id else []
+    if missing:
+        raise RuntimeError(f"progress of batches {missing} is missing under {state_dir}")
+    if not paths:
+        return None
+    state = spark.read.schema(f"`{key}` {key_type}, _first bigint, _last bigint, _c bigint").parquet(*paths)
+    want = sum(by_id[i]["delta_rows"] for i in ids) + (by_id[base]["compact_rows"] if base is not None else 0)
+    have = state.count()
+    if have != want:
+        raise RuntimeError(f"state under {state_dir} has {have} rows up to batch {upto}, {want} were written")
+    return state
+
+
+def _clipped(runs: DataFrame, low: int | None, high: int | None) -> DataFrame:
+    """The part of the runs within the window indices ``low`` to ``high``."""
+    if low is not None:
+        runs = runs.where(F.col("_last") >= low).withColumn("_first", F.greatest("_first", F.lit(low)))
+    if high is not None:
+        runs = runs.where(F.col("_first") <= high).withColumn("_last", F.least("_last", F.lit(high)))
+    return runs
+
+
 class WindowCountsSink:
     """``foreachBatch`` function keeping window counts, rankings and late rows.
 
     Batch rows need ``time_col`` (epoch ms) and ``key``; ``keep`` is the job's
-    filter, applied after the watermark is taken from all rows.
+    filter, applied after the watermark is taken from all rows. Any size and
+    slide. ``write_counts=False`` leaves out the ``closed`` table.
     """
 
     def __init__(self, state_dir: str, key: str, size: str, slide: str, delay: str = "0 seconds",
                  lateness: str = "0 seconds", keep: Column | None = None, n: int = 5,
                  emit: str = "update", retention: str | None = None, time_col: str = "event_ms",
-                 count_col: str = "count"):
+                 count_col: str = "count", compact_every: int = 10, write_counts: bool = True):
         if emit not in ("update", "final"):
             raise ValueError("emit must be 'update' or 'final'")
         self.state_dir = state_dir.rstrip("/")
-        self.key, self.size, self.slide, self.lateness = key, size, slide, lateness
+        self.key = key
         self.size_ms, self.slide_ms = duration_ms(size), duration_ms(slide)
+        if not 0 < self.slide_ms <= self.size_ms:
+            raise ValueError("need 0 < slide <= size")
         self.delay_ms, self.lateness_ms = duration_ms(delay), duration_ms(lateness)
         self.retention_ms = max(duration_ms(retention) if retention else 0, self.lateness_ms)
         self.keep = F.lit(True) if keep is None else keep
         self.n, self.emit, self.time_col, self.count_col = n, emit, time_col, count_col
+        self.compact_every, self.write_counts = max(1, compact_every), write_counts
 
-    def _path(self, table: str, batch_id: int | None = None) -> str:
-        p = f"{self.state_dir}/{table}"
-        return p if batch_id is None else f"{p}/batch_id={batch_id}"
+    def _path(self, table: str, batch_id: int) -> str:
+        return f"{self.state_dir}/{table}/batch_id={batch_id}"
 
-    def _read_previous(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
-        """``table`` as left by the latest batch before ``batch_id``, if any."""
-        try:
-            return spark.read.parquet(self._path(table, batch_id - 1))
-        except AnalysisException:
-            pass
-        try:  # gaps in batch ids: take the latest earlier batch
-            t = spark.read.parquet(self._path(table)).where(F.col("batch_id") < batch_id)
-            last = t.select(F.max("batch_id")).scalar()
-            return t.where(F.col("batch_id") == last).drop("batch_id")
-        except AnalysisException:
+    def _first_open(self, watermark: int | None) -> int | None:
+        """Index of the first window that may still change at a watermark; None: every window."""
+        if watermark is None:
             return None
+        return (watermark - self.retention_ms - self.size_ms + 1) // self.slide_ms + 1
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -96,46 +147,103 @@ class WindowCountsSink:
         finally:
             batch.unpersist()
 
+    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._path(table, batch_id))
+
     def _process(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        c, k, cnt = F.col, self.key, self.count_col
-        earlier = self._read_previous(spark, "maxima", batch_id)
-        before = (F.lit(None).cast("bigint") if earlier is None
-                  else earlier.select(F.max("running_max")).scalar())
-        running = F.greatest(batch.select(F.max(self.time_col)).scalar(), before)
-        batch.sparkSession.range(1).select(running.alias("running_max")).write.mode("overwrite").parquet(
-            self._path("maxima", batch_id))
-        old_wm = before - F.lit(self.delay_ms)
-        new_wm = running - F.lit(self.delay_ms)
-
-        kept = batch.where(self.keep).withColumn("watermark_ms", old_wm)
-        first, last = accepted_windows(self.size_ms, self.slide_ms, self.lateness_ms, self.time_col)
-        is_late = F.coalesce(first > last, F.lit(False))
-        kept.where(is_late).drop("watermark_ms").write.mode("overwrite").parquet(self._path("late", batch_id))
-        deltas = accepted_counts(kept.where(~is_late), k, self.size, self.slide, self.lateness, self.time_col, cnt)
-
-        previous = self._read_previous(spark, "windows", batch_id)
-        current = deltas.withColumn("_touched", F.lit(True))
-        if previous is not None:
-            current = (previous.where(c("open")).select(k, "window_end", cnt, F.lit(False).alias("_touched"))
-                       .unionByName(current))
-        still_open = F.coalesce(c("window_end") - 1 + F.lit(self.retention_ms) > new_wm, F.lit(True))
-        (current.groupBy(k, "window_end").agg(F.sum(cnt).alias(cnt), F.max("_touched").alias("touched"))
-         .withColumn("open", still_open)
-         .write.mode("overwrite").parquet(self._path("windows", batch_id)))
-
-        windows = spark.read.parquet(self._path("windows", batch_id))
-        ranked = windows.where(c("touched") if self.emit == "update" else ~c("open"))
-        (top_n(ranked.select(k, "window_end", cnt), k, self.n, count_col=cnt)
-         .write.mode("overwrite").parquet(self._path("rankings", batch_id)))
+        key, cnt = self.key, self.count_col
+        key_type = batch.schema[key].dataType.simpleString()
+        rows = [r for r in _progress_rows(spark, self.state_dir) if r["batch_id"] < batch_id]
+        if rows and rows[-1]["batch_id"] != batch_id - 1:
+            raise RuntimeError(f"no progress of batch {batch_id - 1} under {self.state_dir}; the last is {rows[-1]['batch_id']}")
+        last = rows[-1] if rows else None
+        state = _read_state(spark, self.state_dir, key_type, key, rows, batch_id - 1) if last else None
+        start = last["start"] if last else batch_id
+        before = last["running_max"] if last else None
+        newest = batch.agg(F.max(self.time_col)).first()[0]
+        running = max((x for x in (before, newest) if x is not None), default=None)
+        old_wm = None if before is None else before - self.delay_ms
+        new_wm = None if running is None else running - self.delay_ms
+
+        kept = batch.where(self.keep).withColumn("watermark_ms", F.lit(old_wm).cast("bigint"))
+        first, end = accepted_windows(self.size_ms, self.slide_ms, self.lateness_ms, self.time_col)
+        is_late = F.coalesce(first > end, F.lit(False))
+        self._write(kept.where(is_late).drop("watermark_ms"), "late", batch_id)
+        self._write(kept.where(~is_late).select(key, first.alias("_first"), end.alias("_last"))
+                    .groupBy(key, "_first", "_last").agg(F.count(F.lit(1)).alias("_c")), "deltas", batch_id)
+        deltas = spark.read.schema(f"`{key}` {key_type}, _first bigint, _last bigint, _c bigint").parquet(
+            self._path("deltas", batch_id))
+        span = deltas.agg(F.count(F.lit(1)).alias("n"), F.min("_first").alias("low"), F.max("_last").alias("high")).first()
+        runs = deltas if state is None else state.unionByName(deltas)
+
+        def counts(low, high):
+            return interval_counts(_clipped(runs, low, high), [key], "_first", "_last", "_c", self.size_ms, self.slide_ms, cnt)
+
+        if self.emit == "update" and span["n"]:
+            # Every key of the touched windows, not only the touched keys.
+            touched = (deltas.select("_first", "_last").distinct()
+                       .select(F.explode(F.sequence("_first", "_last")).alias("_w")).distinct()
+                       .select((F.col("_w") * self.slide_ms + self.size_ms).alias("window_end")))
+            ranked = counts(span["low"], span["high"]).join(touched, "window_end", "left_semi")
+            self._write(top_n(ranked.select(key, "window_end", cnt), key, self.n, count_col=cnt), "rankings", batch_id)
+
+        open_old, open_new = self._first_open(old_wm), self._first_open(new_wm)
+        if open_new is not None and (open_old is None or open_new > open_old):
+            closing = counts(open_old, open_new - 1)
+            if self.write_counts:
+                self._write(closing, "closed", batch_id)
+                if self.emit == "final":
+                    closing = spark.read.schema(closing.schema).parquet(self._path("closed", batch_id))
+            if self.emit == "final":
+                self._write(top_n(closing, key, self.n, count_col=cnt), "rankings", batch_id)
+
+        compacted = last["compacted"] if last else None
+        compact_rows, done = None, None
+        if (batch_id - start + 1) % self.compact_every == 0:
+            merged = (_clipped(runs, open_new, None).groupBy(key, "_first", "_last")
+                      .agg(F.sum("_c").alias("_c")))
+            self._write(merged, "compact", batch_id)
+            compact_rows = spark.read.schema(merged.schema).parquet(self._path("compact", batch_id)).count()
+            done, compacted = compacted, batch_id
+        row = (running, new_wm, start, compacted, span["n"], compact_rows, self.size_ms, self.slide_ms, self.retention_ms)
+        names = [c.split()[0] for c in PROGRESS.split(", ")][:-1]
+        self._write(spark.range(1).select(*[F.lit(v).cast("bigint").alias(c) for c, v in zip(names, row)]), "progress", batch_id)
+        if done is not None:  # a retry of this batch reads from generation ``done`` on; what is older is not read again
+            old = [r["batch_id"] for r in rows if r["batch_id"] <= done]
+            for i in old:
+                _delete(spark, self._path("deltas", i))
+                if i < done:
+                    _delete(spark, self._path("compact", i))
+                    _delete(spark, self._path("progress", i))
+
+
+def open_counts(spark: SparkSession, state_dir: str, key: str, key_type: str = "string", count_col: str = "count") -> DataFrame:
+    """Counts of the windows that are still open after the latest batch."""
+    state_dir = state_dir.rstrip("/")
+    rows = _progress_rows(spark, state_dir)
+    if not rows:
+        raise RuntimeError(f"no state under {state_dir}")
+    last = rows[-1]
+    state = _read_state(spark, state_dir, key_type, key, rows, last["batch_id"])
+    if state is None:
+        return spark.createDataFrame([], f"`{key}` {key_type}, window_end bigint, `{count_col}` bigint")
+    counts = interval_counts(state, [key], "_first", "_last", "_c", last["size_ms"], last["slide_ms"], count_col)
+    return expire_windows(counts, last["watermark"], last["retention_ms"])
 
 
 def final_counts(spark: SparkSession, state_dir: str, key: str, count_col: str = "count") -> DataFrame:
     """Count of every window so far: windows closed in any batch, plus the
     windows still open after the latest batch."""
-    w = spark.read.parquet(f"{state_dir.rstrip('/')}/windows")
-    latest = w.select(F.max("batch_id")).scalar()
-    return (w.where(~F.col("open") | (F.col("batch_id") == latest))
-            .select(key, "window_end", count_col))
+    state_dir = state_dir.rstrip("/")
+    try:
+        closed = spark.read.parquet(f"{state_dir}/closed").select(key, "window_end", count_col)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        closed = None  # no window has closed yet
+    kind = (spark.read.parquet(f"{state_dir}/late") if closed is None else closed).schema[key].dataType.simpleString()
+    still = open_counts(spark, state_dir, key, kind, count_col)
+    return still if closed is None else closed.unionByName(still)
 
 
 def latest_rankings(spark: SparkSession, state_dir: str) -> DataFrame:

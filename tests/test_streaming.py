@@ -11,7 +11,7 @@ from clickstats.sources import standin
 from clickstats.sources.lines import read_lines
 from clickstats.sources.tables import load_table
 from clickstats.streaming import late_counts
-from clickstats.streaming.jobs import rank_each_batch, stream_counts, stream_item_counts, stream_page_views_salted
+from clickstats.streaming.jobs import stream_counts, stream_page_views_salted
 from clickstats.streaming.sinks import write_stream
 from conftest import SF_SMALL
 
@@ -92,21 +92,6 @@ def _sf_small_lines(spark):
     return sorted(vals, key=lambda v: int(v.split(",")[4]))
 
 
-def test_stream_equals_batch_hot_items(spark, scratch):
-    vals = _sf_small_lines(spark)
-    chunks = [vals[j * len(vals) // 4:(j + 1) * len(vals) // 4] for j in range(4)]
-    chunks[-1] = chunks[-1] + ["1,999999,0,pv,4102444800"]  # far-future sentinel closes every window
-    folder = write_batches(f"{scratch}/in", chunks)
-    out = f"{scratch}/rank"
-    counts = stream_item_counts(stream_rows(spark, folder), "1 hour", "5 minutes")
-    run_available(spark, counts, scratch, "hot", sink="foreachBatch",
-                  for_each_batch=rank_each_batch(out, "item_id", 5))
-    streamed = {(r.item_id, r.window_end, r["count"], r.rank) for r in spark.read.parquet(out).collect()}
-    batch_rows = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
-    batch = {(r.item_id, r.window_end, r["count"], r.rank) for r in jobs.hot_items(batch_rows).collect()}
-    assert streamed == batch and len(batch) > 1000
-
-
 def test_stream_salted_page_views(spark, scratch):
     vals = _sf_small_lines(spark)
     folder = write_batches(f"{scratch}/in", [vals[: len(vals) // 2], vals[len(vals) // 2:] +
@@ -163,6 +148,11 @@ def test_late_aware_stream_equals_replay_on_table(spark, scratch):
     assert got == want and len(want) > 1000
     assert (sorted(r.event_ms for r in late_counts.late_rows(spark, state).collect())
             == sorted(r.event_ms for r in split.late.collect()))
+    from clickstats.operators.rank import top_n
+    last = late_counts.latest_rankings(spark, state).select("url", "window_end", "count", "rank")
+    assert ({tuple(r) for r in last.collect()}
+            == {tuple(r) for r in top_n(late_counts.final_counts(spark, state, "url"), "url", 5)
+                .select("url", "window_end", "count", "rank").collect()})
 
 
 @pytest.mark.parametrize("slide", ["5 minutes", "3 seconds"])
@@ -194,23 +184,6 @@ def test_app_page_views_to_parquet(spark, scratch):
     assert got == {(r.pv, r.window_end, r["count"]) for r in jobs.page_views(rows).collect()}
 
 
-def test_stream_url_counts_final_with_lateness(spark, scratch):
-    import datetime as dt
-
-    from clickstats.streaming.jobs import stream_url_counts
-
-    def log_line(token):
-        key, sec = token[0], int(token[1:])
-        return f"10.0.0.1 1 - {dt.datetime.fromtimestamp(sec, dt.UTC).strftime('%d/%m/%Y:%H:%M:%S')} +0000 GET /{key}"
-    folder = write_batches(f"{scratch}/in", [[log_line(t) for t in b] for b in FIXTURE_65])
-    rows = ingest_access_log(read_lines(spark, folder, streaming=True, max_files_per_trigger=1)).rows
-    counts = stream_url_counts(rows, "10 minutes", "5 minutes", delay="1 second", lateness="0 seconds")
-    run_available(spark, counts, scratch, "urls65")
-    got = {(r.url, r.window_end // 1000): r.url_count for r in spark.table("urls65").collect()}
-    assert got == {("/a", 300): 3, ("/a", 600): 5, ("/a", 900): 3, ("/a", 1200): 2,
-                   ("/b", 300): 1, ("/b", 600): 2, ("/b", 900): 2, ("/b", 1200): 1}
-
-
 def test_app_hot_urls_update_on_fixture(spark, scratch):
     import datetime as dt
 
@@ -245,7 +218,7 @@ def test_batch_operators_refuse_streams_with_a_pointer(spark, scratch):
     rows = stream_rows(spark, folder)
     with pytest.raises(ValueError, match="stream_counts"):
         windowed_count(rows, "item_id", "1 hour", "5 minutes")
-    with pytest.raises(ValueError, match="rank_each_batch"):
+    with pytest.raises(ValueError, match="WindowCountsSink"):
         top_n(rows.withColumnRenamed("ts_sec", "count").withColumnRenamed("event_ms", "window_end"), "item_id")
 
 

@@ -1,0 +1,167 @@
+"""The streaming sink, fed batch by batch: rankings, state, retries, lost state."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickstats.operators.late import split_late
+from clickstats.operators.windows import windowed_count
+from clickstats.streaming.late_counts import WindowCountsSink, final_counts, late_rows, latest_rankings, open_counts
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, t) for k, t in rows], "key string, event_ms bigint")
+
+
+def feed(spark, state, batches, **kw):
+    sink = WindowCountsSink(state, "key", **{"size": "10 minutes", "slide": "10 minutes", **kw})
+    for i, rows in enumerate(batches):
+        sink(frame(spark, rows), i)
+    return sink
+
+
+def ranking(spark, state, batch_id):
+    rows = spark.read.parquet(f"{state}/rankings/batch_id={batch_id}").collect()
+    return {(r["window_end"], r["rank"]): (r["key"], r["count"]) for r in rows}
+
+
+def brute_emissions(batches, size, slide, delay, lateness, n):
+    """Counts per window after each batch, and the ranking of each touched window."""
+    counts, seen, out, late = {}, None, [], []
+    for rows in batches:
+        wm = None if seen is None else seen - delay
+        touched = set()
+        for k, t in rows:
+            ends = [s + size for s in range((t - size) // slide * slide + slide, t + 1, slide)]
+            still = [e for e in ends if wm is None or e - 1 + lateness > wm]
+            if not still:
+                late.append((k, t))
+            for e in still:
+                counts[(e, k)] = counts.get((e, k), 0) + 1
+                touched.add(e)
+        ranks = {}
+        for e in touched:
+            top = sorted(((-c, k) for (w, k), c in counts.items() if w == e))[:n]
+            ranks.update({(e, i + 1): (k, -c) for i, (c, k) in enumerate(top)})
+        out.append(ranks)
+        seen = max([t for _, t in rows] + ([seen] if seen is not None else []))
+    return counts, out, late
+
+
+def test_refired_window_ranks_all_its_keys(spark, scratch):
+    state = f"{scratch}/s"
+    feed(spark, state, [[("/a", 1), ("/a", 2), ("/a", 3), ("/b", 4)], [("/b", 5)]])
+    assert ranking(spark, state, 1) == {(600_000, 1): ("/a", 3), (600_000, 2): ("/b", 2)}
+    got = {(r["key"], r["count"], r["rank"]) for r in latest_rankings(spark, state).collect()}
+    assert got == {("/a", 3, 1), ("/b", 2, 2)}
+
+
+@pytest.mark.parametrize("seed,size,slide", [(1, 10_000, 4_000), (2, 12_000, 3_000), (3, 5_000, 5_000)])
+def test_every_emission_equals_brute_force(spark, scratch, seed, size, slide):
+    rnd = random.Random(seed)
+    now, batches = 50_000, []
+    for _ in range(7):
+        now += rnd.randrange(0, 9_000)
+        batches.append([(rnd.choice("abcd"), max(0, now - rnd.randrange(0, 25_000))) for _ in range(rnd.randrange(1, 9))])
+    state = f"{scratch}/s"
+    feed(spark, state, batches, size=size, slide=slide, delay=1_000, lateness=4_000, n=2, compact_every=2)
+    counts, emitted, late = brute_emissions(batches, size, slide, 1_000, 4_000, 2)
+    for i, want in enumerate(emitted):
+        path = f"{state}/rankings/batch_id={i}"
+        assert (ranking(spark, state, i) if os.path.exists(path) else {}) == want, i
+    got = {(r["window_end"], r["key"]): r["count"] for r in final_counts(spark, state, "key").collect()}
+    assert got == counts
+    assert sorted((r["key"], r["event_ms"]) for r in late_rows(spark, state).collect()) == sorted(late)
+
+
+def test_uneven_size_and_slide(spark, scratch):
+    state = f"{scratch}/s"
+    feed(spark, state, [[("a", 9_000)]], size="10 seconds", slide="4 seconds")
+    ends = sorted(r["window_end"] for r in final_counts(spark, state, "key").collect())
+    assert ends == [10_000, 14_000, 18_000]
+    assert ends == sorted(r["window_end"] for r in windowed_count(frame(spark, [("a", 9_000)]), "key", "10 s", "4 s").collect())
+    with pytest.raises(ValueError):
+        WindowCountsSink(state, "key", "10 seconds", "11 seconds")
+
+
+def test_one_row_batches_write_one_row_and_old_folders_go(spark, scratch):
+    state = f"{scratch}/s"
+    many = [(f"k{i}", 1_000 * i) for i in range(200)]
+    sink = feed(spark, state, [many], size="1 hour", slide="3 seconds", compact_every=3)
+    for i in range(1, 12):
+        sink(frame(spark, [("k1", 200_000 + i)]), i)
+    assert spark.read.parquet(f"{state}/deltas/batch_id=11").count() == 1
+    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{state}/deltas") if d.startswith("batch_id"))
+    assert left == list(range(9, 12)) and sorted(os.listdir(f"{state}/compact")) == ["batch_id=11", "batch_id=8"]
+    assert open_counts(spark, state, "key").where("key = 'k1'").agg(F.max("count")).first()[0] == 12
+
+
+def test_closed_windows_leave_the_state(spark, scratch):
+    state = f"{scratch}/s"
+    feed(spark, state, [[("a", 1_000), ("b", 2_000)], [("a", 5_000_000)]], compact_every=2)
+    kept = spark.read.parquet(f"{state}/compact/batch_id=1").collect()
+    assert [(r["key"], r["_first"]) for r in kept] == [("a", 8)]
+    assert {(r["key"], r["window_end"]) for r in final_counts(spark, state, "key").collect()} == {
+        ("a", 600_000), ("b", 600_000), ("a", 5_400_000)}
+
+
+def test_retried_batch_gives_the_same_files(spark, scratch):
+    state = f"{scratch}/s"
+    batches = [[("a", 1)], [("b", 2), ("a", 3)], [("a", 700_000)], [("c", 700_001)]]
+    sink = feed(spark, state, batches, compact_every=2)
+
+    def contents():
+        return {t: sorted(map(str, spark.read.parquet(f"{state}/{t}").collect())) for t in ("deltas", "rankings", "progress", "late")}
+
+    before = contents()
+    sink(frame(spark, batches[3]), 3)
+    assert contents() == before
+
+
+def test_lost_state_raises(spark, scratch):
+    state = f"{scratch}/s"
+    sink = feed(spark, state, [[("a", 1), ("a", 2)], [("b", 3)]])
+    for f in os.listdir(f"{state}/deltas/batch_id=0"):
+        os.remove(f"{state}/deltas/batch_id=0/{f}")
+    with pytest.raises(RuntimeError, match="rows"):
+        sink(frame(spark, [("a", 4)]), 2)
+    with pytest.raises(RuntimeError, match="progress"):
+        sink(frame(spark, [("a", 4)]), 9)
+
+
+def test_final_mode_closes_a_window_at_a_row_at_its_end(spark, scratch):
+    """Ascending time is 1 ms behind the latest event: the window of 0-599,999 ms closes at 600,000, not at 599,999."""
+    state = f"{scratch}/s"
+    feed(spark, state, [[("a", 10)], [("a", 599_999)]], delay="1 ms", emit="final")
+    assert spark.read.parquet(f"{state}/rankings").count() == 0
+    sink = WindowCountsSink(state, "key", "10 minutes", "10 minutes", "1 ms", emit="final")
+    sink(frame(spark, [("a", 600_000)]), 2)
+    assert ranking(spark, state, 2) == {(600_000, 1): ("a", 2)}
+
+
+def test_rejected_lines_are_written(spark, scratch):
+    from clickstats.sources.lines import read_lines
+    from clickstats.streaming.apps import start_hot_items, start_page_views
+    from test_streaming import write_batches
+    folder = write_batches(f"{scratch}/in", [["1,2,3,pv,5", "bad"], ["1,2,3,pv,9000"], ["1,x,3,pv,7"]])
+
+    def lines():
+        return read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
+
+    start_hot_items(lines(), f"{scratch}/out", f"{scratch}/c", on_bad="reject", trigger={"availableNow": True}).awaitTermination(300)
+    assert {r["value"] for r in spark.read.parquet(f"{scratch}/out/rejects").collect()} == {"bad", "1,x,3,pv,7"}
+    q = start_page_views(lines(), f"{scratch}/pv", f"{scratch}/c2", on_bad="reject", trigger={"availableNow": True})
+    for other in [*spark.streams.active, q]:
+        other.awaitTermination(300)
+    assert {r["value"] for r in spark.read.parquet(f"{scratch}/pv-rejects").collect()} == {"bad", "1,x,3,pv,7"}
+
+
+def test_both_late_outputs_in_one_pass(spark, scratch):
+    rows = spark.createDataFrame([("a", t, b) for b, t in [(0, 1), (1, 9_000_000), (2, 5)]], "key string, event_ms bigint, batch_id bigint")
+    split = split_late(rows, F.lit(True), "10 minutes", "5 minutes", "1 second", "1 minute")
+    split.judged.write.partitionBy("is_late").parquet(f"{scratch}/both")
+    both = spark.read.parquet(f"{scratch}/both")
+    assert [r["event_ms"] for r in both.where("cast(is_late as boolean)").collect()] == [5]
+    assert both.where("not cast(is_late as boolean)").count() == 2
