@@ -10,8 +10,8 @@ a row with some windows open is counted in those only.
 Here "seen so far" means: in earlier arrival batches. Each input row carries
 the id of the micro-batch it arrives in, and a batch is judged by the
 watermark the batches before it left, which is also how Spark advances a
-streaming watermark. The original advanced it per row, so a row there may be
-judged slightly more strictly than here.
+streaming watermark. The original advanced it at a fixed interval of processing
+time, so which rows it judged late there depended on the arrival speed.
 """
 
 from __future__ import annotations
@@ -22,10 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstats.functions.timecols import floor_div
-from clickstats.operators.windows import duration_ms, interval_counts
+from clickstats.operators.windows import duration_ms, interval_counts, window_run
+from clickstats.session import ensure_checkpoint_dir
 
-# Batches are grouped by this many for the two-level running maximum.
-BATCH_FANOUT = 1024
+# Fan-out of the tree over batch ids: no window of the running maximum holds more rows.
+BATCH_FANOUT = 1 << 16
 
 
 def running_max_before(per_batch: DataFrame, batch_col: str, value_col: str, out_col: str,
@@ -33,47 +34,65 @@ def running_max_before(per_batch: DataFrame, batch_col: str, value_col: str, out
     """For each row (one per batch), the maximum of ``value_col`` over all rows
     with a smaller ``batch_col``; null for the first.
 
-    Two levels, so no task sees every batch: a running maximum inside groups
-    of ``fanout`` consecutive batches, and one over the group maxima (one row
-    per group), joined back by group.
+    A tree over the ids: level l groups them by ``id div fanout^l``. At each
+    level a group takes the running maximum of the groups before it under the
+    same parent, which are at most ``fanout`` however sparse the ids are; a
+    batch's answer is the largest of its own and its ancestors'. All levels
+    run in one window, so the plan does not grow with their number.
     """
     c = F.col
-    grouped = per_batch.withColumn("_grp", floor_div(c(batch_col), fanout))
-    inner = Window.partitionBy("_grp").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
-    within = grouped.withColumn("_in", F.max(value_col).over(inner))
-    outer = Window.orderBy("_grp").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = (grouped.groupBy("_grp").agg(F.max(value_col).alias("_gmax"))
-               .select("_grp", F.max("_gmax").over(outer).alias("_before")))
-    return (within.join(earlier, "_grp")
-            .select(*per_batch.columns, F.greatest(c("_in"), c("_before")).alias(out_col)))
+    widths = [1]
+    while widths[-1] * fanout < 1 << 63:
+        widths.append(widths[-1] * fanout)
+    ids = [floor_div(c(batch_col), w) for w in widths] + [F.lit(0).cast("bigint")]
+    levels = len(widths)
+    nodes = F.array(*[F.struct(F.lit(lvl).alias("lvl"), ids[lvl + 1].alias("parent"), ids[lvl].alias("node"))
+                      for lvl in range(levels)])
+    each = per_batch.select(c(batch_col).alias("_b"), c(value_col).alias("_v"), F.inline(nodes))
+    maxima = each.groupBy("lvl", "parent", "node").agg(F.max("_v").alias("_v"))
+    before = Window.partitionBy("lvl", "parent").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = maxima.select("lvl", "parent", "node", F.max("_v").over(before).alias("_before"))
+    found = (each.select("_b", "lvl", "parent", "node").join(prefix, ["lvl", "parent", "node"])
+             .groupBy("_b").agg(F.max("_before").alias(out_col)))
+    return per_batch.join(found, c(batch_col) == c("_b")).select(*per_batch.columns, out_col)
 
 
 def batch_watermarks(rows: DataFrame, delay: str | int, batch_col: str = "batch_id",
                      time_col: str = "event_ms") -> DataFrame:
     """``batch_id, watermark_ms``: the watermark each arrival batch is judged by
-    (max event time of all earlier batches minus ``delay``; null for none)."""
-    per_batch = rows.groupBy(batch_col).agg(F.max(time_col).alias("_max"))
+    (max event time of all earlier batches minus ``delay``; null for none).
+
+    The one pass over ``rows`` that finds the maxima reads only time and batch
+    id; its result, one row per batch, is written to the shared checkpoint
+    folder, so nothing after it parses the input again.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    per_batch = rows.groupBy(batch_col).agg(F.max(time_col).alias("_max")).checkpoint()
     before = running_max_before(per_batch, batch_col, "_max", "_max_before")
     return before.select(batch_col, (F.col("_max_before") - duration_ms(delay)).alias("watermark_ms"))
 
 
 def accepted_windows(size_ms: int, slide_ms: int, lateness_ms: int, time_col: str = "event_ms",
                      wm_col: str = "watermark_ms") -> tuple[Column, Column]:
-    """First and last index (window_end / slide) of the windows a row is counted in.
+    """First and last index (window start / slide) of the windows a row is counted in.
 
-    A row in pane p lies in windows p+1 .. p+n; windows whose end fails
-    ``end - 1 + lateness > watermark`` are closed for it. ``first > last``
-    means the row is late for all its windows.
+    Of the run of windows the row lies in, those whose end fails ``end - 1 +
+    lateness > watermark`` are closed for it. ``first > last`` means the row
+    is late for all its windows.
     """
-    n = size_ms // slide_ms
-    pane = floor_div(F.col(time_col), slide_ms)
-    open_from = floor_div(F.col(wm_col) - lateness_ms + 1, slide_ms) + 1
-    first = F.when(F.col(wm_col).isNull(), pane + 1).otherwise(F.greatest(pane + 1, open_from))
-    return first, pane + n
+    first, last = window_run(size_ms, slide_ms, time_col)
+    open_from = first_open(size_ms, slide_ms, lateness_ms, F.col(wm_col))
+    return F.when(F.col(wm_col).isNull(), first).otherwise(F.greatest(first, open_from)), last
+
+
+def first_open(size_ms: int, slide_ms: int, lateness_ms: int, watermark: Column) -> Column:
+    """Index of the first window that still takes rows at a watermark."""
+    return floor_div(watermark - lateness_ms - size_ms + 1, slide_ms) + 1
 
 
 @dataclass
 class LateSplit:
+    judged: DataFrame      # kept rows + watermark_ms, is_late: write this to get both outputs from one pass
     on_time: DataFrame     # kept rows with at least one open window (+ watermark_ms)
     late: DataFrame        # kept rows late for every window (the side output)
     watermarks: DataFrame  # batch_id, watermark_ms
@@ -86,20 +105,21 @@ def split_late(rows: DataFrame, keep: Column, size: str | int, slide: str | int,
     The watermark comes from all ``rows``; ``keep`` (the job's filter) is
     applied after it, as in the original, where filtered-out rows still
     move event time on. Both outputs keep the input columns; ``on_time``
-    also has ``watermark_ms``. The watermark table has one row per batch;
-    Spark broadcasts it when its measured size allows (adaptive execution),
-    else joins it by shuffle.
+    also has ``watermark_ms``. The input is parsed once here for the watermark
+    table (one row per batch, see ``batch_watermarks``) and once by whatever
+    reads the result; ``judged.write.partitionBy("is_late")`` writes both
+    outputs in that one pass. Spark broadcasts the watermark table when its
+    measured size allows (adaptive execution), else joins it by shuffle.
     """
     size_ms, slide_ms, lateness_ms = duration_ms(size), duration_ms(slide), duration_ms(lateness)
-    if size_ms % slide_ms:
-        raise ValueError("size must be a multiple of slide")
-    wm = batch_watermarks(rows, delay, batch_col, time_col)
+    wm = batch_watermarks(rows, delay, batch_col, time_col).checkpoint()
     kept = rows.where(keep).join(wm, batch_col, "left")
     first, last = accepted_windows(size_ms, slide_ms, lateness_ms, time_col)
-    is_late = F.coalesce(first > last, F.lit(False))
+    judged = kept.withColumn("is_late", F.coalesce(first > last, F.lit(False)))
     cols = list(rows.columns)
-    return LateSplit(on_time=kept.where(~is_late).select(*cols, "watermark_ms"),
-                     late=kept.where(is_late).select(*cols),
+    return LateSplit(judged=judged.select(*cols, "watermark_ms", "is_late"),
+                     on_time=judged.where(~F.col("is_late")).select(*cols, "watermark_ms"),
+                     late=judged.where("is_late").select(*cols),
                      watermarks=wm)
 
 
@@ -109,11 +129,11 @@ def accepted_counts(on_time: DataFrame, key: str, size: str | int, slide: str |
     the last value a re-firing window (allowed lateness) reports:
     ``key, window_end, count``.
 
-    Rows are grouped by (key, pane, first open window) before the coverage
+    Rows are grouped by (key, first open window, last window) before the coverage
     count, so nothing is expanded per row.
     """
     size_ms, slide_ms, lateness_ms = duration_ms(size), duration_ms(slide), duration_ms(lateness)
     first, last = accepted_windows(size_ms, slide_ms, lateness_ms, time_col)
     intervals = (on_time.select(key, first.alias("_first"), last.alias("_last"))
                  .groupBy(key, "_first", "_last").agg(F.count(F.lit(1)).alias("_c")))
-    return interval_counts(intervals, [key], "_first", "_last", "_c", slide_ms, size_ms // slide_ms, count_col)
+    return interval_counts(intervals, [key], "_first", "_last", "_c", size_ms, slide_ms, count_col)

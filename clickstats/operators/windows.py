@@ -7,13 +7,13 @@ count bigint``.
 Three physical strategies, all exact:
 
 * ``tumbling``: one group-by on ``(keys, floor(t / size))``.
+* ``panes``: a row lies in a run of windows; rows are counted per ``(keys, first
+  window, last window)`` first (one partial + final hash aggregate over the raw
+  rows), then every window is derived from those runs as an interval-coverage
+  count (see ``interval_counts``). Any size and slide; no per-row expansion and
+  no task that holds a whole key, however hot the key.
 * ``direct``: ``F.window``, which expands every input row size/slide times
-  before the partial aggregate. Fine for a few windows per row; it is also the
-  only one that runs on a streaming DataFrame.
-* ``panes``: count rows per ``(keys, pane)`` first (one partial + final hash
-  aggregate over the raw rows), then derive every window from the pane counts
-  as an interval-coverage count (see ``interval_counts``). No per-row
-  expansion and no task that holds a whole key, however hot the key.
+  before the partial aggregate; only on request.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ _UNITS_MS = {
     "d": 86_400_000, "day": 86_400_000, "days": 86_400_000,
 }
 
-# Above this many windows per row, ``auto`` prefers panes over ``F.window``.
-DIRECT_MAX_WINDOWS_PER_ROW = 4
 # Blocks of the coverage count span this many window lengths.
 BLOCK_WINDOWS = 16
 
@@ -60,9 +58,9 @@ def windowed_count(rows: DataFrame, keys: str | list[str] | None, size: str | in
                    count_col: str = "count", method: str = "auto") -> DataFrame:
     """Count rows per key and event-time window.
 
-    ``time_col`` holds epoch ms (bigint). ``slide`` None means tumbling.
-    ``method``: ``auto`` | ``direct`` | ``panes``; ``panes`` needs size to be a
-    multiple of slide.
+    ``time_col`` holds epoch ms (bigint). ``slide`` None means tumbling. The
+    size need not be a multiple of the slide: windows start at the multiples
+    of the slide. ``method``: ``auto`` (tumbling or panes) | ``direct`` | ``panes``.
     """
     if rows.isStreaming:
         raise ValueError("windowed_count runs on batch DataFrames; for streams use "
@@ -72,14 +70,9 @@ def windowed_count(rows: DataFrame, keys: str | list[str] | None, size: str | in
     slide_ms = size_ms if slide is None else duration_ms(slide)
     if size_ms <= 0 or slide_ms <= 0 or slide_ms > size_ms:
         raise ValueError("need 0 < slide <= size")
-    divisible = size_ms % slide_ms == 0
-    n = size_ms // slide_ms
     if method == "auto":
-        method = "tumbling" if n == 1 and divisible else (
-            "panes" if divisible and n > DIRECT_MAX_WINDOWS_PER_ROW else "direct")
-    if method == "panes" and not divisible:
-        raise ValueError("panes need size to be a multiple of slide")
-    if method == "tumbling" or (method == "panes" and n == 1):
+        method = "tumbling" if slide_ms == size_ms else "panes"
+    if method == "tumbling" or (method == "panes" and slide_ms == size_ms):
         return _tumbling(rows, keys, size_ms, time_col, count_col)
     if method == "direct":
         return _direct(rows, keys, size_ms, slide_ms, time_col, count_col)
@@ -102,48 +95,49 @@ def _direct(rows, keys, size_ms, slide_ms, time_col, count_col):
             .select(*keys, F.unix_millis(F.col("_w.end")).alias("window_end"), count_col))
 
 
+def window_run(size_ms: int, slide_ms: int, time_col: str = "event_ms") -> tuple[Column, Column]:
+    """First and last index (window start / slide) of the windows a row lies in."""
+    t = F.col(time_col)
+    return floor_div(t - size_ms, slide_ms) + 1, floor_div(t, slide_ms)
+
+
 def _panes(rows, keys, size_ms, slide_ms, time_col, count_col):
-    n = size_ms // slide_ms
-    pane = floor_div(F.col(time_col), slide_ms)
-    # A row in pane p lies in the windows ending at pane indices p+1 .. p+n.
-    per_pane = (rows.groupBy(*keys, pane.alias("_pane"))
-                .agg(F.count(F.lit(1)).alias("_c")))
-    intervals = per_pane.select(*keys, (F.col("_pane") + 1).alias("_first"),
-                                (F.col("_pane") + n).alias("_last"), "_c")
-    return interval_counts(intervals, keys, "_first", "_last", "_c", slide_ms, n, count_col)
+    first, last = window_run(size_ms, slide_ms, time_col)
+    runs = (rows.groupBy(*keys, first.alias("_first"), last.alias("_last"))
+            .agg(F.count(F.lit(1)).alias("_c")))
+    return interval_counts(runs, keys, "_first", "_last", "_c", size_ms, slide_ms, count_col)
 
 
 def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_col: str,
-                    weight_col: str, step_ms: int, max_span: int, count_col: str = "count",
-                    block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+                    weight_col: str, size_ms: int, slide_ms: int, count_col: str = "count",
+                    block_windows: int = BLOCK_WINDOWS, partitions: int | None = None) -> DataFrame:
     """Sum of weights of the intervals covering each integer index, per key.
 
-    Each input row is an interval ``[first, last]`` of window indices with a
-    weight (a count). Output: ``keys..., window_end = index * step_ms, count``
-    for every index where the sum is positive.
+    Each input row is an interval ``[first, last]`` of window indices (start /
+    slide) with a weight (a count). Output: ``keys..., window_end = index * slide
+    + size, count`` for every index where the sum is positive.
 
     Method (a distributed prefix sum): an interval becomes a ``+w`` delta at
     ``first`` and a ``-w`` delta at ``last + 1``; the running sum of deltas is
-    the coverage. Indices are cut into blocks of ``block_windows * max_span``
+    the coverage. Indices are cut into blocks of ``block_windows`` window lengths
     and every interval is sent to each block it overlaps (one, sometimes
     two), so each ``(key, block)`` holds all intervals it needs and its
     running sum is exact without looking at other blocks. One shuffle on
     ``(key, block)``; a hot key is spread over its blocks.
 
     That shuffle is small (pane counts) but its output expands to every
-    window, so it gets a fixed partition count (``spark.sql.shuffle.partitions``)
-    instead of one sized by adaptive execution from its small input, which
+    window, so it gets a fixed partition count (``partitions``, by default
+    ``spark.sql.shuffle.partitions``) instead of one sized by adaptive execution from its small input, which
     would leave the whole expansion to one task.
     """
-    span = max(max_span, 1)
-    block = span * max(block_windows, 1)
+    block = -(-size_ms // slide_ms) * max(block_windows, 1)
     c = F.col
     first_blk = floor_div(c(first_col), block)
     last_blk = floor_div(c(last_col), block)
     per_block = intervals.select(
         *keys, first_col, last_col, weight_col,
         F.explode(F.sequence(first_blk, last_blk)).alias("_blk"))
-    parts = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     deltas = (per_block.repartition(parts, *[c(k) for k in keys], c("_blk"))
               .select(*keys, "_blk", F.inline(F.array(
                   F.struct(c(first_col).alias("_e"), c(weight_col).alias("_d")),
@@ -158,7 +152,7 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     blk_hi = blk_lo + block
     lo = F.greatest(c("_e"), blk_lo)
     hi = F.least(F.coalesce(c("_next"), blk_hi), blk_hi)
-    step = F.lit(step_ms)
+    step, size = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
     return (covered.where((c("_s") > 0) & (lo < hi))
-            .select(*keys, F.explode(F.sequence(lo * step, (hi - 1) * step, step)).alias("window_end"),
+            .select(*keys, F.explode(F.sequence(lo * step + size, (hi - 1) * step + size, step)).alias("window_end"),
                     c("_s").alias(count_col)))

@@ -38,7 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
             prefix="clickstats-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "16g")
+               .config("spark.sql.files.maxPartitionBytes", "4m"))  # small test files still give several tasks
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """``{sf_dir}/{name}.parquet`` as a DataFrame.
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``{sf_dir}/{name}.parquet`` as a DataFrame, with one plan whatever its size.
 
-    Column pruning and filter pushdown reach the scan. A scan with fewer
-    input splits than the session has cores (a small file written as one row
-    group) is spread over the cores first, so the per-row work after it is not
-    left to one task; a large input already has many splits and is read as is.
-    The spread hashes ``spread_by`` (a unique column) when given; otherwise it
-    is round-robin, which Spark sorts first to stay repeatable on retry.
+    Column pruning and filter pushdown reach the scan; its splits follow the
+    files' row groups and ``spark.sql.files.maxPartitionBytes``.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext / RDD view (e.g. Spark Connect): read as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, spread_by) if spread_by else df.repartition(cores)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -43,9 +43,9 @@ def test_filtered_rows_still_move_the_watermark(spark):
 
 def test_running_max_two_levels_matches_brute_force(spark):
     rnd = random.Random(3)
-    data = [(b, rnd.randrange(1000)) for b in rnd.sample(range(200), 60)]
+    data = [(b, rnd.randrange(1000)) for b in rnd.sample(range(2000), 60)]
     df = spark.createDataFrame(data, "b bigint, v bigint")
-    got = {r.b: r.m for r in running_max_before(df, "b", "v", "m", fanout=4).collect()}
+    got = {r.b: r.m for r in running_max_before(df, "b", "v", "m", fanout=256).collect()}
     for b, _ in data:
         earlier = [v for bb, v in data if bb < b]
         assert got[b] == (max(earlier) if earlier else None)
@@ -63,3 +63,13 @@ def test_on_time_plus_late_is_all_kept_rows(spark):
     assert on_time.unionByName(late).exceptAll(kept).count() == 0
     assert kept.exceptAll(on_time.unionByName(late)).count() == 0
     assert on_time.join(late, kept.columns, "left_semi").count() == 0
+
+
+def test_running_max_with_sparse_ids(spark):
+    # Epoch-ms ids ten minutes apart: hardly two share a group at the lower levels.
+    rnd = random.Random(4)
+    data = [(1_700_000_000_000 + 600_000 * i, rnd.randrange(1000)) for i in range(300)] + [(-5, 3)]
+    df = spark.createDataFrame(data, "b bigint, v bigint")
+    got = {r.b: r.m for r in running_max_before(df, "b", "v", "m", fanout=1024).collect()}
+    for b, _ in data:
+        assert got[b] == max((v for bb, v in data if bb < b), default=None)

@@ -50,3 +50,25 @@ def test_page_views_shared_key_is_pre_aggregated(spark):
     df = rows(spark).withColumn("behavior", F.lit("pv"))
     text = plan(jobs.page_views(df))
     assert "partial_count" in text and "SinglePartition" not in text
+
+
+def test_late_split_parses_once_and_has_no_single_partition(spark):
+    from conftest import SF_SMALL
+    from clickstats.plans import registered
+    for name in ("late_rows", "on_time_rows", "hot_urls_updated"):
+        text = plan(registered.QUERIES[name](spark, SF_SMALL))
+        assert "SinglePartition" not in text, name
+        assert text.count("split(") == 1, name  # the other parse made the watermark table, which is read from its checkpoint
+
+
+def test_any_size_and_slide_without_expansion(spark):
+    for size, slide in (("1 hour", "7 seconds"), ("10 seconds", "4 seconds"), ("10 minutes", "5 minutes")):
+        text = plan(windowed_count(rows(spark), "key", size, slide))
+        assert "Expand" not in text and len(exchanges(text)) == 2, (size, slide)
+
+
+def test_tables_are_read_as_they_are(spark):
+    from conftest import SF_SMALL
+    from clickstats.plans import registered
+    text = plan(registered.QUERIES["filter_pv"](spark, SF_SMALL))
+    assert "Exchange" not in text and "event_id" not in text

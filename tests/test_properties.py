@@ -19,11 +19,11 @@ def test_interval_counts_equal_brute_force(spark, rows, block_windows):
     data = [(k, f, f + span, w) for k, f, span, w in rows]
     df = spark.createDataFrame(data, "key string, f bigint, l bigint, w bigint")
     got = {(r.key, r.window_end, r["count"]) for r in
-           interval_counts(df, ["key"], "f", "l", "w", 10, 41, block_windows=block_windows).collect()}
+           interval_counts(df, ["key"], "f", "l", "w", 410, 10, block_windows=block_windows).collect()}
     want = {}
     for k, f, l, w in data:
         for i in range(f, l + 1):
-            want[(k, i * 10)] = want.get((k, i * 10), 0) + w
+            want[(k, i * 10 + 410)] = want.get((k, i * 10 + 410), 0) + w
     assert got == {(k, e, c) for (k, e), c in want.items()}
 
 

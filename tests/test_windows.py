@@ -68,8 +68,8 @@ def test_small_blocks_spread_a_hot_key(spark):
     items = [("hot", t * 1000) for t in range(0, 3000, 7)]
     iv = (rows(spark, items).groupBy("key", (F.col("event_ms") / 5000).cast("bigint").alias("p"))
           .agg(F.count(F.lit(1)).alias("c"))
-          .select("key", (F.col("p") + 1).alias("f"), (F.col("p") + 12).alias("l"), "c"))
-    got = as_set(interval_counts(iv, ["key"], "f", "l", "c", 5000, 12, block_windows=1))
+          .select("key", (F.col("p") - 11).alias("f"), F.col("p").alias("l"), "c"))
+    got = as_set(interval_counts(iv, ["key"], "f", "l", "c", 60_000, 5000, block_windows=1))
     assert got == brute(items, 60_000, 5000)
 
 
