@@ -122,6 +122,18 @@ _ACCEPTED = f"""
   GROUP BY ALL
 """
 
+_ROLLUP = """COUNT(*) AS windows, CAST(SUM("count") AS BIGINT) AS total, MAX("count") AS peak,
+         MIN(window_end) AS first_end, MAX(window_end) AS last_end,
+         CAST(SUM(window_end // 1000 * "count") AS BIGINT) AS end_checksum"""
+
+# 1 h windows that start at the multiples of 7 s.
+_UNEVEN = f"""
+  SELECT item_id, (ts_sec // 7 - r) * 7000 + 3600000 AS window_end, COUNT(*) AS "count"
+  FROM ({_PV}) s, range(515) t(r) WHERE (ts_sec // 7 - r) * 7 + 3600 > ts_sec
+  GROUP BY ALL
+"""
+
+# The report texts of the original jobs.
 _REPORT = f"""
   SELECT window_end,
          '===========================' || {NL} || '窗口结束时间：' || {_java_ts('window_end')} || {NL}
@@ -132,6 +144,17 @@ _REPORT = f"""
   GROUP BY window_end
 """
 
+_COMPACT_REPORT = f"""
+  SELECT window_end,
+         '窗口结束时间:' || {_java_ts('window_end')}
+         || string_agg('top_' || CAST("rank" AS VARCHAR) || 'itemId:' || CAST(item_id AS VARCHAR)
+                       || 'count:' || CAST("count" AS VARCHAR), '' ORDER BY "rank")
+         || '=========================' || {NL} AS report
+  FROM ({_top(_sliding(_PV, "item_id", 1800, 2), "item_id")}) t
+  GROUP BY window_end
+"""
+
+# The report texts of the original jobs.
 _URL_REPORT = f"""
   SELECT window_end,
          '=============================' || {NL} || '窗口关闭时间：' || {_java_ts('window_end')} || {NL}
@@ -151,8 +174,7 @@ ORACLE: dict[str, str] = {
     "filter_get": f"SELECT ip, user_id, event_ms, method, url FROM ({_LOG}) l WHERE method = 'GET'",
     "item_counts_1h_5m": _sliding(_PV, "item_id", 300, 12),
     "item_counts_1h_3s": f"""
-  SELECT item_id, COUNT(*) AS windows, CAST(SUM("count") AS BIGINT) AS total, MAX("count") AS peak
-  FROM ({_sliding(_PV, "item_id", 3, 1200)}) c GROUP BY item_id
+  SELECT item_id, {_ROLLUP} FROM ({_sliding(_PV, "item_id", 3, 1200)}) c GROUP BY item_id
 """,
     "url_counts_10m_5s": _sliding(_GET, "url", 5, 120, "url_count"),
     "page_views_hourly": f"""
@@ -165,7 +187,10 @@ ORACLE: dict[str, str] = {
 """,
     "hot_items_top5": _top(_sliding(_PV, "item_id", 300, 12), "item_id"),
     "hot_items_kafka": f"""
-  SELECT item_id, COUNT(*) AS top_windows, MIN("rank") AS best_rank, MAX("count") AS peak
+  SELECT item_id, COUNT(*) AS top_windows, MIN("rank") AS best_rank, MAX("count") AS peak,
+         MIN(window_end) AS first_end, MAX(window_end) AS last_end,
+         CAST(SUM(window_end // 1000 * "count") AS BIGINT) AS end_checksum,
+         CAST(SUM(window_end // 1000 * "rank") AS BIGINT) AS rank_checksum
   FROM ({_top(_sliding(_PV, "item_id", 3, 1200), "item_id")}) t GROUP BY item_id
 """,
     "hot_urls_top5": _top(_sliding(_GET, "url", 5, 120, "url_count"), "url", "url_count"),
@@ -174,4 +199,17 @@ ORACLE: dict[str, str] = {
     "late_rows": f"SELECT {_LOG_OUT} FROM ({_ARRIVED}) a WHERE {_FULLY_LATE}",
     "on_time_rows": f"SELECT {_LOG_OUT} FROM ({_ARRIVED}) a WHERE NOT {_FULLY_LATE}",
     "hot_urls_updated": _top(_ACCEPTED, "url", "url_count"),
+    "ingest_behavior_clean": f"""
+  SELECT user_id, item_id, category_id, behavior, ts_sec, event_ms FROM (
+    SELECT user_id, k AS item_id, CAST(k % 10 AS INTEGER) AS category_id,
+           CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior, ts_sec, ts_sec * 1000 AS event_ms
+    FROM ({_EV}) e WHERE event_id % 97 <> 0) b
+""",
+    "ingest_access_log_clean": f"SELECT ip, user_id, event_ms, method, url FROM ({_LOG}) l WHERE event_id % 97 <> 0",
+    "item_counts_1h_7s": f"SELECT item_id, {_ROLLUP} FROM ({_UNEVEN}) c GROUP BY item_id",
+    "hot_items_kafka_report": _COMPACT_REPORT,
+    "open_windows_after_expiry": f"""
+  SELECT url, window_end, url_count FROM ({_ACCEPTED}) a
+  WHERE window_end - 1 + 86400000 > (SELECT MAX(ts_sec) * 1000 - 1000 FROM ({_EV}) e)
+""",
 }

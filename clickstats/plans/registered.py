@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from clickstats.operators import late
 from clickstats.operators.ingest import ingest_access_log, ingest_behavior
-from clickstats.operators.rank import HOT_ITEMS_LAYOUT, HOT_URLS_LAYOUT, render_report
+from clickstats.operators.rank import COMPACT_ITEMS_LAYOUT, HOT_ITEMS_LAYOUT, HOT_URLS_LAYOUT, render_report
 from clickstats.plans import jobs
 from clickstats.sources import standin
 from clickstats.sources.lines import decode_kafka
 from clickstats.sources.tables import load_table
+from clickstats.streaming.late_counts import expire_windows
 
 BEHAVIOR_OUT = ["user_id", "item_id", "category_id", "behavior", "ts_sec", "event_ms"]
 LOG_OUT = ["ip", "user_id", "event_ms", "method", "url"]
@@ -27,7 +28,7 @@ BROKEN_EVERY = 97
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "events", spread_by="event_id")
+    return load_table(spark, sf_dir, "events")
 
 
 def behavior_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +42,13 @@ def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _window_rollup(counts: DataFrame, key: str, count_col: str = "count") -> DataFrame:
-    """Per key: number of windows, sum and peak of the window counts."""
+    """Per key: number of windows, sum and peak of the window counts, first and last
+    window, and a checksum that a count in a wrong window would change."""
+    seconds = F.floor(F.col("window_end") / 1000).cast("bigint")
     return counts.groupBy(key).agg(F.count(F.lit(1)).alias("windows"),
-                                   F.sum(count_col).alias("total"), F.max(count_col).alias("peak"))
+                                   F.sum(count_col).alias("total"), F.max(count_col).alias("peak"),
+                                   F.min("window_end").alias("first_end"), F.max("window_end").alias("last_end"),
+                                   F.sum(seconds * F.col(count_col)).alias("end_checksum"))
 
 
 def arrival_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +86,18 @@ def q_ingest_access_log_rejects(spark, sf_dir):
     return ingest_access_log(lines, on_bad="reject").rejects.select("value", "reason")
 
 
+def q_ingest_behavior_clean(spark, sf_dir):
+    """Behavior lines, some of them malformed: the rows that reject mode keeps."""
+    lines = standin.behavior_lines(_events(spark, sf_dir), broken_every=BROKEN_EVERY)
+    return ingest_behavior(lines, on_bad="reject").rows.select(*BEHAVIOR_OUT)
+
+
+def q_ingest_access_log_clean(spark, sf_dir):
+    """Access-log lines, some of them malformed: the rows that reject mode keeps."""
+    lines = standin.access_log_lines(_events(spark, sf_dir), broken_every=BROKEN_EVERY)
+    return ingest_access_log(lines, on_bad="reject").rows.select(*LOG_OUT)
+
+
 def q_filter_pv(spark, sf_dir):
     """Rows whose behavior is ``pv``."""
     return behavior_rows(spark, sf_dir).where(jobs.is_page_view()).select(*BEHAVIOR_OUT)
@@ -104,6 +121,12 @@ def q_item_counts_1h_3s(spark, sf_dir):
     return _window_rollup(jobs.item_counts(behavior_rows(spark, sf_dir), "1 hour", "3 seconds"), "item_id")
 
 
+def q_item_counts_1h_7s(spark, sf_dir):
+    """Page views per item, 1 h windows sliding by 7 s (the size is no multiple of the
+    slide), summed up per item."""
+    return _window_rollup(jobs.item_counts(behavior_rows(spark, sf_dir), "1 hour", "7 seconds"), "item_id")
+
+
 def q_url_counts_10m_5s(spark, sf_dir):
     """GET hits per URL, 10 min windows sliding by 5 s (120 windows per row)."""
     return jobs.url_counts(log_rows(spark, sf_dir), "10 minutes", "5 seconds")
@@ -134,8 +157,19 @@ def q_hot_items_kafka(spark, sf_dir):
     lines = decode_kafka(standin.kafka_rows(_events(spark, sf_dir)))
     rows = ingest_behavior(lines.select("value")).rows
     top = jobs.hot_items(rows, "1 hour", "3 seconds", 5)
+    seconds = F.floor(F.col("window_end") / 1000).cast("bigint")
     return top.groupBy("item_id").agg(F.count(F.lit(1)).alias("top_windows"),
-                                      F.min("rank").alias("best_rank"), F.max("count").alias("peak"))
+                                      F.min("rank").alias("best_rank"), F.max("count").alias("peak"),
+                                      F.min("window_end").alias("first_end"), F.max("window_end").alias("last_end"),
+                                      F.sum(seconds * F.col("count")).alias("end_checksum"),
+                                      F.sum(seconds * F.col("rank")).alias("rank_checksum"))
+
+
+def q_hot_items_kafka_report(spark, sf_dir):
+    """The Kafka job's text report: top 5 items of each 1 h window, here sliding by 30 min."""
+    lines = decode_kafka(standin.kafka_rows(_events(spark, sf_dir)))
+    top = jobs.hot_items(ingest_behavior(lines.select("value")).rows, "1 hour", "30 minutes", 5)
+    return render_report(top, "item_id", COMPACT_ITEMS_LAYOUT)
 
 
 def q_hot_urls_top5(spark, sf_dir):
@@ -176,6 +210,15 @@ def q_hot_urls_updated(spark, sf_dir):
     return top.select("url", "window_end", "url_count", "rank")
 
 
+def q_open_windows_after_expiry(spark, sf_dir):
+    """Counts of the windows that may still change at the final watermark, 1 day retention."""
+    rows = arrival_log_rows(spark, sf_dir)
+    split = late.split_late(rows, jobs.is_get(), "10 minutes", "5 seconds", delay="1 second", lateness="1 minute")
+    counts = late.accepted_counts(split.on_time, "url", "10 minutes", "5 seconds", "1 minute", count_col="url_count")
+    final = rows.agg((F.max("event_ms") - 1000).alias("wm")).scalar()
+    return expire_windows(counts, final, 86_400_000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_behavior": q_ingest_behavior,
     "ingest_behavior_rejects": q_ingest_behavior_rejects,
@@ -196,4 +239,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_rows": q_late_rows,
     "on_time_rows": q_on_time_rows,
     "hot_urls_updated": q_hot_urls_updated,
+    "ingest_behavior_clean": q_ingest_behavior_clean,
+    "ingest_access_log_clean": q_ingest_access_log_clean,
+    "item_counts_1h_7s": q_item_counts_1h_7s,
+    "hot_items_kafka_report": q_hot_items_kafka_report,
+    "open_windows_after_expiry": q_open_windows_after_expiry,
 }

@@ -8,6 +8,8 @@ def counts(spark, data):
     return spark.createDataFrame(data, "item_id bigint, window_end bigint, count bigint")
 
 
+# Fixed values below: the report texts of the original jobs, as printed.
+
 def test_ties_lower_key_wins_and_fewer_than_n(spark):
     df = counts(spark, [(i, 1000, c) for i, c in [(9, 5), (3, 7), (4, 5), (8, 5), (1, 5), (2, 5), (6, 1)]]
                 + [(1, 2000, 3)])
