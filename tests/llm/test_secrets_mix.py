@@ -1,0 +1,86 @@
+import re
+
+from clickstats.llm.mixing import mix_sources
+from clickstats.llm.secret_scan import RULES, Rule, redact, rule_candidates, trigram_postings, trigram_query, with_secret_spans
+from llm_data import COLUMNS, docs
+
+TEXTS = [None, "", "password: hunter22 and Token='abcdef' then secret=abc token=token: abcdefgh", "AKIA" + "X1" * 10, "x" * 50_000 + " api_key=zzzzzz",
+         "deadbeef" * 3 + " é AKIAAKIASHORT deadbeef" * 2, "password: hunter22 and Token='abcdef'", "passwords only", "APIKEY:é", "ab" * 12 + "ABAB"]
+
+
+def brute(text):
+    out = []
+    for rank, r in enumerate(RULES):
+        for m in re.finditer(r.pattern, text or "", re.ASCII):
+            if len(m.group(r.group)) >= r.least:
+                out.append((m.start(), rank, m.end(), r.kind))
+    return sorted(out)
+
+
+def test_spans_equal_a_full_scan(spark):
+    d = docs(spark, TEXTS + [TEXTS[2], TEXTS[4]], [*range(len(TEXTS)), 2, None])
+    got = with_secret_spans(d).collect()
+    assert len(got) == len(TEXTS) + 2
+    assert sorted((r["text"] or "", [tuple(s) for s in r["secret_spans"]]) for r in got) == sorted(
+        (t or "", brute(t)) for t in TEXTS + [TEXTS[2], TEXTS[4]])
+    assert with_secret_spans(docs(spark, [], [])).collect() == []
+
+
+def test_trigram_queries():
+    assert trigram_query("[0-9a-f]{24,}") is None and trigram_query("ab") is None
+    assert trigram_query("abcd") == {frozenset({"abc", "bcd"})}
+    assert trigram_query("(abc|xyz)[0-9]+tail") == {frozenset({"abc", "tai", "ail"}), frozenset({"xyz", "tai", "ail"})}
+    assert trigram_query("colou?r") == {frozenset({"col", "olo", "lou", "our"}), frozenset({"col", "olo", "lor"})}
+    assert trigram_query("(?:abc)?x") is None
+
+
+def test_index_gives_every_matching_document(spark):
+    d = docs(spark, TEXTS)
+    rules = RULES + (Rule("odd", "colou?r"),)
+    found = {r["key"]: set(r["rules"]) for r in rule_candidates(trigram_postings(d, rules), rules).collect()}
+    for i, t in enumerate(TEXTS):
+        for r in rules:
+            if r.query and re.search(r.pattern, t or ""):
+                assert r.kind in found[i]
+    assert 7 in found and 0 not in found  # "passwords only" is a candidate that verification drops
+
+
+def test_redaction(spark):
+    got = {r["doc_id"]: r["text"] for r in redact(docs(spark, TEXTS)).collect()}
+    assert got[0] is None and got[1] == "" and got[7] == TEXTS[7]
+    assert got[6] == "[SECRET] and [SECRET]'" and got[4].endswith(" [SECRET]")
+    assert not any(brute(t) for i, t in got.items() if i != 3)
+
+
+def test_mix_keeps_every_source_within_one_block(spark):
+    rows = ["t"] * 900
+    ids = list(range(900))
+    d = docs(spark, rows, ids)
+    weights = {"src0": 5, "src1": 3, "src2": 1}
+    out = mix_sources(d, weights, rest_weight=2, block_rows=4).collect()
+    assert sorted(r["doc_id"] for r in out) == ids
+    slots = {}
+    for r in out:
+        slots.setdefault(r["slot"], set()).add((r["mix_source"], r["block"], r["release"], r["deadline"]))
+    assert all(len(v) == 1 for v in slots.values())
+    given = {}
+    full = {s: sum(r["mix_source"] == s for r in out) // 4 for s in (*weights, "~rest")}
+    every = {**weights, "~rest": 2}
+    for slot in sorted(slots):
+        (source, block, release, deadline), = slots[slot]
+        assert release <= slot < deadline
+        given[source] = given.get(source, 0) + 1
+        if all(given.get(s, 0) < full[s] for s in every):  # nobody has run out
+            for s, w in every.items():
+                assert abs(given.get(s, 0) - (slot + 1) * w / 11) < 1
+    assert sorted((r["slot"], r["block_row"]) for r in out) == sorted({(r["slot"], r["block_row"]) for r in out})
+
+
+def test_mix_edge_cases(spark):
+    d = docs(spark, [None, "a", "a", "b"], [None, 1, 1, None])
+    out = mix_sources(d, {"src1": 1}, block_rows=2)
+    assert out.columns[:len(d.columns)] == d.columns and out.count() == 4
+    assert len({(r["slot"], r["block_row"]) for r in out.collect()}) == 4
+    empty = mix_sources(docs(spark, [], []), {"src1": 1})
+    assert empty.columns == out.columns and empty.collect() == []
+    assert COLUMNS == d.columns[:5]
