@@ -1,7 +1,7 @@
 """Toxicity scores from subword embeddings.
 
 A text is the average of the embeddings of its character n-grams (bytes, 3 to
-6, inside words with their edges), put through a two-class linear softmax.
+6, inside words, with an edge), put through a two-class linear softmax.
 Embeddings and softmax are trained together in numpy by gradient steps with a
 rate per n-gram. A misspelt word shares most of its n-grams with the word.
 
@@ -43,7 +43,7 @@ for _a, _z in ((48, 57), (65, 90), (97, 122)):
 def gram_buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position, bucket) of every n-gram of lower-cased ``data``.
 
-    An n-gram lies in one word and may take in the separator on either side,
+    An n-gram lies in one word and may take in the separator on one side,
     which marks the word's edge; a text's ends count as separators if given so.
     """
     word = _WORD[data]
