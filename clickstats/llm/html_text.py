@@ -48,6 +48,9 @@ MARKS = frozenset("ad ads advert advertisement advertising adverts banner breadc
                   "notices notification pager pagination popup promo promoted promotion related replies reply respond share "
                   "sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split())
 
+#: Words in class or id that mark the article on pages without an element of ``MAIN``.
+MAIN_MARKS = frozenset("article content entry main post story".split())
+
 SHORT = 70
 LONG = 200
 STOP_LOW, STOP_HIGH = 0.15, 0.30
@@ -56,6 +59,7 @@ LINK_HIGH = 0.4
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_HAS_MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _WORDS = re.compile(r"\w+")
 
@@ -83,6 +87,11 @@ def _is_marked(attributes: str) -> bool:
     return False
 
 
+def _names_main(attributes: str) -> bool:
+    return any(name.lower() in ("class", "id", "role") and not MAIN_MARKS.isdisjoint(_SPLIT.split(value.strip("\"'").lower()))
+               for name, value in _ATTR.findall(attributes))
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page outside dropped elements, in page order."""
     out: list[Block] = []
@@ -118,6 +127,7 @@ def blocks_of(page: str) -> list[Block]:
         del stack[k:]
         heading = any(s[0] in HEADINGS for s in stack)
 
+    has_main = _HAS_MAIN.search(page) is not None
     at, n = 0, len(page)
     while at < n:
         m = _TAG.search(page, at)
@@ -150,7 +160,8 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         dropped, container = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        if name in MAIN and container == 0:
+        marks_main = name in MAIN or (not has_main and name in ("div", "section", "td") and _names_main(m.group(3)))
+        if marks_main and container == 0 and not dropped:
             containers += 1
             container = containers
         dropped = (dropped or name in DROPPED or (name == "header" and container == 0)

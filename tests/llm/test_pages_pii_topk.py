@@ -28,6 +28,8 @@ def test_pages_without_an_article_use_their_neighbours():
     long = "The story of the house that was on the hill and in the wind for all of the years of it, and so on it went."
     page = f"<body><div><a href=x>menu of links</a></div><p>{long}</p><p>Short.</p><p>{long}</p><div><a href=x>more links</a></div></body>"
     assert main_text(page) == f"{long}\nShort.\n{long}"
+    named = '<body><div>Top of the page</div><div class="post-content"><p>Zip.</p><p>Zap zip.</p></div><div class="post-comments">No.</div></body>'
+    assert main_text(named) == "Zip.\nZap zip."
     assert main_text("plain") == "plain" and main_text(None) == "" and main_text("<p></p>") == ""
     assert main_text("<p>a < b & c <unclosed") != "" and blocks_of("</p></div>") == []
 
