@@ -8,13 +8,13 @@ id. Shuffling every window would move many times the corpus, so:
    Equal windows have equal keys, and neighbouring windows mostly share theirs;
    a run of windows with one key is a zone. One shuffle of (key, document)
    finds the keys that two documents share.
-2. Only zones with a shared key are cut out as pieces of text and sent to the
-   bucket of their key. Equal pieces of a task are settled at once. Pieces of
-   hot keys, which a large share of documents may have, are cut into single
-   windows and spread by content.
-3. In a bucket, a matcher (an automaton or a suffix array) finds which windows
-   of the different pieces are equal. Whoever has not the smallest id is
-   covered.
+2. Zones with a shared key are sent to the bucket of their key as hashes. Equal
+   zones are settled there (those of a task at once): whoever has not the
+   smallest id is covered. Zones of hot keys, which a large share of documents
+   may have, are sent as single windows, spread by content.
+3. Where zones under one key differ, the smallest document of each sends its
+   piece of text to the bucket, and a matcher (an automaton or a suffix array)
+   finds which windows of the different pieces are equal.
 4. Covered ranges go back to their document.
 """
 
@@ -41,9 +41,15 @@ HOT_IN_BUCKET = 4096
 
 _ZONE = np.dtype([("key", "<u8"), ("doc", "<i8")])
 _MARK = np.iinfo(np.int64).min  # instead of a document: this key is hot
-_PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("windows", "<u2"), ("bytes", "<u4")])
-_RANGE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("end", "<i4")])
-RANGES = "doc long, row int, start int, end int"
+_HASHED = np.dtype([("key", "<u8"), ("hash", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("windows", "<u2")])
+#: Bits of a zone's hash that are sent. Zones are equal if key and hash agree: a chance of 2**-48 per pair under one key.
+HASH_BITS = 48
+_PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
+_RANGE = np.dtype([("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("length", "<u2")])
+#: A range in one long: the row's hash, the first unit, the length (at most ZONE_WINDOWS + size - 1, a byte). The hash only
+#: tells apart rows that share an id but not the text; two such rows are taken for one with a chance of 2**-16.
+_ROW_BITS, _START_BITS, _LENGTH_BITS = 16, 31, 8
+RANGES = "doc long, code long"
 
 
 @dataclass(frozen=True)
@@ -131,11 +137,7 @@ def zones(step: _Step, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         start = np.repeat(start, parts) + nth * ZONE_WINDOWS
         count = np.minimum(ZONE_WINDOWS, np.repeat(stop, parts) - start)
     text = np.searchsorted(first, start, side="right") - 1
-    return text, start, count, low[start] & ~np.uint64(1)
-
-
-def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(1)) % np.uint64(buckets)).astype(np.int32)
+    return text, start, count, low[start]
 
 
 def _scan(texts: DataFrame, u: Units) -> DataFrame:
@@ -151,8 +153,9 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
         hot = np.repeat(length >= HOT_IN_FLUSH, length)
         marks = np.empty(int((length >= HOT_IN_FLUSH).sum()), _ZONE)
         marks["key"], marks["doc"] = r["key"][at[length >= HOT_IN_FLUSH]], _MARK
-        plain = np.concatenate([r[~hot], marks])
-        rows = blobs.pack(plain, _bucket_of(plain["key"], buckets))
+        plain = r[~hot]
+        plain = np.concatenate([marks, plain[np.argsort(plain["doc"], kind="stable")]])
+        rows = blobs.pack(plain, blobs.bucket_of(plain["key"]))
         past = r[hot]  # known to be shared: only passed on, evenly
         return rows + blobs.pack(past, buckets + (turn * 31 + np.arange(len(past)) // 4096).astype(np.int32) % buckets)
 
@@ -164,7 +167,7 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
             for i, z in textops.steps(off, STEP_BYTES):
                 text, _, _, key = zones(_units(data[off[i]:off[z]], off[i:z + 1] - off[i], u), u)
                 r = np.empty(len(key), _ZONE)
-                r["key"], r["doc"] = key, docs[i:z][text]
+                r["key"], r["doc"] = blobs.short_keys(key, buckets), docs[i:z][text]
                 held.append(r)
                 size += len(r)
                 if size > FLUSH:
@@ -211,190 +214,254 @@ def _pack_pieces(p: np.ndarray, begin: np.ndarray, end: np.ndarray, content: np.
     at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     rows = []
     for a, z in zip(at, np.r_[at[1:], len(bucket)]):
-        head = b"".join(p[f][a:z].tobytes() for f in _PIECE.names)
-        rows.append((int(bucket[a]), np.int64(z - a).tobytes() + head + b"".join(
-            [raw[s:e] for s, e in zip(begin[a:z].tolist(), end[a:z].tolist())])))
+        rows.append((int(bucket[a]), blobs.squeeze(np.int64(z - a).tobytes() + blobs.encode(p[a:z]) + b"".join(
+            [raw[s:e] for s, e in zip(begin[a:z].tolist(), end[a:z].tolist())]))))
     return rows
 
 
 def _unpack_pieces(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(pieces, their bytes end to end)."""
     ps, contents = [], []
-    for x in held:
+    for x in map(blobs.unsqueeze, held):
         n = int(np.frombuffer(x, np.int64, 1)[0])
         size = 8 + n * _PIECE.itemsize
-        ps.append(blobs.unpack(x[8:size], _PIECE))
+        ps.append(blobs.decode(x[8:size], _PIECE, n))
         contents.append(np.frombuffer(x, np.uint8, -1, size))
     return np.concatenate(ps), np.concatenate(contents)
 
 
-def _settle_copies(p: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal pieces (hashes ``h``): whether a piece leads, and whether an equal piece has a smaller id."""
-    order = np.lexsort((p["row"], p["doc"], h))
-    hs = h[order]
-    new = np.r_[True, hs[1:] != hs[:-1]]
-    lead = np.zeros(len(p), bool)
-    lead[order[new]] = True
+def _settle_copies(p: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Of pieces with equal key and hash ``h``: whether another has a smaller id."""
+    order = np.lexsort((p["doc"], h, p["key"]))
+    hs, ks = h[order], p["key"][order]
+    new = np.r_[True, (hs[1:] != hs[:-1]) | (ks[1:] != ks[:-1])]
     low = p["doc"][order][new][np.cumsum(new) - 1]
     behind = np.zeros(len(p), bool)
     behind[order] = p["doc"][order] > low
-    return lead, behind
+    return behind
 
 
 def _as_ranges(p: np.ndarray, size: int) -> np.ndarray:
     r = np.empty(len(p), _RANGE)
-    r["doc"], r["row"], r["start"] = p["doc"], p["row"], p["start"]
-    r["end"] = p["start"].astype(np.int64) + p["windows"] + size - 1
+    r["doc"], r["row"], r["start"], r["length"] = p["doc"], p["row"], p["start"], p["windows"] + (size - 1)
     return r
 
 
-def _cut_pieces(keyed: DataFrame, u: Units) -> DataFrame:
-    """Packed pieces of the zones with shared keys, and in further buckets the ranges that a task could settle itself."""
+def _codes(r: np.ndarray) -> np.ndarray:
+    row = (r["row"].astype(np.int64) & ((1 << _ROW_BITS) - 1)) << (_START_BITS + _LENGTH_BITS)
+    return row | (r["start"].astype(np.int64) << _LENGTH_BITS) | r["length"].astype(np.int64)
+
+
+def _zones_of(batches, u: Units, buckets: int):
+    """(step, text, start, count, key, docs, rows, turn) of the zones whose key is in the list (column 3) of some text of the step."""
+    for b in batches:
+        docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+        data, off = textops.column_buffer(b.column(2))
+        lists = b.column(3)
+        k_off = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
+        k_all = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for i, z in textops.steps(off, STEP_BYTES):
+            keys = np.unique(k_all[k_off[i]:k_off[z]])
+            if not len(keys):
+                continue
+            step = _units(data[off[i]:off[z]], off[i:z + 1] - off[i], u)
+            text, start, count, key = zones(step, u)
+            key = blobs.short_keys(key, buckets)
+            plain = keys & ~np.uint64(1)
+            spot = np.minimum(np.searchsorted(plain, key), len(plain) - 1)
+            found = plain[spot] == key
+            yield (step, text[found], start[found], count[found], keys[spot[found]], docs[i:z], rows[i:z], int(docs[i] & 0xFFFF))
+
+
+def _passed_on(r: np.ndarray, buckets: int, turn: int) -> list[tuple[int, bytes]]:
+    """Settled records, evenly over further buckets that only pass them on."""
+    return blobs.pack(r, buckets + (turn * 31 + np.arange(len(r)) // 4096).astype(np.int32) % buckets)
+
+
+def _send_hashes(keyed: DataFrame, u: Units) -> DataFrame:
+    """Packed hashes of the zones with shared keys, and in further buckets the ranges that a task could settle itself."""
     buckets = blobs.bucket_count(keyed.sparkSession)
 
     def flush(held, turn):
+        p = np.concatenate(held)
+        behind = _settle_copies(p, p["hash"])
+        hot = (p["key"] & np.uint64(1)).astype(bool)
+        stay = p[~behind]
+        route = np.where(hot[~behind], (stay["hash"] % np.uint64(buckets)).astype(np.int32), blobs.bucket_of(stay["key"]))
+        return blobs.pack(stay, route.astype(np.int32)) + _passed_on(_as_ranges(p[behind], u.size), buckets, turn)
+
+    def run(batches):
+        held, size, turn = [], 0, 0
+        for step, text, start, count, key, docs, rows, turn in _zones_of(batches, u, buckets):
+            hot = (key & np.uint64(1)).astype(bool)
+            if hot.any():  # one record per window
+                each = np.where(hot, count, 1)
+                nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                text, key, start = np.repeat(text, each), np.repeat(key, each), np.repeat(start, each) + nth
+                count = np.where(np.repeat(hot, each), 1, np.repeat(count, each))
+            p = np.empty(len(key), _HASHED)
+            p["key"], p["doc"], p["row"] = key, docs[text], rows[text]
+            p["start"], p["windows"] = start - step.first[text], count
+            p["hash"] = textops.span_hashes(step.content, *step.cut(start, count + u.size - 1)) >> np.uint64(64 - HASH_BITS)
+            held.append(p)
+            size += len(p)
+            if size > FLUSH:
+                yield blobs.to_batch(flush(held, turn))
+                held, size = [], 0
+        if held:
+            yield blobs.to_batch(flush(held, turn))
+
+    return keyed.mapInArrow(run, blobs.SCHEMA)
+
+
+def _compare_hashes(packed: DataFrame, u: Units) -> DataFrame:
+    """(doc, code, ask): covered ranges as codes, and the keys for which a document is to send its pieces."""
+    buckets = blobs.bucket_count(packed.sparkSession)
+
+    def run(batches):
+        for bucket, held in blobs.each_bucket(batches):
+            asks = np.zeros(0, _HASHED)
+            if bucket >= buckets:
+                done = np.concatenate([blobs.unpack(x, _RANGE) for x in held])
+            else:
+                p = np.concatenate([blobs.unpack(x, _HASHED) for x in held])
+                behind = _settle_copies(p, p["hash"])
+                done = _as_ranges(p[behind], u.size)
+                # A hot key's records are single windows: equal or not, nothing is left to match.
+                p = p[~behind & ((p["key"] & np.uint64(1)) == 0)]
+                if len(p):
+                    p = p[np.lexsort((p["doc"], p["key"]))]
+                    at = np.flatnonzero(np.r_[True, p["key"][1:] != p["key"][:-1]])
+                    ends = np.r_[at[1:], len(p)]
+                    open_ = (p["doc"][at] != p["doc"][ends - 1]) & (np.minimum.reduceat(p["hash"], at) != np.maximum.reduceat(p["hash"], at))
+                    p = p[np.repeat(open_, ends - at)]
+                    asks = p[np.r_[True, (p["key"][1:] != p["key"][:-1]) | (p["doc"][1:] != p["doc"][:-1])]] if len(p) else p
+            for r, of in ((done, 0), (asks, 1)):
+                for i in range(0, len(r), 1 << 16):
+                    part = r[i:i + (1 << 16)]
+                    value = pa.array(part["key"].view(np.int64) if of else _codes(part))
+                    none = pa.nulls(len(part), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), none if of else value,
+                                                      value if of else none], names=["doc", "code", "ask"])
+
+    return blobs.by_bucket(packed).mapInArrow(run, "doc long, code long, ask long")
+
+
+def _cut_pieces(asked: DataFrame, u: Units) -> DataFrame:
+    """Packed pieces of text of the zones whose keys are asked for."""
+    buckets = blobs.bucket_count(asked.sparkSession)
+
+    def flush(held):
         p = np.concatenate([x[0] for x in held])
         shift = np.cumsum([0] + [len(x[3]) for x in held])
         begin = np.concatenate([x[1] + s for x, s in zip(held, shift)])
         end = np.concatenate([x[2] + s for x, s in zip(held, shift)])
-        content = np.concatenate([x[3] for x in held])
-        h = textops.span_hashes(content, begin, end)
-        lead, behind = _settle_copies(p, h)
-        # Of equal pieces with the same smallest id all but one row would be lost: rows that share an id stay.
-        stay = lead | ~behind
-        done = _as_ranges(p[behind], u.size)
-        route = np.where(p["key"] & np.uint64(1), h, p["key"])
-        rows = _pack_pieces(p[stay], begin[stay], end[stay], content, _bucket_of(route[stay], buckets))
-        return rows + blobs.pack(done, buckets + (turn * 31 + np.arange(len(done)) // 4096).astype(np.int32) % buckets)
+        return _pack_pieces(p, begin, end, np.concatenate([x[3] for x in held]), blobs.bucket_of(p["key"]))
 
     def run(batches):
-        held, size, turn = [], 0, 0
-        for b in batches:
-            docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
-            data, off = textops.column_buffer(b.column(2))
-            lists = b.column(3)
-            k_off = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
-            k_all = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, z in textops.steps(off, STEP_BYTES):
-                keys = np.unique(k_all[k_off[i]:k_off[z]])
-                if not len(keys):
-                    continue
-                step = _units(data[off[i]:off[z]], off[i:z + 1] - off[i], u)
-                text, start, count, key = zones(step, u)
-                plain = keys & ~np.uint64(1)
-                spot = np.minimum(np.searchsorted(plain, key), len(plain) - 1)
-                found = plain[spot] == key
-                text, start, count, key = text[found], start[found], count[found], keys[spot[found]]
-                hot = (key & np.uint64(1)).astype(bool)
-                if hot.any():  # one piece per window
-                    each = np.where(hot, count, 1)
-                    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                    text, key, start = np.repeat(text, each), np.repeat(key, each), np.repeat(start, each) + nth
-                    count = np.where(np.repeat(hot, each), 1, np.repeat(count, each))
-                p = np.empty(len(key), _PIECE)
-                p["key"], p["doc"], p["row"] = key, docs[i:z][text], rows[i:z][text]
-                p["start"], p["windows"] = start - step.first[text], count
-                begin, end = step.cut(start, count + u.size - 1)
-                p["bytes"] = end - begin
-                # Keep only the bytes of pieces, so that a flush holds no whole texts.
-                content = step.content
-                used = _covered(len(content), begin, end)
-                to = np.r_[0, np.cumsum(used)]
-                held.append((p, to[begin], to[end], content[used]))
-                size += len(p) * 40 + len(held[-1][3])
-                turn = int(docs[i] & 0xFFFF)
-                if size > 8 * FLUSH:
-                    yield blobs.to_batch(flush(held, turn))
-                    held, size = [], 0
+        held, size = [], 0
+        for step, text, start, count, key, docs, rows, _ in _zones_of(batches, u, buckets):
+            p = np.empty(len(key), _PIECE)
+            p["key"], p["doc"], p["row"] = key, docs[text], rows[text]
+            p["start"], p["windows"] = start - step.first[text], count
+            begin, end = step.cut(start, count + u.size - 1)
+            p["bytes"] = end - begin
+            # Keep only the bytes of pieces, so that a flush holds no whole texts.
+            used = _covered(len(step.content), begin, end)
+            to = np.r_[0, np.cumsum(used)]
+            held.append((p, to[begin], to[end], step.content[used]))
+            size += len(p) * 40 + len(held[-1][3])
+            if size > 8 * FLUSH:
+                yield blobs.to_batch(flush(held))
+                held, size = [], 0
         if held:
-            yield blobs.to_batch(flush(held, turn))
+            yield blobs.to_batch(flush(held))
 
-    return keyed.mapInArrow(run, blobs.SCHEMA)
+    return asked.mapInArrow(run, blobs.SCHEMA)
 
 
 def _match(packed: DataFrame, u: Units, matcher) -> DataFrame:
     """Covered ranges (RANGES, in units) from the pieces of every bucket."""
-    buckets = blobs.bucket_count(packed.sparkSession)
 
-    def ranges(bucket, held):
-        if bucket >= buckets:
-            return np.concatenate([blobs.unpack(x, _RANGE) for x in held])
+    def ranges(held):
         p, content = _unpack_pieces(held)
         end = np.cumsum(p["bytes"].astype(np.int64))
         begin = end - p["bytes"]
-        h = textops.span_hashes(content, begin, end)
-        lead, behind = _settle_copies(p, h)
-        out = [_as_ranges(p[behind], u.size)]
-        # Windows of different pieces can be equal only under one key. The lowest id of every piece meets the others.
-        own = np.flatnonzero(~behind)
-        group = np.where(p["key"] & np.uint64(1), h, p["key"])[own]
-        order = np.argsort(group, kind="stable")
-        own, group = own[order], group[order]
-        new = np.r_[True, group[1:] != group[:-1]] if len(own) else np.zeros(0, bool)
-        size = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(own) else np.zeros(0, np.int64)
-        own = own[size > 1]
-        if len(own):
-            piece, window = matcher(content, begin[own], end[own], p["windows"][own].astype(np.int64), p["doc"][own], u.size)
-            if len(piece):
-                order = np.lexsort((window, piece))
-                piece, window = piece[order], window[order]
-                new = np.r_[True, (piece[1:] != piece[:-1]) | (window[1:] != window[:-1] + 1)]
-                at = np.flatnonzero(new)
-                ends = np.r_[at[1:], len(piece)]
-                r = np.empty(len(at), _RANGE)
-                who = own[piece[at]]
-                r["doc"], r["row"] = p["doc"][who], p["row"][who]
-                r["start"] = p["start"][who] + window[at]
-                r["end"] = p["start"][who] + window[ends - 1] + u.size
-                out.append(r)
-        return np.concatenate(out)
+        # Windows of different pieces can be equal only under one key. Equal pieces are settled already.
+        own = np.flatnonzero(~_settle_copies(p, textops.span_hashes(content, begin, end)))
+        own = own[np.argsort(p["key"][own], kind="stable")]
+        key = p["key"][own]
+        new = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1 if len(own) else np.zeros(0, np.int64)
+        own = own[np.bincount(new)[new] > 1] if len(own) else own
+        if not len(own):
+            return np.zeros(0, _RANGE)
+        piece, window = matcher(content, begin[own], end[own], p["windows"][own].astype(np.int64), p["doc"][own], u.size)
+        order = np.lexsort((window, piece))
+        piece, window = piece[order], window[order]
+        at = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (window[1:] != window[:-1] + 1)]) if len(piece) else piece
+        ends = np.r_[at[1:], len(piece)] if len(piece) else at
+        r = np.empty(len(at), _RANGE)
+        who = own[piece[at]]
+        r["doc"], r["row"] = p["doc"][who], p["row"][who]
+        r["start"] = p["start"][who] + window[at]
+        r["length"] = window[ends - 1] - window[at] + u.size
+        return r
 
     def run(batches):
-        for bucket, held in blobs.each_bucket(batches):
-            r = ranges(bucket, held)
+        for _, held in blobs.each_bucket(batches):
+            r = ranges(held)
             for i in range(0, len(r), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[f][i:i + (1 << 16)])) for f in _RANGE.names],
-                                                 names=list(_RANGE.names))
+                part = r[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), pa.array(_codes(part))],
+                                                 names=["doc", "code"])
 
     return blobs.by_bucket(packed).mapInArrow(run, RANGES)
 
 
 def with_repeats(docs: DataFrame, u: Units, matcher, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, row, text, repeats, key_in) of every row of ``docs``: the id with null as the largest, the text with null as
-    empty, the covered ranges (array of row, start, end; only those with the row's ``row`` are its own), the id as it was.
+    """(doc, row, text, repeats, key_in, asks) of every row of ``docs``: the id with null as the largest, a hash of the text,
+    the text with null as empty, the covered ranges (codes; only those with the row's ``row`` are its own), the id as it was;
+    ``asks`` is of no further use.
 
     ``matcher(content, begin, end, windows, doc, size)`` returns (piece, window) of the windows whose units also stand in a
     piece with a smaller id.
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-                         F.pmod(F.xxhash64(text_column(text)), F.lit(1 << 31)).cast("int").alias("row"), text_column(text).alias("text"),
+                         F.pmod(F.xxhash64(text_column(text)), F.lit(1 << 16)).cast("int").alias("row"), text_column(text).alias("text"),
                          F.col(key).alias("key_in"))
     packed = _scan(source.select("doc", "row", "text"), u)
     keys = _shared_keys(packed).groupBy("k_doc").agg(F.collect_list("k").alias("keys"))
-    # Both joins put the same side with the same columns first, so Spark shuffles the texts once and reads that twice.
+    # Every join with the texts puts the same side with the same columns first, and every use of ``seen`` has both of its
+    # lists, so Spark shuffles each once and reads it again.
     keyed = source.join(keys, F.col("doc") == F.col("k_doc"), "left").select("doc", "row", "text", "keys", "key_in")
-    found = _match(_cut_pieces(keyed, u), u, matcher)
-    found = found.groupBy(F.col("doc").alias("r_doc")).agg(F.collect_list(F.struct("row", "start", "end")).alias("repeats"))
-    return source.join(found, F.col("doc") == F.col("r_doc"), "left").select("doc", "row", "text", "repeats", "key_in")
-
-
-def covered_units(ranges, row: int, n: int) -> np.ndarray:
-    """Mask of the units of a row that its ranges cover. ``ranges``: (rows, starts, ends) arrays or None."""
-    if ranges is None:
+    seen = _compare_hashes(_send_hashes(keyed, u), u).groupBy(F.col("doc").alias("s_doc")).agg(
+        F.collect_list("code").alias("codes"), F.collect_list("ask").alias("asks"))
+    asked = source.join(seen, F.col("doc") == F.col("s_doc"), "left").select("doc", "row", "text", "asks", "codes", "key_in")
+    found = _match(_cut_pieces(asked, u), u, matcher)
+    found = found.groupBy(F.col("doc").alias("r_doc")).agg(F.collect_list("code").alias("more"))
+    whole = source.join(seen, F.col("doc") == F.col("s_doc"), "left").join(found, F.col("doc") == F.col("r_doc"), "left")
+    none = F.array().cast("array<long>")
+    return whole.select("doc", "row", "text", F.concat(F.coalesce("codes", none), F.coalesce("more", none)).alias("repeats"),
+                        "key_in", "asks")
+
+
+def covered_units(codes: np.ndarray | None, row: int, n: int) -> np.ndarray:
+    """Mask of the units of a row that its ranges cover."""
+    if codes is None:
         return np.zeros(n, bool)
-    rows, starts, ends = ranges
-    own = rows == row
-    return _covered(n, starts[own].astype(np.int64), ends[own].astype(np.int64))
+    own = codes[codes >> (_START_BITS + _LENGTH_BITS) == row & ((1 << _ROW_BITS) - 1)]
+    start = (own >> _LENGTH_BITS) & ((1 << _START_BITS) - 1)
+    # A range of another text that shares the id and the row's hash could reach beyond the text.
+    return _covered(n, np.minimum(start, n), np.minimum(start + (own & ((1 << _LENGTH_BITS) - 1)), n))
 
 
 def each_row(batches):
-    """(batch, i, row, ranges) of the result of ``with_repeats``."""
+    """(batch, i, row, codes) of the result of ``with_repeats``."""
     for b in batches:
         lists = b.column(3)
         off = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
-        flat = lists.flatten()
-        cols = [flat.field(k).to_numpy(zero_copy_only=False) for k in range(3)]
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         rows = b.column(1).to_numpy()
         for i in range(b.num_rows):
             a, z = off[i], off[i + 1]
-            yield b, i, int(rows[i]), tuple(c[a:z] for c in cols) if z > a else None
+            yield b, i, int(rows[i]), flat[a:z] if z > a else None
