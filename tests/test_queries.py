@@ -1,8 +1,9 @@
-"""Every registered query against its DuckDB oracle on the smallest tables."""
+"""Every query of the clickstream jobs against its DuckDB oracle on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as E
+from clickstats.plans.registered import QUERIES
 from conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
@@ -12,7 +13,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     assert name in E.oracle_sql(), "every query has an oracle"
     r = compare(spark, name, SF_SMALL, con)
