@@ -23,13 +23,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     comes to the driver.
     """
     edges = cut(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("v <> u").distinct())
-    before = None
+    before = _key(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("x"), F.least("v", "m").alias("m"))
         # Larger neighbours u of x go to x's smallest.
         large = both.where("u > v").join(low, F.col("v") == F.col("x")).select(F.col("u").alias("v"), F.col("m").alias("u"))
-        large = cut(large.where("v <> u").distinct())
+        large = cut(large.where("v <> u"))  # at most as many rows as edges, repeats included
         least = large.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("x"), "m")
         # Smaller neighbours u of v go to v's smallest, and v itself.
         small = large.join(least, F.col("v") == F.col("x")).select(F.col("u").alias("v"), F.col("m").alias("u"))

@@ -35,8 +35,8 @@ from clickstats.llm.tables import cut, fresh, shuffle_partitions, text_column
 WORDS = 5
 PERCENT = 80
 #: Entries of the frequency table. Its size is fixed; more entries order shingles better.
-FREQUENCY_BUCKETS = 1 << 18
-_CHUNK = 1 << 10
+FREQUENCY_BUCKETS = 1 << 20
+_CHUNK = 1 << 12
 #: Lists up to this length give their pairs directly; a longer one forms a group around a hub.
 PAIR_LIST = 48
 #: Shingles of one block of a group (8 bytes each).
@@ -45,6 +45,8 @@ STEP_BYTES = 1 << 21
 #: Weight of merging against probing in DivideSkip.
 MU = 0.01
 
+_COUNT = np.dtype([("c", "<u4")])
+#: A list's key is shorter than a shingle's hash: lists that fall together only give candidates that verification drops.
 _POSTING = np.dtype([("key", "<u8"), ("cls", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 
 
@@ -91,7 +93,7 @@ def _scan_classes(texts: DataFrame) -> DataFrame:
                 n[i], cls[i] = len(s), _class_of(s)
                 held.append((s & np.uint64(FREQUENCY_BUCKETS - 1)).astype(np.int64))
                 size += len(s)
-                if size > 1 << 19:
+                if size > 1 << 20:
                     counts += np.bincount(np.concatenate(held), minlength=FREQUENCY_BUCKETS)
                     held, size = [], 0
             if held:
@@ -99,10 +101,10 @@ def _scan_classes(texts: DataFrame) -> DataFrame:
             none = pa.nulls(b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(cls.view(np.int64)),
                                               none.cast(pa.int32()), none.cast(pa.binary())], schema=arrow)
-        parts = counts.astype(np.uint32).reshape(-1, _CHUNK)  # a task reads fewer than 2**32 shingles
+        parts = counts.astype(_COUNT).reshape(-1, _CHUNK)  # a task reads fewer than 2**32 shingles
         none = pa.nulls(len(parts)).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(np.arange(len(parts)), pa.int32()),
-                                          pa.array([p.tobytes() for p in parts], pa.binary())], schema=arrow)
+                                          pa.array([blobs.squeeze(blobs.encode(p)) for p in parts], pa.binary())], schema=arrow)
 
     return texts.mapInArrow(run, schema)
 
@@ -114,7 +116,7 @@ def _frequencies(counts: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(raw.as_py(), np.uint32).astype(np.int64)
+                part = blobs.unpack(raw.as_py(), _COUNT)["c"].astype(np.int64)
                 total[chunk] = total[chunk] + part if chunk in total else part
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
                                           pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["chunk", "counts"])
@@ -139,7 +141,7 @@ def _short_postings(texts: DataFrame, frequency: np.ndarray) -> DataFrame:
 
         def flush():
             r = np.concatenate(held)
-            return blobs.to_batch(blobs.pack(r, (r["key"] % np.uint64(buckets)).astype(np.int32)))
+            return blobs.to_batch(blobs.pack(r, blobs.bucket_of(r["key"])))
 
         for _, _, s in _each_set(batches, 1):
             c = _class_of(s)
@@ -150,7 +152,7 @@ def _short_postings(texts: DataFrame, frequency: np.ndarray) -> DataFrame:
             m = n + (-PERCENT * n // 100) + 1  # n - ceil(0.8 n) + 1
             order = np.argsort(table[(s & np.uint64(FREQUENCY_BUCKETS - 1)).astype(np.int64)], kind="stable")[:m]
             r = np.empty(m, _POSTING)
-            r["key"], r["cls"], r["n"], r["pos"] = s[order], c, n, np.arange(m)
+            r["key"], r["cls"], r["n"], r["pos"] = blobs.short_keys(s[order], buckets), c, n, np.arange(m)
             held.append(r)
             size += m
             if size > 1 << 20:
@@ -304,7 +306,8 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _search_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Links (a, b) from rows of (keys, cls, asks, comp, shingles), one DivideSkip search per value of the keys."""
+    """Stars (a, b) from rows of (keys, cls, asks, comp, shingles), one DivideSkip search per value of the keys: ``b`` is the
+    smallest class of the component that ``a`` has within the group."""
     n_keys = len(keys)
     rows = rows.repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "cls")
 
@@ -313,7 +316,18 @@ def _search_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
         first = [i for i in range(len(cls)) if i == 0 or cls[i] != cls[i - 1]]  # copies of a set count once
         got = divide_skip_links([np.frombuffer(group[i][3], np.uint64) for i in first], [group[i][1] for i in first],
                                 [group[i][2] for i in first])
-        return [(cls[first[a]], cls[first[b]]) for a, b in got]
+        low = {cls[i]: cls[i] for i in first}
+
+        def find(x):
+            while low[x] != x:
+                low[x] = low[low[x]]
+                x = low[x]
+            return x
+
+        for a, b in got:
+            x, y = find(cls[first[a]]), find(cls[first[b]])
+            low[max(x, y)] = min(x, y)
+        return [(x, find(x)) for x in low if find(x) != x]
 
     def run(batches):
         now, group, out = None, [], []
@@ -379,10 +393,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     first = dealt.withColumn("asks", F.lit(True)).withColumn("comp", F.col("cls"))
     links = cut(search(first, ["grp", "block"]))
-    comps = cut(connected_components(links))
+    # A set of a whole group is nowhere else: its stars are components already. Groups around hubs overlap.
+    overlap = by_hub.limit(1).count() > 0
+    comps = cut(connected_components(links)) if overlap else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
     split = dealt.where("blocks > 1")
-    if split.limit(1).count():
+    if overlap and split.limit(1).count():
         held = split.join(comps, F.col("cls") == F.col("node"), "left")
         held = held.withColumn("comp", F.coalesce("root", "cls")).drop("node", "root")
         held = held.join(comps.select(F.col("node").alias("h"), "root"), F.col("grp") == F.col("h"), "left")
