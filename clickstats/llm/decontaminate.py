@@ -16,7 +16,6 @@ deviations above the distance that a similarity of 0.8 gives.
 from __future__ import annotations
 
 import string
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,19 +46,16 @@ def _shingles(words: Column, n: Column, width: int) -> Column:
 
 def simhash(shingles: Column) -> Column:
     """64-bit SimHash: bit b is set if more shingles have it than not."""
-    # Four bits of a hash spread over the four 16-bit lanes of a long, so that one sum counts four bits: 65,535 shingles at most.
-    spread, lanes = F.lit(1 + (1 << 15) + (1 << 30) + (1 << 45)), F.lit(0x0001000100010001)
-    sums = [F.aggregate(shingles, F.lit(0).cast("long"), lambda a, h: a + (
-        F.shiftrightunsigned(h, 4 * k).bitwiseAND(F.lit(15).cast("long")) * spread).bitwiseAND(lanes)) for k in range(BITS // 4)]
-    half = F.size(shingles)
-
-    def bit(s, b):
-        count = F.shiftrightunsigned(s, 16 * (b % 4)).bitwiseAND(F.lit(0xFFFF).cast("long"))
-        return F.when(2 * count > half, F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
-
-    # The sums are elements of one array, so that each is computed once.
-    return F.aggregate(F.array(F.struct(*[s.alias(f"s{k}") for k, s in enumerate(sums)])), F.lit(0).cast("long"), lambda a, x: reduce(
-        lambda u, v: u.bitwiseOR(v), [bit(x[f"s{b // 4}"], b) for b in range(BITS)], a))
+    twice = F.size(shingles)
+
+    def bit(b):
+        set_ = F.aggregate(shingles, F.lit(0), lambda a, h: a + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1)).cast("int"))
+        return F.when(2 * set_ > twice, F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    out = bit(0)
+    for b in range(1, BITS):
+        out = out.bitwiseOR(bit(b))
+    return out
 
 
 def _blocks() -> list[tuple[int, int]]:
