@@ -1,6 +1,6 @@
 """Substring dedup by words: repeated-phrase automata.
 
-Passages that recur across documents are confirmed by hash, compiled into
+Passages that recur across documents are confirmed, compiled into
 sharded Aho-Corasick automata over word numbers, and the text pieces that can
 hold them are streamed through the automaton of their shard, which reports
 every occurrence of every phrase with the first document that has it. The
@@ -32,8 +32,9 @@ def confirmed_phrases(numbers: np.ndarray, first: np.ndarray, count: np.ndarray,
     piece = np.repeat(np.arange(len(first)), count)
     at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     h = textops.gram_hashes(numbers.astype(np.uint64), size)[at]
-    order = np.lexsort((doc[piece], h))
-    hs, docs = h[order], doc[piece][order]
+    same = textops.equal_spans(h, np.ascontiguousarray(numbers, np.int64).view(np.uint8), 8 * at, 8 * (at + size))
+    order = np.lexsort((doc[piece], same))
+    hs, docs = same[order], doc[piece][order]
     start = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]])
     ends = np.r_[start[1:], len(hs)]
     recurs = docs[start] != docs[ends - 1]
@@ -47,7 +48,7 @@ def automaton_matcher(content, begin, end, windows, doc, size):
     off = np.r_[0, np.cumsum(length)]
     data = np.concatenate([content[a:z] for a, z in zip(begin, end)])
     starts, ends, first = textops.word_spans(data, off)
-    numbers = np.unique(textops.span_hashes(data, starts, ends), return_inverse=True)[1].astype(np.int64)
+    numbers = textops.equal_spans(textops.span_hashes(data, starts, ends), data, starts, ends)
     phrases, owner = confirmed_phrases(numbers, first[:-1], windows, doc, size)
     none = np.zeros(0, np.int64)
     if not len(phrases):

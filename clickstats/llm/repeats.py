@@ -8,14 +8,17 @@ id. Shuffling every window would move many times the corpus, so:
    Equal windows have equal keys, and neighbouring windows mostly share theirs;
    a run of windows with one key is a zone. One shuffle of (key, document)
    finds the keys that two documents share.
-2. Zones with a shared key are sent to the bucket of their key as hashes. Equal
-   zones are settled there (those of a task at once): whoever has not the
-   smallest id is covered. Zones of hot keys, which a large share of documents
-   may have, are sent as single windows, spread by content.
-3. Where zones under one key differ, the smallest document of each sends its
-   piece of text to the bucket, and a matcher (an automaton or a suffix array)
-   finds which windows of the different pieces are equal.
+2. A task settles the equal zones it has of shared keys: whoever has not the
+   smallest id is covered. The others send their piece of text to the bucket of
+   their key. Equal pieces are settled there too, and a matcher (an automaton or
+   a suffix array) finds which windows of the different pieces are equal.
+3. Zones of hot keys, which a large share of documents may have, are taken as
+   single windows, spread by content. Their hashes are sent first; windows whose
+   hash another document has send their text to the matcher of their bucket.
 4. Covered ranges go back to their document.
+
+Hashes only choose what is compared; that windows are equal is always decided on
+their words or bytes.
 """
 
 from __future__ import annotations
@@ -41,15 +44,12 @@ HOT_IN_BUCKET = 4096
 
 _ZONE = np.dtype([("key", "<u8"), ("doc", "<i8")])
 _MARK = np.iinfo(np.int64).min  # instead of a document: this key is hot
-_HASHED = np.dtype([("key", "<u8"), ("hash", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("windows", "<u2")])
-#: Bits of a zone's hash that are sent. Zones are equal if key and hash agree: a chance of 2**-48 per pair under one key.
-HASH_BITS = 48
+_HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4")])  # a window of a hot key
 _PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
 _RANGE = np.dtype([("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("length", "<u2")])
 #: A range in one long: the row's hash, the first unit, the length (at most ZONE_WINDOWS + size - 1, a byte). The hash only
 #: tells apart rows that share an id but not the text; two such rows are taken for one with a chance of 2**-16.
 _ROW_BITS, _START_BITS, _LENGTH_BITS = 16, 31, 8
-RANGES = "doc long, code long"
 
 
 @dataclass(frozen=True)
@@ -230,14 +230,13 @@ def _unpack_pieces(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ps), np.concatenate(contents)
 
 
-def _settle_copies(p: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Of pieces with equal key and hash ``h``: whether another has a smaller id."""
-    order = np.lexsort((p["doc"], h, p["key"]))
-    hs, ks = h[order], p["key"][order]
-    new = np.r_[True, (hs[1:] != hs[:-1]) | (ks[1:] != ks[:-1])]
-    low = p["doc"][order][new][np.cumsum(new) - 1]
-    behind = np.zeros(len(p), bool)
-    behind[order] = p["doc"][order] > low
+def _settle_copies(doc: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Whether another piece with the same content (numbers of ``textops.equal_spans``) has a smaller id."""
+    order = np.lexsort((doc, content))
+    docs, of = doc[order], content[order]
+    new = np.r_[True, of[1:] != of[:-1]]
+    behind = np.zeros(len(doc), bool)
+    behind[order] = docs > docs[new][np.cumsum(new) - 1]
     return behind
 
 
@@ -248,10 +247,22 @@ def _as_ranges(p: np.ndarray, size: int) -> np.ndarray:
 
 
 def _codes(r: np.ndarray) -> np.ndarray:
-    row = (r["row"].astype(np.int64) & ((1 << _ROW_BITS) - 1)) << (_START_BITS + _LENGTH_BITS)
+    row = _row_bits(r["row"].astype(np.int64)) << (_START_BITS + _LENGTH_BITS)
     return row | (r["start"].astype(np.int64) << _LENGTH_BITS) | r["length"].astype(np.int64)
 
 
+def _row_bits(row):
+    return row & ((1 << _ROW_BITS) - 1)
+
+
+def _row_of(codes: np.ndarray) -> np.ndarray:
+    return codes >> (_START_BITS + _LENGTH_BITS)
+
+
+def _start_of(codes: np.ndarray) -> np.ndarray:
+    return (codes >> _LENGTH_BITS) & ((1 << _START_BITS) - 1)
+
+
 def _zones_of(batches, u: Units, buckets: int):
     """(step, text, start, count, key, docs, rows, turn) of the zones whose key is in the list (column 3) of some text of the step."""
     for b in batches:
@@ -275,23 +286,46 @@ def _zones_of(batches, u: Units, buckets: int):
 
 def _passed_on(r: np.ndarray, buckets: int, turn: int) -> list[tuple[int, bytes]]:
     """Settled records, evenly over further buckets that only pass them on."""
-    return blobs.pack(r, buckets + (turn * 31 + np.arange(len(r)) // 4096).astype(np.int32) % buckets)
+    return blobs.pack(r, 2 * buckets + (turn * 31 + np.arange(len(r)) // 4096).astype(np.int32) % buckets)
 
 
-def _send_hashes(keyed: DataFrame, u: Units) -> DataFrame:
-    """Packed hashes of the zones with shared keys, and in further buckets the ranges that a task could settle itself."""
+def _pieces_of(step: _Step, p: np.ndarray, start: np.ndarray, units: np.ndarray) -> tuple:
+    """(pieces, hashes, begins, ends, content) of ``units`` units from ``start`` of the step; only the bytes of pieces are
+    kept, so that a flush holds no whole texts."""
+    begin, end = step.cut(start, units)
+    p["bytes"] = end - begin
+    h = textops.span_hashes(step.content, begin, end)
+    used = _covered(len(step.content), begin, end)
+    to = np.r_[0, np.cumsum(used)]
+    return p, h, to[begin], to[end], step.content[used]
+
+
+def _joined(held: list[tuple]) -> tuple:
+    """The pieces of several steps as those of one."""
+    shift = np.cumsum([0] + [len(x[4]) for x in held])
+    return (np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]),
+            np.concatenate([x[2] + s for x, s in zip(held, shift)]), np.concatenate([x[3] + s for x, s in zip(held, shift)]),
+            np.concatenate([x[4] for x in held]))
+
+
+def _send_pieces(keyed: DataFrame, u: Units) -> DataFrame:
+    """Packed pieces of text of the zones with shared keys; in the next buckets the hashes of hot keys' windows, and in further
+    ones the ranges that a task could settle itself."""
     buckets = blobs.bucket_count(keyed.sparkSession)
 
     def flush(held, turn):
-        p = np.concatenate(held)
-        behind = _settle_copies(p, p["hash"])
+        p, h, begin, end, content = _joined(held)
+        behind = _settle_copies(p["doc"], textops.equal_spans(h, content, begin, end))
         hot = (p["key"] & np.uint64(1)).astype(bool)
-        stay = p[~behind]
-        route = np.where(hot[~behind], (stay["hash"] % np.uint64(buckets)).astype(np.int32), blobs.bucket_of(stay["key"]))
-        return blobs.pack(stay, route.astype(np.int32)) + _passed_on(_as_ranges(p[behind], u.size), buckets, turn)
+        plain, single = np.flatnonzero(~behind & ~hot), np.flatnonzero(~behind & hot)
+        rows = _pack_pieces(p[plain], begin[plain], end[plain], content, blobs.bucket_of(p["key"][plain]))
+        w = np.empty(len(single), _HASHED)
+        w["hash"], w["doc"], w["row"], w["start"] = h[single], p["doc"][single], p["row"][single], p["start"][single]
+        rows += blobs.pack(w, buckets + (w["hash"] % np.uint64(buckets)).astype(np.int32))
+        return rows + _passed_on(_as_ranges(p[behind], u.size), buckets, turn)
 
     def run(batches):
-        held, size, turn = [], 0, 0
+        held, size = [], 0
         for step, text, start, count, key, docs, rows, turn in _zones_of(batches, u, buckets):
             hot = (key & np.uint64(1)).astype(bool)
             if hot.any():  # one record per window
@@ -299,12 +333,11 @@ def _send_hashes(keyed: DataFrame, u: Units) -> DataFrame:
                 nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
                 text, key, start = np.repeat(text, each), np.repeat(key, each), np.repeat(start, each) + nth
                 count = np.where(np.repeat(hot, each), 1, np.repeat(count, each))
-            p = np.empty(len(key), _HASHED)
+            p = np.empty(len(key), _PIECE)
             p["key"], p["doc"], p["row"] = key, docs[text], rows[text]
             p["start"], p["windows"] = start - step.first[text], count
-            p["hash"] = textops.span_hashes(step.content, *step.cut(start, count + u.size - 1)) >> np.uint64(64 - HASH_BITS)
-            held.append(p)
-            size += len(p)
+            held.append(_pieces_of(step, p, start, count + u.size - 1))
+            size += len(p) + len(held[-1][4]) // 16
             if size > FLUSH:
                 yield blobs.to_batch(flush(held, turn))
                 held, size = [], 0
@@ -314,108 +347,103 @@ def _send_hashes(keyed: DataFrame, u: Units) -> DataFrame:
     return keyed.mapInArrow(run, blobs.SCHEMA)
 
 
-def _compare_hashes(packed: DataFrame, u: Units) -> DataFrame:
-    """(doc, code, ask): covered ranges as codes, and the keys for which a document is to send its pieces."""
-    buckets = blobs.bucket_count(packed.sparkSession)
-
-    def run(batches):
-        for bucket, held in blobs.each_bucket(batches):
-            asks = np.zeros(0, _HASHED)
-            if bucket >= buckets:
-                done = np.concatenate([blobs.unpack(x, _RANGE) for x in held])
-            else:
-                p = np.concatenate([blobs.unpack(x, _HASHED) for x in held])
-                behind = _settle_copies(p, p["hash"])
-                done = _as_ranges(p[behind], u.size)
-                # A hot key's records are single windows: equal or not, nothing is left to match.
-                p = p[~behind & ((p["key"] & np.uint64(1)) == 0)]
-                if len(p):
-                    p = p[np.lexsort((p["doc"], p["key"]))]
-                    at = np.flatnonzero(np.r_[True, p["key"][1:] != p["key"][:-1]])
-                    ends = np.r_[at[1:], len(p)]
-                    open_ = (p["doc"][at] != p["doc"][ends - 1]) & (np.minimum.reduceat(p["hash"], at) != np.maximum.reduceat(p["hash"], at))
-                    p = p[np.repeat(open_, ends - at)]
-                    asks = p[np.r_[True, (p["key"][1:] != p["key"][:-1]) | (p["doc"][1:] != p["doc"][:-1])]] if len(p) else p
-            for r, of in ((done, 0), (asks, 1)):
-                for i in range(0, len(r), 1 << 16):
-                    part = r[i:i + (1 << 16)]
-                    value = pa.array(part["key"].view(np.int64) if of else _codes(part))
-                    none = pa.nulls(len(part), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), none if of else value,
-                                                      value if of else none], names=["doc", "code", "ask"])
-
-    return blobs.by_bucket(packed).mapInArrow(run, "doc long, code long, ask long")
-
-
-def _cut_pieces(asked: DataFrame, u: Units) -> DataFrame:
-    """Packed pieces of text of the zones whose keys are asked for."""
+def _cut_windows(asked: DataFrame, u: Units) -> DataFrame:
+    """Packed pieces of the windows of hot keys that are asked for (codes in column 3), spread by content."""
     buckets = blobs.bucket_count(asked.sparkSession)
 
     def flush(held):
-        p = np.concatenate([x[0] for x in held])
-        shift = np.cumsum([0] + [len(x[3]) for x in held])
-        begin = np.concatenate([x[1] + s for x, s in zip(held, shift)])
-        end = np.concatenate([x[2] + s for x, s in zip(held, shift)])
-        return _pack_pieces(p, begin, end, np.concatenate([x[3] for x in held]), blobs.bucket_of(p["key"]))
+        p, h, begin, end, content = _joined(held)
+        return _pack_pieces(p, begin, end, content, (h % np.uint64(buckets)).astype(np.int32))
 
     def run(batches):
         held, size = [], 0
-        for step, text, start, count, key, docs, rows, _ in _zones_of(batches, u, buckets):
-            p = np.empty(len(key), _PIECE)
-            p["key"], p["doc"], p["row"] = key, docs[text], rows[text]
-            p["start"], p["windows"] = start - step.first[text], count
-            begin, end = step.cut(start, count + u.size - 1)
-            p["bytes"] = end - begin
-            # Keep only the bytes of pieces, so that a flush holds no whole texts.
-            used = _covered(len(step.content), begin, end)
-            to = np.r_[0, np.cumsum(used)]
-            held.append((p, to[begin], to[end], step.content[used]))
-            size += len(p) * 40 + len(held[-1][3])
-            if size > 8 * FLUSH:
-                yield blobs.to_batch(flush(held))
-                held, size = [], 0
+        for b in batches:
+            docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+            data, off = textops.column_buffer(b.column(2))
+            lists = b.column(3)
+            n = lists.value_lengths().fill_null(0).to_numpy()
+            c_off = np.r_[0, np.cumsum(n)]
+            codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            of = np.repeat(np.arange(len(n)), n)
+            for i, z in textops.steps(off, STEP_BYTES):
+                code, text = codes[c_off[i]:c_off[z]], of[c_off[i]:c_off[z]] - i
+                own = _row_of(code) == _row_bits(rows[i:z][text])
+                code, text = code[own], text[own]
+                if not len(code):
+                    continue
+                step = _units(data[off[i]:off[z]], off[i:z + 1] - off[i], u)
+                start = _start_of(code)
+                whole = step.first[text] + start + u.size <= step.first[text + 1]
+                text, start = text[whole], start[whole]
+                p = np.empty(len(text), _PIECE)
+                p["key"], p["doc"], p["row"], p["start"], p["windows"] = 0, docs[i:z][text], rows[i:z][text], start, 1
+                held.append(_pieces_of(step, p, step.first[text] + start, np.full(len(text), u.size)))
+                size += len(p) + len(held[-1][4]) // 16
+                if size > FLUSH:
+                    yield blobs.to_batch(flush(held))
+                    held, size = [], 0
         if held:
             yield blobs.to_batch(flush(held))
 
     return asked.mapInArrow(run, blobs.SCHEMA)
 
 
-def _match(packed: DataFrame, u: Units, matcher) -> DataFrame:
-    """Covered ranges (RANGES, in units) from the pieces of every bucket."""
-
-    def ranges(held):
-        p, content = _unpack_pieces(held)
-        end = np.cumsum(p["bytes"].astype(np.int64))
-        begin = end - p["bytes"]
-        # Windows of different pieces can be equal only under one key. Equal pieces are settled already.
-        own = np.flatnonzero(~_settle_copies(p, textops.span_hashes(content, begin, end)))
+def _matched(held: list[bytes], u: Units, matcher, settle: bool) -> np.ndarray:
+    """Covered ranges from the pieces of a bucket. ``settle``: equal pieces are set aside first, and windows of different pieces
+    can be equal only under one key."""
+    p, content = _unpack_pieces(held)
+    end = np.cumsum(p["bytes"].astype(np.int64))
+    begin = end - p["bytes"]
+    own, done = np.arange(len(p)), np.zeros(0, _RANGE)
+    if settle:
+        behind = _settle_copies(p["doc"], textops.equal_spans(textops.span_hashes(content, begin, end), content, begin, end))
+        own, done = np.flatnonzero(~behind), _as_ranges(p[behind], u.size)
         own = own[np.argsort(p["key"][own], kind="stable")]
         key = p["key"][own]
         new = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1 if len(own) else np.zeros(0, np.int64)
         own = own[np.bincount(new)[new] > 1] if len(own) else own
-        if not len(own):
-            return np.zeros(0, _RANGE)
-        piece, window = matcher(content, begin[own], end[own], p["windows"][own].astype(np.int64), p["doc"][own], u.size)
-        order = np.lexsort((window, piece))
-        piece, window = piece[order], window[order]
-        at = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (window[1:] != window[:-1] + 1)]) if len(piece) else piece
-        ends = np.r_[at[1:], len(piece)] if len(piece) else at
-        r = np.empty(len(at), _RANGE)
-        who = own[piece[at]]
-        r["doc"], r["row"] = p["doc"][who], p["row"][who]
-        r["start"] = p["start"][who] + window[at]
-        r["length"] = window[ends - 1] - window[at] + u.size
-        return r
+    if not len(own):
+        return done
+    piece, window = matcher(content, begin[own], end[own], p["windows"][own].astype(np.int64), p["doc"][own], u.size)
+    order = np.lexsort((window, piece))
+    piece, window = piece[order], window[order]
+    at = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (window[1:] != window[:-1] + 1)]) if len(piece) else piece
+    ends = np.r_[at[1:], len(piece)] if len(piece) else at
+    r = np.empty(len(at), _RANGE)
+    who = own[piece[at]]
+    r["doc"], r["row"] = p["doc"][who], p["row"][who]
+    r["start"] = p["start"][who] + window[at]
+    r["length"] = window[ends - 1] - window[at] + u.size
+    return np.concatenate([done, r])
+
+
+def _match(packed: DataFrame, u: Units, matcher, settle: bool = False) -> DataFrame:
+    """(doc, code, ask): covered ranges, and the windows of hot keys that are to be sent, as codes."""
+    buckets = blobs.bucket_count(packed.sparkSession)
 
     def run(batches):
-        for _, held in blobs.each_bucket(batches):
-            r = ranges(held)
-            for i in range(0, len(r), 1 << 16):
-                part = r[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), pa.array(_codes(part))],
-                                                 names=["doc", "code"])
+        for bucket, held in blobs.each_bucket(batches):
+            done, asks = np.zeros(0, _RANGE), np.zeros(0, _RANGE)
+            if bucket < buckets:
+                done = _matched(held, u, matcher, settle)
+            elif bucket < 2 * buckets:
+                w = np.concatenate([blobs.unpack(x, _HASHED) for x in held])
+                w = w[np.lexsort((w["doc"], w["hash"]))]
+                at = np.flatnonzero(np.r_[True, w["hash"][1:] != w["hash"][:-1]])
+                ends = np.r_[at[1:], len(w)]
+                w = w[np.repeat(w["doc"][at] != w["doc"][ends - 1], ends - at)]
+                asks = np.empty(len(w), _RANGE)
+                asks["doc"], asks["row"], asks["start"], asks["length"] = w["doc"], w["row"], w["start"], u.size
+            else:
+                done = np.concatenate([blobs.unpack(x, _RANGE) for x in held])
+            for r, of in ((done, 0), (asks, 1)):
+                for i in range(0, len(r), 1 << 16):
+                    part = r[i:i + (1 << 16)]
+                    value, none = pa.array(_codes(part)), pa.nulls(len(part), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), none if of else value,
+                                                      value if of else none], names=["doc", "code", "ask"])
 
-    return blobs.by_bucket(packed).mapInArrow(run, RANGES)
+    return blobs.by_bucket(packed).mapInArrow(run, "doc long, code long, ask long")
 
 
 def with_repeats(docs: DataFrame, u: Units, matcher, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -434,10 +462,10 @@ def with_repeats(docs: DataFrame, u: Units, matcher, key: str = "doc_id", text:
     # Every join with the texts puts the same side with the same columns first, and every use of ``seen`` has both of its
     # lists, so Spark shuffles each once and reads it again.
     keyed = source.join(keys, F.col("doc") == F.col("k_doc"), "left").select("doc", "row", "text", "keys", "key_in")
-    seen = _compare_hashes(_send_hashes(keyed, u), u).groupBy(F.col("doc").alias("s_doc")).agg(
+    seen = _match(_send_pieces(keyed, u), u, matcher, True).groupBy(F.col("doc").alias("s_doc")).agg(
         F.collect_list("code").alias("codes"), F.collect_list("ask").alias("asks"))
     asked = source.join(seen, F.col("doc") == F.col("s_doc"), "left").select("doc", "row", "text", "asks", "codes", "key_in")
-    found = _match(_cut_pieces(asked, u), u, matcher)
+    found = _match(_cut_windows(asked, u), u, matcher)
     found = found.groupBy(F.col("doc").alias("r_doc")).agg(F.collect_list("code").alias("more"))
     whole = source.join(seen, F.col("doc") == F.col("s_doc"), "left").join(found, F.col("doc") == F.col("r_doc"), "left")
     none = F.array().cast("array<long>")
@@ -449,8 +477,8 @@ def covered_units(codes: np.ndarray | None, row: int, n: int) -> np.ndarray:
     """Mask of the units of a row that its ranges cover."""
     if codes is None:
         return np.zeros(n, bool)
-    own = codes[codes >> (_START_BITS + _LENGTH_BITS) == row & ((1 << _ROW_BITS) - 1)]
-    start = (own >> _LENGTH_BITS) & ((1 << _START_BITS) - 1)
+    own = codes[_row_of(codes) == _row_bits(row)]
+    start = _start_of(own)
     # A range of another text that shares the id and the row's hash could reach beyond the text.
     return _covered(n, np.minimum(start, n), np.minimum(start + (own & ((1 << _LENGTH_BITS) - 1)), n))
 

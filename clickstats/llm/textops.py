@@ -144,3 +144,40 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
 def as_long(h: np.ndarray) -> np.ndarray:
     """Unsigned hashes as the signed longs that Spark has."""
     return h.view(np.int64)
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the ``length`` bytes from ``a`` on equal those from ``b`` on. ``data`` must go on for 8 bytes after the last."""
+    same = np.ones(len(a), bool)
+    left = np.flatnonzero(length > 0)
+    load = np.ndarray((max(0, len(data) - 7),), "<u8", data, 0, (1,))
+    k = 0
+    while len(left):
+        rest = length[left] - k
+        over = (8 * np.maximum(0, 8 - rest)).astype(np.uint64)
+        ok = ((load[a[left] + k] ^ load[b[left] + k]) << over) == 0
+        same[left[~ok]] = False
+        left = left[ok & (rest > 8)]
+        k += 8
+    return same
+
+
+def equal_spans(h: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number of each span of ``data``, the same for two spans if and only if their bytes are.
+
+    ``h``, a hash of the bytes, only says which spans are compared.
+    """
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    length = end - begin
+    out = np.empty(len(h), np.int64)
+    left, done = np.arange(len(h)), 0
+    while len(left):
+        _, first, number = np.unique(h[left], return_index=True, return_inverse=True)
+        lead = left[first][number]
+        same = length[left] == length[lead]
+        maybe = np.flatnonzero(same)
+        same[maybe] = same_bytes(data, begin[left[maybe]], begin[lead[maybe]], length[left[maybe]])
+        out[left[same]] = done + number[same]
+        done += len(first)
+        left = left[~same]
+    return out

@@ -1,8 +1,10 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 
-from clickstats.llm import repeats, suffix_dedup
-from clickstats.llm.phrase_dedup import remove_repeated_phrases
+from clickstats.llm import repeats, suffix_dedup, textops
+from clickstats.llm.phrase_dedup import automaton_matcher, remove_repeated_phrases
 from clickstats.llm.suffix_dedup import deep_shallow_sort, remove_repeated_bytes
 from llm_data import WORD, docs, repeats as brute, sha, texts
 
@@ -69,3 +71,37 @@ def test_deep_shallow_order_is_the_sorted_order(size, shallow):
     assert [strings[i] for i in order] == sorted(strings)
     assert all((group[i] == group[i + 1]) == (strings[order[i]] == strings[order[i + 1]]) for i in range(len(at) - 1))
     assert suffix_dedup.UNITS.size == 50
+
+
+def test_equal_hashes_are_not_equal_contents(spark, setting, monkeypatch):
+    """With hashes of few values, contents still decide which windows are equal."""
+    weak = SimpleNamespace(**{k: v for k, v in vars(textops).items() if callable(v)})
+    weak.span_hashes = lambda data, starts, ends: textops.span_hashes(data, starts, ends) & np.uint64(15 << 60)
+    monkeypatch.setattr(repeats, "textops", weak)
+    rows, ids = cases()
+    rows = [t if t is None else t[:600] for t in rows]
+    for remove, units, size in ((remove_repeated_phrases, [WORD.findall(t or "") for t in rows], 13),
+                                (remove_repeated_bytes, [(t or "").encode() for t in rows], 50)):
+        masks = brute(units, [NULL_ID if i is None else i for i in ids], size)
+        want = sorted((i if i is not None else -1, len(u), sum(m)) for i, u, m in zip(ids, units, masks))
+        got = sorted((r[0] if r[0] is not None else -1, r[1], r[2]) for r in remove(docs(spark, rows, ids)).collect())
+        assert got == want
+
+
+def test_automaton_decides_by_words(monkeypatch):
+    rnd = np.random.default_rng(4)
+    words = [rnd.choice(["ab", "ba", "longer-word-x", "longer-word-y"], 30).tolist() for _ in range(12)]
+    words[7][3:20] = words[2][10:27]
+    text = [" ".join(w).encode() for w in words]
+    end = np.cumsum([len(t) for t in text])
+    begin = end - [len(t) for t in text]
+    few = np.uint64(1 << 63)
+    spans, grams = textops.span_hashes, textops.gram_hashes
+    monkeypatch.setattr(textops, "span_hashes", lambda *a: spans(*a) & few)
+    monkeypatch.setattr(textops, "gram_hashes", lambda *a: grams(*a) & few)
+    piece, window = automaton_matcher(np.frombuffer(b"".join(text), np.uint8), begin, end, np.full(12, 18), np.arange(12), 13)
+    masks = brute(words, list(range(12)), 13)
+    got = [[False] * 30 for _ in words]
+    for p, w in zip(piece, window):
+        got[p][w:w + 13] = [True] * 13
+    assert got == masks and any(map(any, masks))
