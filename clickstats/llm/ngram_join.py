@@ -284,9 +284,10 @@ def divide_skip_links(sets: list[np.ndarray], asks: list[bool] | None = None, kn
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, cls, asks, comp, shingles) from ``wanted``: the same without the set, with the doc_id of a text that has it."""
-    w = wanted.select(F.col("doc_id").alias("want_id"), *keys, "cls", "asks", "comp")
-    rows = texts.join(w, F.col("doc_id").eqNullSafe(F.col("want_id"))).select(*keys, "cls", "asks", "comp", "text")
+    """(keys, cls, asks, comp, shingles) from ``wanted``: the same without the set, with the doc_id and row of a text that has it."""
+    w = wanted.select(F.col("doc_id").alias("want_id"), F.col("row").alias("want_row"), *keys, "cls", "asks", "comp")
+    same = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("row") == F.col("want_row"))
+    rows = texts.join(w, same).select(*keys, "cls", "asks", "comp", "text")
     n = len(keys)
     schema = ", ".join(f"{k} {'long' if k == 'grp' else 'int'}" for k in keys) + ", cls long, asks boolean, comp long, shingles binary"
 
@@ -295,7 +296,7 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
             want = b.column(n).to_numpy().view(np.uint64)
             at, raw = [], []
             for _, i, s in _each_set([b], n + 3):
-                if _class_of(s) == int(want[i]):  # rows may share an id and differ in text
+                if _class_of(s) == int(want[i]):  # rows may share id and text hash and differ in text
                     at.append(i)
                     raw.append(s.tobytes())
             kept = b.take(pa.array(at, pa.int64()))
@@ -339,6 +340,8 @@ def _search_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
                     if len(group) > 1:
                         out += search(group)
                     now, group = key, []
+                if group and group[-1][0] == cols[n_keys][i]:  # copies of a set count once
+                    continue
                 group.append((cols[n_keys][i], cols[n_keys + 1][i], cols[n_keys + 2][i], b.column(n_keys + 3)[i].as_py()))
         if len(group) > 1:
             out += search(group)
@@ -362,10 +365,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_column(text).alias("text"),
                         F.xxhash64(text_column(text)).alias("row"))
     scanned = cut(_scan_classes(texts))
-    texts = texts.drop("row")
     rows = scanned.where(F.col("chunk").isNull()).select("doc_id", "row", "n", "cls")
     frequency = _frequencies(scanned.where(F.col("chunk").isNotNull()).select("chunk", "counts"))
-    classes = cut(rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
+    # One text of each class: that with the smallest id, ids before none.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    classes = cut(rows.where("n > 0").groupBy("cls").agg(first).select("cls", "first.doc_id", "first.row"))
 
     groups = cut(_groups(_short_postings(texts, frequency)))
     # Candidates that hang together form one group while that fits into a block, so that each set is sent once.

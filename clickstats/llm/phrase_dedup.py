@@ -83,10 +83,10 @@ def remove_repeated_phrases(docs: DataFrame, key: str = "doc_id", text: str = "t
         for batch in batches:
             n, gone, sha, kept = [], [], [], []
             data, off = textops.column_buffer(batch.column(2))
-            for _, i, row, ranges in repeats.each_row([batch]):
+            for _, i, ranges in repeats.each_row([batch]):
                 raw = data[off[i]:off[i + 1]]
                 starts, ends, _ = textops.word_spans(raw, np.array([0, len(raw)]))
-                away = repeats.covered_units(ranges, row, len(starts))
+                away = repeats.covered_units(ranges, len(starts))
                 whole = raw.tobytes()
                 left = b" ".join([whole[a:z] for a, z in zip(starts[~away].tolist(), ends[~away].tolist())])
                 n.append(len(starts))

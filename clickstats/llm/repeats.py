@@ -42,14 +42,13 @@ ZONE_WINDOWS = 64
 HOT_IN_FLUSH = 64
 HOT_IN_BUCKET = 4096
 
-_ZONE = np.dtype([("key", "<u8"), ("doc", "<i8")])
+_ZONE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u8")])
 _MARK = np.iinfo(np.int64).min  # instead of a document: this key is hot
-_HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4")])  # a window of a hot key
-_PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
-_RANGE = np.dtype([("doc", "<i8"), ("row", "<u2"), ("start", "<u4"), ("length", "<u2")])
-#: A range in one long: the row's hash, the first unit, the length (at most ZONE_WINDOWS + size - 1, a byte). The hash only
-#: tells apart rows that share an id but not the text; two such rows are taken for one with a chance of 2**-16.
-_ROW_BITS, _START_BITS, _LENGTH_BITS = 16, 31, 8
+_HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4")])  # a window of a hot key
+_PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
+_RANGE = np.dtype([("doc", "<i8"), ("row", "<u8"), ("start", "<u4"), ("length", "<u2")])
+#: A range in one long: the first unit, the length (at most ZONE_WINDOWS + size - 1, a byte).
+_LENGTH_BITS = 8
 
 
 @dataclass(frozen=True)
@@ -140,19 +139,24 @@ def zones(step: _Step, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return text, start, count, low[start]
 
 
+def _distinct(r: np.ndarray) -> np.ndarray:
+    """The different records of (key, doc, row), in this order."""
+    r = r[np.lexsort((r["row"], r["doc"], r["key"]))]
+    return r[np.r_[True, r[1:] != r[:-1]]] if len(r) else r
+
+
 def _scan(texts: DataFrame, u: Units) -> DataFrame:
-    """Packed (key, doc) of all zones. Keys that are hot in a flush bypass their bucket, which gets a mark instead."""
+    """Packed (key, doc, row) of all zones. Keys that are hot in a flush bypass their bucket, which gets a mark instead."""
     buckets = blobs.bucket_count(texts.sparkSession)
 
     def flush(held, turn):
         r = np.concatenate(held)
-        r = r[np.lexsort((r["doc"], r["key"]))]
-        r = r[np.r_[True, (r["key"][1:] != r["key"][:-1]) | (r["doc"][1:] != r["doc"][:-1])]]
+        r = _distinct(r)
         at = np.flatnonzero(np.r_[True, r["key"][1:] != r["key"][:-1]])
         length = np.diff(np.r_[at, len(r)])
         hot = np.repeat(length >= HOT_IN_FLUSH, length)
         marks = np.empty(int((length >= HOT_IN_FLUSH).sum()), _ZONE)
-        marks["key"], marks["doc"] = r["key"][at[length >= HOT_IN_FLUSH]], _MARK
+        marks["key"], marks["doc"], marks["row"] = r["key"][at[length >= HOT_IN_FLUSH]], _MARK, 0
         plain = r[~hot]
         plain = np.concatenate([marks, plain[np.argsort(plain["doc"], kind="stable")]])
         rows = blobs.pack(plain, blobs.bucket_of(plain["key"]))
@@ -162,12 +166,12 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
     def run(batches):
         held, size, turn = [], 0, 0
         for b in batches:
-            docs = b.column(0).to_numpy()
+            docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
             data, off = textops.column_buffer(b.column(2))
             for i, z in textops.steps(off, STEP_BYTES):
                 text, _, _, key = zones(_units(data[off[i]:off[z]], off[i:z + 1] - off[i], u), u)
                 r = np.empty(len(key), _ZONE)
-                r["key"], r["doc"] = blobs.short_keys(key, buckets), docs[i:z][text]
+                r["key"], r["doc"], r["row"] = blobs.short_keys(key, buckets), docs[i:z][text], rows[i:z][text]
                 held.append(r)
                 size += len(r)
                 if size > FLUSH:
@@ -181,7 +185,7 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
 
 
 def _shared_keys(packed: DataFrame) -> DataFrame:
-    """(doc, key) of the keys that more than one document has; the lowest bit of the key is set if it is hot."""
+    """(doc, row, key) of the keys that more than one document has; the lowest bit of the key is set if it is hot."""
     buckets = blobs.bucket_count(packed.sparkSession)
 
     def run(batches):
@@ -195,15 +199,15 @@ def _shared_keys(packed: DataFrame) -> DataFrame:
                 shared = marked | (r["doc"][at] != r["doc"][ends - 1])
                 hot = marked | (ends - at > HOT_IN_BUCKET)
                 r["key"] |= np.repeat(hot, ends - at).astype(np.uint64)
-                r = r[np.repeat(shared, ends - at) & (r["doc"] != _MARK)]
-                r = r[np.r_[True, (r["key"][1:] != r["key"][:-1]) | (r["doc"][1:] != r["doc"][:-1])]] if len(r) else r
+                r = _distinct(r[np.repeat(shared, ends - at) & (r["doc"] != _MARK)])
             else:
                 r["key"] |= np.uint64(1)
             for i in range(0, len(r), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(r["doc"][i:i + (1 << 16)]),
-                                                  pa.array(r["key"][i:i + (1 << 16)].view(np.int64))], names=["k_doc", "k"])
+                part = r[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), _longs(part["row"]), _longs(part["key"])],
+                                                 names=["k_doc", "k_row", "k"])
 
-    return blobs.by_bucket(packed).mapInArrow(run, "k_doc long, k long")
+    return blobs.by_bucket(packed).mapInArrow(run, "k_doc long, k_row long, k long")
 
 
 def _pack_pieces(p: np.ndarray, begin: np.ndarray, end: np.ndarray, content: np.ndarray, bucket: np.ndarray):
@@ -247,26 +251,17 @@ def _as_ranges(p: np.ndarray, size: int) -> np.ndarray:
 
 
 def _codes(r: np.ndarray) -> np.ndarray:
-    row = _row_bits(r["row"].astype(np.int64)) << (_START_BITS + _LENGTH_BITS)
-    return row | (r["start"].astype(np.int64) << _LENGTH_BITS) | r["length"].astype(np.int64)
-
-
-def _row_bits(row):
-    return row & ((1 << _ROW_BITS) - 1)
-
+    return (r["start"].astype(np.int64) << _LENGTH_BITS) | r["length"].astype(np.int64)
 
-def _row_of(codes: np.ndarray) -> np.ndarray:
-    return codes >> (_START_BITS + _LENGTH_BITS)
 
-
-def _start_of(codes: np.ndarray) -> np.ndarray:
-    return (codes >> _LENGTH_BITS) & ((1 << _START_BITS) - 1)
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
 def _zones_of(batches, u: Units, buckets: int):
     """(step, text, start, count, key, docs, rows, turn) of the zones whose key is in the list (column 3) of some text of the step."""
     for b in batches:
-        docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+        docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
         data, off = textops.column_buffer(b.column(2))
         lists = b.column(3)
         k_off = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
@@ -358,7 +353,7 @@ def _cut_windows(asked: DataFrame, u: Units) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for b in batches:
-            docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+            docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
             data, off = textops.column_buffer(b.column(2))
             lists = b.column(3)
             n = lists.value_lengths().fill_null(0).to_numpy()
@@ -367,12 +362,10 @@ def _cut_windows(asked: DataFrame, u: Units) -> DataFrame:
             of = np.repeat(np.arange(len(n)), n)
             for i, z in textops.steps(off, STEP_BYTES):
                 code, text = codes[c_off[i]:c_off[z]], of[c_off[i]:c_off[z]] - i
-                own = _row_of(code) == _row_bits(rows[i:z][text])
-                code, text = code[own], text[own]
                 if not len(code):
                     continue
                 step = _units(data[off[i]:off[z]], off[i:z + 1] - off[i], u)
-                start = _start_of(code)
+                start = code >> _LENGTH_BITS
                 whole = step.first[text] + start + u.size <= step.first[text + 1]
                 text, start = text[whole], start[whole]
                 p = np.empty(len(text), _PIECE)
@@ -418,7 +411,7 @@ def _matched(held: list[bytes], u: Units, matcher, settle: bool) -> np.ndarray:
 
 
 def _match(packed: DataFrame, u: Units, matcher, settle: bool = False) -> DataFrame:
-    """(doc, code, ask): covered ranges, and the windows of hot keys that are to be sent, as codes."""
+    """(doc, row, code, ask): covered ranges, and the windows of hot keys that are to be sent, as codes."""
     buckets = blobs.bucket_count(packed.sparkSession)
 
     def run(batches):
@@ -440,56 +433,60 @@ def _match(packed: DataFrame, u: Units, matcher, settle: bool = False) -> DataFr
                 for i in range(0, len(r), 1 << 16):
                     part = r[i:i + (1 << 16)]
                     value, none = pa.array(_codes(part)), pa.nulls(len(part), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), none if of else value,
-                                                      value if of else none], names=["doc", "code", "ask"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part["doc"])), _longs(part["row"]),
+                                                      none if of else value, value if of else none],
+                                                     names=["doc", "row", "code", "ask"])
 
-    return blobs.by_bucket(packed).mapInArrow(run, "doc long, code long, ask long")
+    return blobs.by_bucket(packed).mapInArrow(run, "doc long, row long, code long, ask long")
 
 
 def with_repeats(docs: DataFrame, u: Units, matcher, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, row, text, repeats, key_in, asks) of every row of ``docs``: the id with null as the largest, a hash of the text,
-    the text with null as empty, the covered ranges (codes; only those with the row's ``row`` are its own), the id as it was;
-    ``asks`` is of no further use.
+    """(doc, row, text, repeats, key_in, asks) of every row of ``docs``: the id with null as the largest, a 64-bit hash of the
+    text, the text with null as empty, the covered ranges (codes), the id as it was; ``asks`` is of no further use.
+
+    Keys and ranges belong to (doc, row), so rows that share an id, or have none, hold only what their own text needs.
 
     ``matcher(content, begin, end, windows, doc, size)`` returns (piece, window) of the windows whose units also stand in a
     piece with a smaller id.
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-                         F.pmod(F.xxhash64(text_column(text)), F.lit(1 << 16)).cast("int").alias("row"), text_column(text).alias("text"),
-                         F.col(key).alias("key_in"))
+                         F.xxhash64(text_column(text)).alias("row"), text_column(text).alias("text"), F.col(key).alias("key_in"))
     packed = _scan(source.select("doc", "row", "text"), u)
-    keys = _shared_keys(packed).groupBy("k_doc").agg(F.collect_list("k").alias("keys"))
+
+    def own(doc, row):
+        return (F.col("doc") == F.col(doc)) & (F.col("row") == F.col(row))
+
+    # Sets, not lists: rows that repeat both id and text send the same keys and ranges.
+    keys = _shared_keys(packed).groupBy("k_doc", "k_row").agg(F.collect_set("k").alias("keys"))
     # Every join with the texts puts the same side with the same columns first, and every use of ``seen`` has both of its
     # lists, so Spark shuffles each once and reads it again.
-    keyed = source.join(keys, F.col("doc") == F.col("k_doc"), "left").select("doc", "row", "text", "keys", "key_in")
-    seen = _match(_send_pieces(keyed, u), u, matcher, True).groupBy(F.col("doc").alias("s_doc")).agg(
-        F.collect_list("code").alias("codes"), F.collect_list("ask").alias("asks"))
-    asked = source.join(seen, F.col("doc") == F.col("s_doc"), "left").select("doc", "row", "text", "asks", "codes", "key_in")
+    keyed = source.join(keys, own("k_doc", "k_row"), "left").select("doc", "row", "text", "keys", "key_in")
+    seen = _match(_send_pieces(keyed, u), u, matcher, True).groupBy(F.col("doc").alias("s_doc"), F.col("row").alias("s_row")).agg(
+        F.collect_set("code").alias("codes"), F.collect_set("ask").alias("asks"))
+    asked = source.join(seen, own("s_doc", "s_row"), "left").select("doc", "row", "text", "asks", "codes", "key_in")
     found = _match(_cut_windows(asked, u), u, matcher)
-    found = found.groupBy(F.col("doc").alias("r_doc")).agg(F.collect_list("code").alias("more"))
-    whole = source.join(seen, F.col("doc") == F.col("s_doc"), "left").join(found, F.col("doc") == F.col("r_doc"), "left")
+    found = found.groupBy(F.col("doc").alias("r_doc"), F.col("row").alias("r_row")).agg(F.collect_set("code").alias("more"))
+    whole = source.join(seen, own("s_doc", "s_row"), "left").join(found, own("r_doc", "r_row"), "left")
     none = F.array().cast("array<long>")
     return whole.select("doc", "row", "text", F.concat(F.coalesce("codes", none), F.coalesce("more", none)).alias("repeats"),
                         "key_in", "asks")
 
 
-def covered_units(codes: np.ndarray | None, row: int, n: int) -> np.ndarray:
+def covered_units(codes: np.ndarray | None, n: int) -> np.ndarray:
     """Mask of the units of a row that its ranges cover."""
     if codes is None:
         return np.zeros(n, bool)
-    own = codes[_row_of(codes) == _row_bits(row)]
-    start = _start_of(own)
-    # A range of another text that shares the id and the row's hash could reach beyond the text.
-    return _covered(n, np.minimum(start, n), np.minimum(start + (own & ((1 << _LENGTH_BITS) - 1)), n))
+    start = codes >> _LENGTH_BITS
+    # A range of another text with the row's id and 64-bit hash could reach beyond the text.
+    return _covered(n, np.minimum(start, n), np.minimum(start + (codes & ((1 << _LENGTH_BITS) - 1)), n))
 
 
 def each_row(batches):
-    """(batch, i, row, codes) of the result of ``with_repeats``."""
+    """(batch, i, codes) of the result of ``with_repeats``."""
     for b in batches:
         lists = b.column(3)
         off = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = b.column(1).to_numpy()
         for i in range(b.num_rows):
             a, z = off[i], off[i + 1]
-            yield b, i, int(rows[i]), flat[a:z] if z > a else None
+            yield b, i, flat[a:z] if z > a else None

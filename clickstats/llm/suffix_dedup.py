@@ -116,12 +116,12 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
         for batch in batches:
             n, gone, spans, sha, kept = [], [], [], [], []
             data, off = textops.column_buffer(batch.column(2))
-            for _, i, row, ranges in repeats.each_row([batch]):
+            for _, i, ranges in repeats.each_row([batch]):
                 raw = data[off[i]:off[i + 1]]
                 if ranges is None:
                     left, removed, runs = raw.tobytes(), 0, 0
                 else:
-                    away = repeats.covered_units(ranges, row, len(raw))
+                    away = repeats.covered_units(ranges, len(raw))
                     left, removed = raw[~away].tobytes(), int(away.sum())
                     runs = int(away[:1].sum() + (away[1:] & ~away[:-1]).sum())
                 n.append(len(raw))

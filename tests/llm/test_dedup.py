@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickstats.llm import repeats, suffix_dedup, textops
 from clickstats.llm.phrase_dedup import automaton_matcher, remove_repeated_phrases
@@ -105,3 +106,16 @@ def test_automaton_decides_by_words(monkeypatch):
     for p, w in zip(piece, window):
         got[p][w:w + 13] = [True] * 13
     assert got == masks and any(map(any, masks))
+
+
+@pytest.mark.parametrize("shared_id", [None, 7])
+def test_many_texts_under_one_id_keep_their_own_ranges(spark, shared_id):
+    """The passage starts elsewhere in each text, so a row that took the ranges of another would lose more or less than it."""
+    passage = " ".join(f"passage{k}" for k in range(15))
+    rows = [passage] + [" ".join(f"w{i}x{k}" for k in range(1 + i % 29)) + "\n" + passage for i in range(2000)]
+    ids = [0] + [shared_id] * 2000
+    words = remove_repeated_phrases(docs(spark, rows, ids)).where("n_removed > 0")
+    assert {(r["n_removed"], r["n"]) for r in words.groupBy("n_removed").agg(F.count("*").alias("n")).collect()} == {(15, 2000)}
+    by_bytes = remove_repeated_bytes(docs(spark, rows, ids)).where("n_removed > 0")
+    got = by_bytes.groupBy("n_removed", "n_spans").agg(F.count("*").alias("n")).collect()
+    assert {tuple(r) for r in got} == {(len(passage), 1, 2000)}

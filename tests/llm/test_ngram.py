@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickstats.llm import ngram_join
 from clickstats.llm.components import connected_components
@@ -62,3 +63,25 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_without_an_id_meet_only_their_own_classes(spark):
+    """Every wanted class joins the texts by id and text hash: k texts without an id give k rows, not k times k."""
+    rows = [f"one text {i} of many that have no id {i}" for i in range(50)]
+    texts = docs(spark, rows, [None] * 50).select("doc_id", "text", F.xxhash64("text").alias("row"))
+    wanted = texts.select("doc_id", "row", F.lit(1).cast("long").alias("grp"), F.lit(0).cast("long").alias("cls"),
+                          F.lit(True).alias("asks"), F.lit(0).cast("long").alias("comp"))
+    seen = spark.sparkContext.accumulator(0)
+    pair = ngram_join._each_set
+
+    def counted(batches, column):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield from pair([b], column)
+
+    ngram_join._each_set = counted
+    try:
+        assert ngram_join._sets_of(texts, wanted, ["grp"]).collect() == []  # class 0 is nobody's
+    finally:
+        ngram_join._each_set = pair
+    assert seen.value == 50
