@@ -47,7 +47,7 @@ _MARK = np.iinfo(np.int64).min  # instead of a document: this key is hot
 _HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4")])  # a window of a hot key
 _PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
 _RANGE = np.dtype([("doc", "<i8"), ("row", "<u8"), ("start", "<u4"), ("length", "<u2")])
-#: A range in one long: the first unit, the length (at most ZONE_WINDOWS + size - 1, a byte).
+#: A range in one long: the first unit, the length (less than 2 * ZONE_WINDOWS + size, a byte).
 _LENGTH_BITS = 8
 
 
@@ -245,8 +245,20 @@ def _settle_copies(doc: np.ndarray, content: np.ndarray) -> np.ndarray:
 
 
 def _as_ranges(p: np.ndarray, size: int) -> np.ndarray:
-    r = np.empty(len(p), _RANGE)
-    r["doc"], r["row"], r["start"], r["length"] = p["doc"], p["row"], p["start"], p["windows"] + (size - 1)
+    """The ranges that the pieces cover; pieces of a row whose windows follow each other make one, of less than twice
+    ZONE_WINDOWS windows."""
+    p = p[np.lexsort((p["start"], p["row"], p["doc"]))]
+    if not len(p):
+        return np.zeros(0, _RANGE)
+    start = p["start"].astype(np.int64)
+    stop = start + p["windows"]
+    new = np.r_[True, (p["doc"][1:] != p["doc"][:-1]) | (p["row"][1:] != p["row"][:-1]) | (start[1:] != stop[:-1])]
+    turn = (start - start[np.maximum.accumulate(np.where(new, np.arange(len(p)), 0))]) // ZONE_WINDOWS
+    new[1:] |= turn[1:] != turn[:-1]
+    at = np.flatnonzero(new)
+    r = np.empty(len(at), _RANGE)
+    r["doc"], r["row"], r["start"] = p["doc"][at], p["row"][at], start[at]
+    r["length"] = stop[np.r_[at[1:], len(p)] - 1] - start[at] + (size - 1)
     return r
 
 
