@@ -58,7 +58,8 @@ LINK_HIGH = 0.4
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: Every attribute with its whole value, so that no name is found inside another's value.
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _HAS_MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _WORDS = re.compile(r"\w+")
@@ -74,24 +75,60 @@ class Block:
     label: str = ""
 
 
-def _is_marked(attributes: str) -> bool:
+def _is_hidden(attributes: str) -> bool:
     for name, value in _ATTR.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if name == "style":
-            if "display:none" in value.replace(" ", ""):
-                return True
-        elif name in ("class", "id", "role") and not MARKS.isdisjoint(_SPLIT.split(value)):
+        if name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
+def _is_marked(attributes: str, by_id: bool) -> bool:
+    return any((name.lower() in ("class", "role") or (by_id and name.lower() == "id"))
+               and not MARKS.isdisjoint(_SPLIT.split(value.strip("\"'").lower())) for name, value in _ATTR.findall(attributes))
+
+
 def _names_main(attributes: str) -> bool:
     return any(name.lower() in ("class", "id", "role") and not MAIN_MARKS.isdisjoint(_SPLIT.split(value.strip("\"'").lower()))
                for name, value in _ATTR.findall(attributes))
 
 
+def _wrappers(page: str) -> set[int]:
+    """Starts of the tags of elements that a mark does not drop: those that hold the first main element (or article, if there
+    is no main), and on pages without either those that hold most of the text that is good on its own."""
+    first: dict[str, set[int]] = {}
+    stack: list[tuple[str, int]] = []
+    held: dict[int, int] = {}  # characters of good text
+    whole, at, n = 0, 0, len(page)
+    no_main = _HAS_MAIN.search(page) is None
+    while (m := _TAG.search(page, at)) is not None:
+        text = page[at:m.start()]
+        at = m.end()
+        if no_main and len(text) >= SHORT and not any(s[0] == "a" or s[0] in DROPPED for s in stack):
+            if label_alone(Block(" ".join(text.split()), 0, False, 0, False)) == "good":
+                whole += len(text)
+                for _, start in stack:
+                    held[start] = held.get(start, 0) + len(text)
+        name = (m.group(2) or "").lower()
+        if not name or name in VOID:
+            continue
+        if m.group(1):
+            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if k is not None:
+                del stack[k:]
+        elif name in RAW:
+            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = end.end() if end else n
+        else:
+            if name in MAIN:
+                first.setdefault(name, {start for _, start in stack})
+            if not m.group(3).endswith("/") or name in MAIN:
+                stack.append((name, m.start()))
+    return first.get("main", first.get("article", {start for start, size in held.items() if 2 * size > whole}))
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page outside dropped elements, in page order."""
     out: list[Block] = []
@@ -128,6 +165,7 @@ def blocks_of(page: str) -> list[Block]:
         heading = any(s[0] in HEADINGS for s in stack)
 
     has_main = _HAS_MAIN.search(page) is not None
+    wrappers = _wrappers(page)
     at, n = 0, len(page)
     while at < n:
         m = _TAG.search(page, at)
@@ -165,7 +203,8 @@ def blocks_of(page: str) -> list[Block]:
             containers += 1
             container = containers
         dropped = (dropped or name in DROPPED or (name == "header" and container == 0)
-                   or (name not in ("html", "body") and name not in MAIN and _is_marked(m.group(3))))
+                   or (name not in ("html", "body") and name not in MAIN and (_is_hidden(m.group(3)) or (
+                       m.start() not in wrappers and _is_marked(m.group(3), name not in HEADINGS and name not in INLINE)))))
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else n

@@ -99,3 +99,17 @@ def test_topk_equals_brute_force(spark, monkeypatch):
             want += [(q, i + 1, k, -s) for i, (s, k) in enumerate(best)]
     assert sorted(got) == sorted(want)
     assert top_inner_products(d.where("false"), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_marks_do_not_drop_what_holds_the_article():
+    long = "The story of the house that was on the hill and in the wind for all of the years of it, and so on it went."
+    for page in (f'<div class="content-sidebar-wrap"><main><p>{long}</p></main><div class="sidebar">The bar of the side.</div></div>',
+                 f'<div class="site has-sidebar"><article><p>{long}</p></article></div>',
+                 f'<div class="site has-sidebar"><p>{long}</p></div>'):
+        assert main_text(page) == long
+    heads = f'<article><h2 id="social-impact">Impact</h2><p>{long}</p><h2 id="related-work">Work</h2><p>{long}</p></article>'
+    assert main_text(heads) == f"Impact\n{long}\nWork\n{long}"
+    links = f'<article><p>{long} <a href="/the-hidden-valley">One</a> <a href="/s?id=ad">two</a> <a title="a class=ad b">three</a></p></article>'
+    assert main_text(links) == f"{long} One two three"
+    comments = f'<main><p>{long}</p><div id="comments"><article class="comment"><p>{long} No.</p></article></div></main><div hidden>{long}</div>'
+    assert main_text(comments) == long
