@@ -216,8 +216,15 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def label_alone(b: Block) -> str:
-    """First pass: "good", "bad", or "" for a block that cannot be decided on its own."""
+def _stop_words(text: str) -> tuple[int, int]:
+    """(stop words, words) of a text."""
+    words = _WORDS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def label_alone(b: Block, foreign: bool = False) -> str:
+    """First pass: "good", "bad", or "" for a block that cannot be decided on its own. ``foreign``: the page has few stop words
+    throughout, so they say nothing; length and links decide."""
     letters = len(b.text.replace(" ", ""))
     links = b.linked / letters if letters else 0.0
     if links > LINK_HIGH:
@@ -226,20 +233,25 @@ def label_alone(b: Block) -> str:
         return ""
     if len(b.text) < SHORT:
         return "bad" if links > 0 and not b.main else ""
-    words = _WORDS.findall(b.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    stops, words = _stop_words(b.text)
+    density = stops / words if words else 0.0
     if density >= STOP_HIGH:
         return "good"
     if density >= STOP_LOW:
         return "good" if len(b.text) >= LONG else ""
+    if foreign:
+        return "good" if links <= LINK_HIGH / 2 else ""
     return "" if b.main else "bad"
 
 
 def label_all(blocks: list[Block]) -> None:
     """Both passes. A block without decided neighbours in its container is kept in an article, and elsewhere only if nothing
     on the page is decided."""
+    counts = [_stop_words(b.text) for b in blocks if len(b.text) >= SHORT and not b.heading
+              and b.linked <= LINK_HIGH * len(b.text.replace(" ", ""))]
+    foreign = sum(k for k, _ in counts) < STOP_LOW * sum(n for _, n in counts)
     for b in blocks:
-        b.label = label_alone(b)
+        b.label = label_alone(b, foreign)
     any_decided = any(b.label for b in blocks)
     groups: dict[int, list[Block]] = {}
     for b in blocks:

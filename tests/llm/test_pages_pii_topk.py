@@ -113,3 +113,14 @@ def test_marks_do_not_drop_what_holds_the_article():
     assert main_text(links) == f"{long} One two three"
     comments = f'<main><p>{long}</p><div id="comments"><article class="comment"><p>{long} No.</p></article></div></main><div hidden>{long}</div>'
     assert main_text(comments) == long
+
+
+def test_articles_in_other_languages_stay():
+    one = "Wieczorem stary rybak wrócił nad jezioro, gdzie czekała jego łódź, pełna sieci oraz drewnianych skrzynek po jabłkach."
+    two = "Старый рыбак вернулся вечером к озеру, где стояла его лодка, полная сетей и деревянных ящиков из-под спелых яблок."
+    for p in (one, two):
+        page = f"<body><div><a href=x>menu</a> <a href=y>more</a></div><p>{p}</p><p>{p}</p><div><a href=z>{p}</a></div></body>"
+        assert main_text(page) == f"{p}\n{p}"
+    english = "The story of the house that was on the hill and in the wind for all of the years of it, and so on it went."
+    list_of = "Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa Lambda Omicron Sigma Upsilon Omega"
+    assert main_text(f"<body><p>{english}</p><p>{english}</p><p>{list_of}</p></body>") == f"{english}\n{english}"
