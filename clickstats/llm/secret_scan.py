@@ -126,7 +126,9 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # Through the END line, or to the end of the base64 lines if it is missing.
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-(?!----)[^-]*){0,64}-----END [A-Z ]*PRIVATE KEY-----"
+                r"|(?:[\x20\t\r\n]*[A-Za-z0-9+/=]{16,}){1,400}(?:[\r\n]+[A-Za-z0-9+/=]{1,15}(?![^\r\n]))?)?"),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
 RULES = BASE_RULES + MORE_RULES
