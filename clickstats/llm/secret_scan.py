@@ -11,6 +11,7 @@ from which no mandatory trigram follows reads every document.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -103,13 +104,15 @@ class Rule:
     ``pattern`` must mean the same to Python's parser (for the query) and to
     Java (for the search). A match counts if group ``group`` has at least
     ``least`` characters; a match that fails is dropped and the search goes
-    on after it.
+    on after it. ``tail``, if given, says by how many characters a match
+    reaches into the text between it and the rule's next match.
     """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    tail: Callable[[Column], Column] | None = None
     query: frozenset | None = field(init=False)
 
     def __post_init__(self):
@@ -125,27 +128,57 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+#: A token (no white space) of a private key's body, and what else stands before the body.
+_KEY_END = r"^(?s:.*?)-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_TOKEN = r"^(?:[A-Za-z0-9+/=]{16,})?$"
+_KEY_HEADER = r"^[\x20\t]*[A-Za-z][A-Za-z0-9-]*:|^[\x20\t\r]*$"
+_KEY_LAST = r"^[\x20\t]*\r?\n[A-Za-z0-9+/=]{1,15}[\x20\t\r]*(?:\n|$)"
+
+
+def _leading(parts: Column, pattern: str, sep: str) -> Column:
+    """The parts before the first that does not match, joined again."""
+    bad = F.array_position(F.transform(parts, lambda x: ~x.rlike(pattern)), F.lit(True)).cast("int")
+    return F.array_join(F.when(bad > 0, F.slice(parts, F.lit(1), bad - 1)).otherwise(parts), sep)
+
+
+def private_key_tail(after: Column) -> Column:
+    """How many characters of the text after a BEGIN line belong to the key.
+
+    All through the END line, if there is one before the next BEGIN. Else the header lines (``Name: value``), if
+    base64 follows them, and the tokens of 16 or more base64 characters that follow each other, with a shorter last
+    line. No expression here repeats a group, so neither the number of dashes nor that of lines is bounded.
+    """
+    through = F.length(F.regexp_extract(after, _KEY_END, 0))
+    heads = _leading(F.split(after, "\n"), _KEY_HEADER, "\n")
+    body = F.substring(after, F.length(heads) + 1, F.length(after))
+    lead = F.length(F.rtrim(_leading(F.split(body, r"[\x20\t\r\n]"), _KEY_TOKEN, " ")))
+    last = F.regexp_extract(F.substring(body, lead + 1, F.length(body)), _KEY_LAST, 0)
+    open_end = F.when(lead > 0, F.length(heads) + lead + F.length(F.rtrim(F.translate(last, "\t\r\n", "   ")))).otherwise(0)
+    return F.when(through > 0, through).otherwise(open_end)
+
+
 MORE_RULES = (
-    # Through the END line, or to the end of the base64 lines if it is missing.
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-(?!----)[^-]*){0,64}-----END [A-Z ]*PRIVATE KEY-----"
-                r"|(?:[\x20\t\r\n]*[A-Za-z0-9+/=]{16,}){1,400}(?:[\r\n]+[A-Za-z0-9+/=]{1,15}(?![^\r\n]))?)?"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", tail=private_key_tail),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
 def trigram_postings(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The inverted index: (trigram, key), one row per document and trigram that a rule's query names."""
+    """The inverted index: (trigram, key, row), one row per document and trigram that a rule's query names.
+
+    ``row`` is a hash of the text, so documents without an id, or with the same, are told apart.
+    """
     grams = sorted({g for r in rules if r.query for a in r.query for g in a})
-    low = docs.select(F.col(key).alias("key"), F.lower(text_column(text)).alias("low"))
+    low = docs.select(F.col(key).alias("key"), F.xxhash64(text_column(text)).alias("row"), F.lower(text_column(text)).alias("low"))
     if not grams:
-        return low.select(F.lit("").alias("trigram"), "key").where(F.lit(False))
+        return low.select(F.lit("").alias("trigram"), "key", "row").where(F.lit(False))
     found = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
-    return low.select("key", F.explode(found).alias("trigram"))
+    return low.select("key", "row", F.explode(found).alias("trigram"))
 
 
 def rule_candidates(postings: DataFrame, rules=RULES) -> DataFrame:
-    """(key, rules): the documents that satisfy a rule's query, with the kinds of those rules."""
+    """(key, row, rules): the documents that satisfy a rule's query, with the kinds of those rules."""
     grams = sorted({g for r in rules if r.query for a in r.query for g in a})
     words = -(-len(grams) // 60)
 
@@ -155,8 +188,8 @@ def rule_candidates(postings: DataFrame, rules=RULES) -> DataFrame:
 
     masks = [mask(w) for w in range(words)]
     if not grams:
-        return postings.select("key", F.array().cast("array<string>").alias("rules"))
-    per_doc = postings.groupBy("key").agg(*masks)
+        return postings.select("key", "row", F.array().cast("array<string>").alias("rules"))
+    per_doc = postings.groupBy("key", "row").agg(*masks)
 
     def holds(alternative) -> Column:
         need = [0] * words
@@ -175,27 +208,31 @@ def rule_candidates(postings: DataFrame, rules=RULES) -> DataFrame:
             for a in sorted(r.query, key=sorted):
                 hit = hit | holds(a)
             kinds.append(F.when(hit, F.lit(r.kind)))
-    return per_doc.select("key", F.array_compact(F.array(*kinds)).alias("rules")).where(F.size("rules") > 0)
+    return per_doc.select("key", "row", F.array_compact(F.array(*kinds)).alias("rules")).where(F.size("rules") > 0)
 
 
 def _rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     """array<struct<start, rank, end, kind>> of one rule's matches in ``text`` (code points, end exclusive)."""
-    gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
+    pieces = F.split(text, rule.pattern, -1)
+    gaps = F.transform(pieces, F.length)
     whole = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.length)
     sized = (F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.length)
              if rule.group else whole)
+    more = (F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), rule.tail) if rule.tail
+            else F.transform(whole, lambda x: F.lit(0)))
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["len"]).alias("end"),
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["len"] + x["more"]).alias("end"),
                         F.lit(rule.kind).alias("kind"))
         return F.struct((start + x["len"]).alias("at"),
                         F.when(x["size"] >= rule.least, F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    steps = F.transform(F.arrays_zip(gaps.alias("gap"), whole.alias("len"), sized.alias("size")),
-                        lambda x: F.struct(x["gap"].alias("gap"), x["len"].alias("len"), x["size"].alias("size")))
+    names = ("gap", "len", "size", "more")
+    steps = F.transform(F.arrays_zip(*[c.alias(n) for c, n in zip((gaps, whole, sized, more), names)]),
+                        lambda x: F.struct(*[x[n].alias(n) for n in names]))
     return F.aggregate(F.filter(steps, lambda x: x["len"].isNotNull()),
                        F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
@@ -205,22 +242,24 @@ def with_secret_spans(docs: DataFrame, rules=RULES, key: str = "doc_id", text: s
     """``docs`` with ``out``: all secrets of each whole text, sorted by start, then rule order.
 
     Null and empty texts have no spans. Rows with equal or null keys each keep
-    their own spans: candidates are found per key, then every row with that
-    key is verified on its own text.
+    their own spans: candidates are found per key and text hash, then every
+    such row is verified on its own text. All other columns stay as they are.
     """
-    k, hits, c = fresh(docs, "candidate_key", "candidate_rules", "candidate_text")
+    k, r, hits, c, own = fresh(docs, "candidate_key", "candidate_row", "candidate_rules", "candidate_text", "own_row")
     candidates = rule_candidates(trigram_postings(docs, rules, key, text), rules)
-    candidates = candidates.select(F.col("key").alias(k), F.col("rules").alias(hits))
-    joined = docs.join(candidates, docs[key].eqNullSafe(F.col(k)), "left").withColumn(c, text_column(text))
+    candidates = candidates.select(F.col("key").alias(k), F.col("row").alias(r), F.col("rules").alias(hits))
+    mine = docs.withColumn(own, F.xxhash64(text_column(text)))
+    joined = mine.join(candidates, F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left")
+    joined = joined.withColumn(c, text_column(text))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     parts = []
-    for rank, r in enumerate(rules):
-        spans = _rule_spans(F.col(c), r, rank)
-        if r.query:
-            spans = F.when(F.array_contains(F.coalesce(F.col(hits), F.array().cast("array<string>")), r.kind),
+    for rank, rule in enumerate(rules):
+        spans = _rule_spans(F.col(c), rule, rank)
+        if rule.query:
+            spans = F.when(F.array_contains(F.coalesce(F.col(hits), F.array().cast("array<string>")), rule.kind),
                            spans).otherwise(none)
         parts.append(spans)
-    return joined.withColumn(out, F.array_sort(F.flatten(F.array(*parts)))).drop(k, hits, c)
+    return joined.withColumn(out, F.array_sort(F.flatten(F.array(*parts)))).drop(k, r, hits, c, own)
 
 
 def redact(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
