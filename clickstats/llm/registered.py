@@ -10,6 +10,7 @@ from clickstats.llm.q_audit import OP12_SQL, op12_filter_audit
 from clickstats.llm.q_decontaminate import OP5_SQL, op5_decontaminate
 from clickstats.llm.q_dedup import OP2_SQL, OP10_SQL, op2_phrase_dedup, op10_suffix_dedup
 from clickstats.llm.q_pii import op6_personal_data
+from clickstats.llm.q_quality import op11_quality
 from clickstats.llm.q_runs import op13_periodic_runs
 from clickstats.llm.q_secret import OP7_SQL, op7_secret_scan
 from clickstats.llm.q_topk import OP9_SQL, op9_exact_topk
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_topk": op9_exact_topk,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_quality": op11_quality,
     "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,

@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_native_plans_run_no_python(spark):
