@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstats.functions.timecols import floor_div
-from clickstats.operators.windows import duration_ms, interval_counts, window_run
+from clickstats.operators.windows import covered_runs, duration_ms, interval_counts, window_run
 from clickstats.session import ensure_checkpoint_dir
 
 # Fan-out of the tree over batch ids: no window of the running maximum holds more rows.
@@ -132,8 +132,19 @@ def accepted_counts(on_time: DataFrame, key: str, size: str | int, slide: str |
     Rows are grouped by (key, first open window, last window) before the coverage
     count, so nothing is expanded per row.
     """
+    intervals, size_ms, slide_ms = _accepted_intervals(on_time, key, size, slide, lateness, time_col)
+    return interval_counts(intervals, [key], "_first", "_last", "_c", size_ms, slide_ms, count_col)
+
+
+def accepted_runs(on_time: DataFrame, key: str, size: str | int, slide: str | int,
+                  lateness: str | int, time_col: str = "event_ms", count_col: str = "count") -> DataFrame:
+    """``accepted_counts`` as runs of windows with one count, for ``rank.top_n_runs``."""
+    intervals, size_ms, slide_ms = _accepted_intervals(on_time, key, size, slide, lateness, time_col)
+    return covered_runs(intervals, [key], "_first", "_last", "_c", size_ms, slide_ms, count_col)
+
+
+def _accepted_intervals(on_time, key, size, slide, lateness, time_col):
     size_ms, slide_ms, lateness_ms = duration_ms(size), duration_ms(slide), duration_ms(lateness)
     first, last = accepted_windows(size_ms, slide_ms, lateness_ms, time_col)
-    intervals = (on_time.select(key, first.alias("_first"), last.alias("_last"))
-                 .groupBy(key, "_first", "_last").agg(F.count(F.lit(1)).alias("_c")))
-    return interval_counts(intervals, [key], "_first", "_last", "_c", size_ms, slide_ms, count_col)
+    return (on_time.select(key, first.alias("_first"), last.alias("_last"))
+            .groupBy(key, "_first", "_last").agg(F.count(F.lit(1)).alias("_c"))), size_ms, slide_ms

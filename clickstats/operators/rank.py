@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickstats.functions.timecols import java_timestamp_text
+from clickstats.functions.timecols import floor_div, java_timestamp_text
+from clickstats.operators.windows import duration_ms
 
 
 def top_n(counts: DataFrame, key: str | list[str], n: int = 5, group_col: str = "window_end",
@@ -31,6 +32,64 @@ def top_n(counts: DataFrame, key: str | list[str], n: int = 5, group_col: str =
             .where(F.col(rank_col) <= n))
 
 
+#: Widest dyadic node of ``top_n_runs``, as a power of two.
+MAX_LEVEL = 10
+
+
+def dyadic_pieces(runs: DataFrame, cols: list[str], top: int, first: str = "first_window",
+                  last: str = "last_window") -> DataFrame:
+    """Cut each run of integers into dyadic nodes: ``cols..., level, node``, node n of level k being the integers
+    ``[n * 2**k, (n + 1) * 2**k)``.
+
+    The cut a segment tree makes: below ``top`` at most two nodes of each level, as many as needed at ``top``. The
+    nodes of a run are disjoint and cover it exactly.
+    """
+    lo, hi = F.col(first), F.col(last) + 1
+    nodes = []
+    for k in range(top):
+        a, z = -floor_div(-lo, 1 << k), floor_div(hi, 1 << k)
+        nodes.append(F.when((a < z) & (a % 2 != 0), F.struct(F.lit(k).alias("level"), a.alias("node"))))
+        nodes.append(F.when((a < z) & (z % 2 != 0), F.struct(F.lit(k).alias("level"), (z - 1).alias("node"))))
+    a, z = -floor_div(-lo, 1 << top), floor_div(hi, 1 << top)
+    whole = F.when(a < z, F.transform(F.sequence(a, z - 1), lambda n: F.struct(F.lit(top).alias("level"), n.alias("node"))))
+    none = F.array().cast("array<struct<level:int,node:bigint>>")
+    parts = F.concat(F.array_compact(F.array(*nodes)), F.coalesce(whole, none)) if top else F.coalesce(whole, none)
+    return runs.select(*cols, F.inline(parts))
+
+
+def top_n_runs(runs: DataFrame, key: str | list[str], n: int, size: str | int, slide: str | int,
+               count_col: str = "count", rank_col: str = "rank", max_level: int = MAX_LEVEL) -> DataFrame:
+    """``top_n`` of every window, from runs of windows (``windows.windowed_runs``): ``key, window_end, count, rank``.
+
+    Runs are cut into dyadic nodes of windows, so what is shuffled and sorted is a run's few nodes, not its windows.
+    Of each node the ``n`` best pieces are kept (a ``WindowGroupLimit`` on both sides of the shuffle): a piece with ``n``
+    better ones on the whole node is in no window's top ``n``. What is left, at most ``n`` pieces a node, is sent to
+    blocks of ``2**max_level`` windows, and only there laid out window by window and ranked. Same order and ties as
+    ``top_n``.
+    """
+    if n is None or n < 1:
+        raise ValueError("n must be a positive integer")
+    keys = [key] if isinstance(key, str) else list(key)
+    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
+    # No node wider than about a window length: a row's run is hardly longer.
+    top = min(max_level, max(0, (size_ms // slide_ms).bit_length() - 1))
+    order = [F.col(count_col).desc(), *[F.col(k).asc() for k in keys]]
+    pieces = dyadic_pieces(runs, [*keys, count_col], top)
+    best = (pieces.withColumn("_place", F.row_number().over(Window.partitionBy("level", "node").orderBy(*order)))
+            .where(F.col("_place") <= n))
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level"))
+    first = F.col("node") * width
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (best.select(*keys, count_col, first.alias("_lo"), (first + width - 1).alias("_hi"),
+                         floor_div(first, 1 << top).alias("_block"))
+             .repartition(parts, "_block"))
+    step, span = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
+    each = dealt.select(*keys, count_col, "_block", F.explode(
+        F.sequence(F.col("_lo") * step + span, F.col("_hi") * step + span, step)).alias("window_end"))
+    ranked = each.withColumn(rank_col, F.row_number().over(Window.partitionBy("_block", "window_end").orderBy(*order)))
+    return ranked.where(F.col(rank_col) <= n).select(*keys, "window_end", count_col, rank_col)
+
+
 @dataclass(frozen=True)
 class ReportLayout:
     """Pieces of a ranking report: ``head + time_label + <window end> +

@@ -102,10 +102,27 @@ def window_run(size_ms: int, slide_ms: int, time_col: str = "event_ms") -> tuple
 
 
 def _panes(rows, keys, size_ms, slide_ms, time_col, count_col):
+    return interval_counts(_run_counts(rows, keys, size_ms, slide_ms, time_col), keys, "_first", "_last", "_c",
+                           size_ms, slide_ms, count_col)
+
+
+def _run_counts(rows, keys, size_ms, slide_ms, time_col):
+    """Rows per key and run of windows they lie in: ``keys..., _first, _last, _c``."""
     first, last = window_run(size_ms, slide_ms, time_col)
-    runs = (rows.groupBy(*keys, first.alias("_first"), last.alias("_last"))
+    return (rows.groupBy(*keys, first.alias("_first"), last.alias("_last"))
             .agg(F.count(F.lit(1)).alias("_c")))
-    return interval_counts(runs, keys, "_first", "_last", "_c", size_ms, slide_ms, count_col)
+
+
+def windowed_runs(rows: DataFrame, keys: str | list[str], size: str | int, slide: str | int,
+                  time_col: str = "event_ms", count_col: str = "count") -> DataFrame:
+    """Sliding counts as runs of windows with one count (see ``covered_runs``), for ``rank.top_n_runs``."""
+    if rows.isStreaming:
+        raise ValueError("windowed_runs runs on batch DataFrames; for streams use clickstats.streaming.ranked")
+    keys, size_ms, slide_ms = _key_cols(keys), duration_ms(size), duration_ms(slide)
+    if not 0 < slide_ms <= size_ms:
+        raise ValueError("need 0 < slide <= size")
+    return covered_runs(_run_counts(rows, keys, size_ms, slide_ms, time_col), keys, "_first", "_last", "_c",
+                        size_ms, slide_ms, count_col)
 
 
 def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_col: str,
@@ -115,7 +132,21 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
 
     Each input row is an interval ``[first, last]`` of window indices (start /
     slide) with a weight (a count). Output: ``keys..., window_end = index * slide
-    + size, count`` for every index where the sum is positive.
+    + size, count`` for every index where the sum is positive: the runs of
+    ``covered_runs``, window by window.
+    """
+    runs = covered_runs(intervals, keys, first_col, last_col, weight_col, size_ms, slide_ms, count_col,
+                        block_windows, partitions)
+    step, size = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
+    lo, hi = F.col("first_window"), F.col("last_window")
+    return runs.select(*keys, F.explode(F.sequence(lo * step + size, hi * step + size, step)).alias("window_end"), count_col)
+
+
+def covered_runs(intervals: DataFrame, keys: list[str], first_col: str, last_col: str,
+                 weight_col: str, size_ms: int, slide_ms: int, count_col: str = "count",
+                 block_windows: int = BLOCK_WINDOWS, partitions: int | None = None) -> DataFrame:
+    """Sum of weights of the intervals covering each index, as runs of indices with
+    one sum: ``keys..., first_window, last_window, count``, where the sum is positive.
 
     Method (a distributed prefix sum): an interval becomes a ``+w`` delta at
     ``first`` and a ``-w`` delta at ``last + 1``; the running sum of deltas is
@@ -123,7 +154,8 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     and every interval is sent to each block it overlaps (one, sometimes
     two), so each ``(key, block)`` holds all intervals it needs and its
     running sum is exact without looking at other blocks. One shuffle on
-    ``(key, block)``; a hot key is spread over its blocks.
+    ``(key, block)``; a hot key is spread over its blocks. Runs end at block
+    borders.
 
     That shuffle is small (pane counts) but its output expands to every
     window, so it gets a fixed partition count (``partitions``, by default
@@ -152,7 +184,5 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     blk_hi = blk_lo + block
     lo = F.greatest(c("_e"), blk_lo)
     hi = F.least(F.coalesce(c("_next"), blk_hi), blk_hi)
-    step, size = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
     return (covered.where((c("_s") > 0) & (lo < hi))
-            .select(*keys, F.explode(F.sequence(lo * step + size, (hi - 1) * step + size, step)).alias("window_end"),
-                    c("_s").alias(count_col)))
+            .select(*keys, lo.alias("first_window"), (hi - 1).alias("last_window"), c("_s").alias(count_col)))

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstats.functions.timecols import floor_div
-from clickstats.operators.late import accepted_counts, split_late
-from clickstats.operators.rank import top_n
-from clickstats.operators.windows import duration_ms, windowed_count
+from clickstats.operators.late import accepted_runs, split_late
+from clickstats.operators.rank import top_n, top_n_runs
+from clickstats.operators.windows import duration_ms, windowed_count, windowed_runs
 
 
 def is_page_view(behavior: Column | None = None) -> Column:
@@ -38,7 +38,15 @@ def hot_items(behavior_rows: DataFrame, size: str = "1 hour", slide: str = "5 mi
               method: str = "auto") -> DataFrame:
     """Top ``n`` items by page views per sliding window:
     ``item_id, window_end, count, rank``."""
-    return top_n(item_counts(behavior_rows, size, slide, method), "item_id", n)
+    return _ranked(behavior_rows.where(is_page_view()), "item_id", size, slide, n, method, "count")
+
+
+def _ranked(rows: DataFrame, key: str, size: str, slide: str, n: int, method: str, count_col: str) -> DataFrame:
+    """Sliding counts ranked from runs of windows; the other methods window by window."""
+    if method in ("auto", "panes") and duration_ms(slide) < duration_ms(size):
+        return top_n_runs(windowed_runs(rows, key, size, slide, count_col=count_col), key, n, size, slide, count_col)
+    counts = windowed_count(rows, key, size, slide, count_col=count_col, method=method)
+    return top_n(counts, key, n, count_col=count_col)
 
 
 def url_counts(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
@@ -53,7 +61,7 @@ def hot_urls(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seco
     """Top ``n`` URLs by GET hits per sliding window, every window complete:
     ``url, window_end, url_count, rank``. (For arrival order, lateness and
     re-fired windows see ``hot_urls_with_lateness``.)"""
-    return top_n(url_counts(log_rows, size, slide, method), "url", n, count_col="url_count")
+    return _ranked(log_rows.where(is_get()), "url", size, slide, n, method, "url_count")
 
 
 def hot_urls_with_lateness(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
@@ -69,8 +77,8 @@ def hot_urls_with_lateness(log_rows: DataFrame, size: str = "10 minutes", slide:
     GET rows too late for all their windows (the side output).
     """
     split = split_late(log_rows, is_get(), size, slide, delay, lateness, batch_col)
-    counts = accepted_counts(split.on_time, "url", size, slide, lateness, count_col="url_count")
-    return top_n(counts, "url", n, count_col="url_count"), split.late
+    runs = accepted_runs(split.on_time, "url", size, slide, lateness, count_col="url_count")
+    return top_n_runs(runs, "url", n, size, slide, "url_count"), split.late
 
 
 def page_views(behavior_rows: DataFrame, size: str = "1 hour") -> DataFrame:

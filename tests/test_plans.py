@@ -72,3 +72,16 @@ def test_tables_are_read_as_they_are(spark):
     from clickstats.plans import registered
     text = plan(registered.QUERIES["filter_pv"](spark, SF_SMALL))
     assert "Exchange" not in text and "event_id" not in text
+
+
+def test_fine_slides_shuffle_nodes_and_lay_windows_out_last(spark):
+    df = rows(spark).withColumn("behavior", F.lit("pv")).withColumnRenamed("key", "item_id")
+    text = plan(jobs.hot_items(df, "1 hour", "3 seconds", 5))
+    ex = exchanges(text)
+    assert len(ex) == 4 and "_block" in ex[0] and "node" in ex[1] and "_blk" in ex[2], ex
+    assert not any("window_end" in e for e in ex), ex
+    above = text[:text.index("Exchange")]
+    assert above.count("Generate") == 1 and "sequence(" in above            # windows appear after the last shuffle
+    below = text[text.index("Exchange hashpartitioning(level"):]
+    assert "WindowGroupLimit [level" in below and "sequence(" in below      # n pieces of a node leave each map task
+    assert "SinglePartition" not in text
