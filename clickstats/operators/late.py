@@ -90,6 +90,20 @@ def first_open(size_ms: int, slide_ms: int, lateness_ms: int, watermark: Column)
     return floor_div(watermark - lateness_ms - size_ms + 1, slide_ms) + 1
 
 
+def expire_windows(counts: DataFrame, watermark_ms: Column | int | None, retention_ms: int) -> DataFrame:
+    """Keep the windows that may still change: ``end - 1 + retention > watermark``
+    (T3). A null watermark (nothing seen yet) expires nothing."""
+    if watermark_ms is None:
+        return counts
+    wm = watermark_ms if isinstance(watermark_ms, Column) else F.lit(watermark_ms)
+    return counts.where(wm.isNull() | (F.col("window_end") - 1 + F.lit(retention_ms) > wm))
+
+
+def first_open_index(size_ms: int, slide_ms: int, lateness_ms: int, watermark_ms: int) -> int:
+    """``first_open`` of plain numbers."""
+    return (watermark_ms - lateness_ms - size_ms + 1) // slide_ms + 1
+
+
 @dataclass
 class LateSplit:
     judged: DataFrame      # kept rows + watermark_ms, is_late: write this to get both outputs from one pass

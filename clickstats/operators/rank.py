@@ -24,8 +24,8 @@ def top_n(counts: DataFrame, key: str | list[str], n: int = 5, group_col: str =
     if n is None or n < 1:
         raise ValueError("n must be a positive integer")
     if counts.isStreaming:
-        raise ValueError("top_n runs on batch DataFrames; for streams rank each micro-batch "
-                         "(clickstats.streaming.late_counts.WindowCountsSink)")
+        raise ValueError("top_n runs on batch DataFrames; for streams use "
+                         "clickstats.streaming.ranked.ranked_stream")
     keys = [key] if isinstance(key, str) else list(key)
     w = Window.partitionBy(group_col).orderBy(F.col(count_col).desc(), *[F.col(k).asc() for k in keys])
     return (counts.withColumn(rank_col, F.row_number().over(w))

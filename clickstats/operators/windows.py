@@ -64,7 +64,7 @@ def windowed_count(rows: DataFrame, keys: str | list[str] | None, size: str | in
     """
     if rows.isStreaming:
         raise ValueError("windowed_count runs on batch DataFrames; for streams use "
-                         "clickstats.streaming.jobs.stream_counts or streaming.late_counts.WindowCountsSink")
+                         "clickstats.streaming.jobs.stream_counts or streaming.ranked.ranked_stream")
     keys = _key_cols(keys)
     size_ms = duration_ms(size)
     slide_ms = size_ms if slide is None else duration_ms(slide)
@@ -117,7 +117,7 @@ def windowed_runs(rows: DataFrame, keys: str | list[str], size: str | int, slide
                   time_col: str = "event_ms", count_col: str = "count") -> DataFrame:
     """Sliding counts as runs of windows with one count (see ``covered_runs``), for ``rank.top_n_runs``."""
     if rows.isStreaming:
-        raise ValueError("windowed_runs runs on batch DataFrames; for streams use clickstats.streaming.ranked")
+        raise ValueError("windowed_runs runs on batch DataFrames; for streams use clickstats.streaming.ranked.ranked_stream")
     keys, size_ms, slide_ms = _key_cols(keys), duration_ms(size), duration_ms(slide)
     if not 0 < slide_ms <= size_ms:
         raise ValueError("need 0 < slide <= size")

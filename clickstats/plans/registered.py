@@ -20,7 +20,6 @@ from clickstats.plans import jobs
 from clickstats.sources import standin
 from clickstats.sources.lines import decode_kafka
 from clickstats.sources.tables import load_table
-from clickstats.streaming.late_counts import expire_windows
 
 BEHAVIOR_OUT = ["user_id", "item_id", "category_id", "behavior", "ts_sec", "event_ms"]
 LOG_OUT = ["ip", "user_id", "event_ms", "method", "url"]
@@ -216,7 +215,7 @@ def q_open_windows_after_expiry(spark, sf_dir):
     split = late.split_late(rows, jobs.is_get(), "10 minutes", "5 seconds", delay="1 second", lateness="1 minute")
     counts = late.accepted_counts(split.on_time, "url", "10 minutes", "5 seconds", "1 minute", count_col="url_count")
     final = rows.agg((F.max("event_ms") - 1000).alias("wm")).scalar()
-    return expire_windows(counts, final, 86_400_000)
+    return late.expire_windows(counts, final, 86_400_000)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from clickstats.operators.windows import windowed_count
-from clickstats.streaming.late_counts import expire_windows
+from clickstats.operators.late import expire_windows
 
 
 def test_hot_key_is_spread_over_partitions(spark):

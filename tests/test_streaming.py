@@ -10,7 +10,7 @@ from clickstats.plans.jobs import is_get, is_page_view
 from clickstats.sources import standin
 from clickstats.sources.lines import read_lines
 from clickstats.sources.tables import load_table
-from clickstats.streaming import late_counts
+from clickstats.streaming import ranked
 from clickstats.streaming.jobs import stream_counts, stream_page_views_salted
 from clickstats.streaming.sinks import write_stream
 from conftest import SF_SMALL
@@ -105,71 +105,75 @@ def test_stream_salted_page_views(spark, scratch):
 
 def _late_stream(spark, scratch, batches, key, keep, size, slide, delay, lateness, parse):
     folder = write_batches(f"{scratch}/in", batches)
-    state = f"{scratch}/state"
-    fn = late_counts.WindowCountsSink(state, key, size, slide, delay, lateness, keep)
     rows = parse(read_lines(spark, folder, streaming=True, max_files_per_trigger=1)).rows
-    run_available(spark, rows, scratch, "late", sink="foreachBatch", for_each_batch=fn)
-    return state
+    out = ranked.ranked_stream(rows, key, size, slide, delay, lateness, keep, buckets=2, write_counts=True)
+    run_available(spark, out, scratch, "late", sink="parquet", path=f"{scratch}/out", partition_by="kind")
+    return ranked.final_counts(spark, f"{scratch}/ckpt-late", f"{scratch}/out", key, size, slide).cache()
 
 
 def test_late_aware_stream_equals_replay_fixture(spark, scratch):
     batches = [[behavior_line(t) for t in b] for b in FIXTURE_65]
-    state = _late_stream(spark, scratch, batches, "item_id", is_page_view(), "10 minutes", "5 minutes",
-                         "1 second", "0 seconds", ingest_behavior)
-    got = {(r.item_id, r.window_end // 1000): r["count"]
-           for r in late_counts.final_counts(spark, state, "item_id").collect()}
+    counts = _late_stream(spark, scratch, batches, "item_id", is_page_view(), "10 minutes", "5 minutes",
+                          "1 second", "0 seconds", ingest_behavior)
+    got = {(r.item_id, r.window_end // 1000): r["count"] for r in counts.collect()}
     assert got == {(1, 300): 3, (1, 600): 4, (1, 900): 2, (1, 1200): 1, (2, 300): 1, (2, 600): 2,
                    (2, 900): 2, (2, 1200): 1, (26, 5100): 1, (26, 5400): 2, (26, 5700): 1}
-    assert sorted(r.ts_sec for r in late_counts.late_rows(spark, state).collect()) == [100, 650]
+    assert sorted(r.ts_sec for r in ranked.late_rows(spark, f"{scratch}/out").collect()) == [100, 650]
     # the last ranking emitted for each window is the top 5 of its final counts
     from clickstats.operators.rank import top_n
     last = {(r.item_id, r.window_end, r["count"], r.rank) for r in
-            late_counts.latest_rankings(spark, state).collect()}
-    final = {(r.item_id, r.window_end, r["count"], r.rank) for r in
-             top_n(late_counts.final_counts(spark, state, "item_id"), "item_id", 5).collect()}
+            ranked.latest_rankings(spark, f"{scratch}/out").collect()}
+    final = {(r.item_id, r.window_end, r["count"], r.rank) for r in top_n(counts, "item_id", 5).collect()}
     assert last == final
 
 
 def test_late_aware_stream_equals_replay_on_table(spark, scratch):
     lines = standin.access_log_lines(load_table(spark, SF_SMALL, "events"), with_arrival=True)
-    # Coarser arrival batches (2 days) keep the number of micro-batches small for a test.
-    coarse = lines.select("value", F.floor(F.col("batch_id") / 288).cast("bigint").alias("batch_id"))
+    # Coarser arrival batches (7 days) keep the number of micro-batches small for a test.
+    coarse = lines.select("value", F.floor(F.col("batch_id") / 1008).cast("bigint").alias("batch_id"))
     data = coarse.collect()
     ids = sorted({r.batch_id for r in data})
     batches = [[r.value for r in data if r.batch_id == b] for b in ids]
-    state = _late_stream(spark, scratch, batches, "url", is_get(), "10 minutes", "5 seconds", "1 second",
-                         "1 minute", ingest_access_log)
+    counts = _late_stream(spark, scratch, batches, "url", is_get(), "10 minutes", "5 seconds", "1 second",
+                          "1 minute", ingest_access_log)
     replay_rows = ingest_access_log(spark.createDataFrame(
         [(r.value, ids.index(r.batch_id)) for r in data], "value string, batch_id bigint")).rows
     split = split_late(replay_rows, is_get(), "10 minutes", "5 seconds", "1 second", "1 minute")
     want = {(r.url, r.window_end, r["count"]) for r in
             accepted_counts(split.on_time, "url", "10 minutes", "5 seconds", "1 minute").collect()}
-    got = {(r.url, r.window_end, r["count"]) for r in late_counts.final_counts(spark, state, "url").collect()}
+    got = {(r.url, r.window_end, r["count"]) for r in counts.collect()}
     assert got == want and len(want) > 1000
-    assert (sorted(r.event_ms for r in late_counts.late_rows(spark, state).collect())
-            == sorted(r.event_ms for r in split.late.collect()))
+    late = ranked.late_rows(spark, f"{scratch}/out")
+    assert late.columns == [c for c in replay_rows.columns if c != "batch_id"]
+    assert {tuple(r) for r in late.collect()} == {tuple(r) for r in split.late.drop("batch_id", "watermark_ms").collect()}
     from clickstats.operators.rank import top_n
-    last = late_counts.latest_rankings(spark, state).select("url", "window_end", "count", "rank")
+    last = ranked.latest_rankings(spark, f"{scratch}/out").select("url", "window_end", "count", "rank")
     assert ({tuple(r) for r in last.collect()}
-            == {tuple(r) for r in top_n(late_counts.final_counts(spark, state, "url"), "url", 5)
-                .select("url", "window_end", "count", "rank").collect()})
+            == {tuple(r) for r in top_n(counts, "url", 5).select("url", "window_end", "count", "rank").collect()})
+
+
+def _days_apart(vals, days):
+    """The lines of the first days, few enough blocks of windows for a test."""
+    first = int(vals[0].split(",")[4])
+    return [v for v in vals if int(v.split(",")[4]) < first + days * 86_400]
 
 
 @pytest.mark.parametrize("slide", ["5 minutes", "3 seconds"])
-def test_app_hot_items_final_equals_batch(spark, scratch, slide):
-    from clickstats.streaming.apps import start_hot_items
-    vals = _sf_small_lines(spark)
+def test_app_hot_items_on_a_file_equals_batch(spark, scratch, slide):
+    """A bounded source, without a closing row: the last windows are ranked when the run has ended."""
+    from clickstats.streaming.apps import close_hot_items, start_hot_items
+    vals = _days_apart(_sf_small_lines(spark), 4)
     chunks = [vals[j * len(vals) // 3:(j + 1) * len(vals) // 3] for j in range(3)]
-    chunks.append(["1,999999,0,pv,4102444800"])  # far-future sentinel closes every window
     folder = write_batches(f"{scratch}/in", chunks)
     lines = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
-    q = start_hot_items(lines, f"{scratch}/out", f"{scratch}/ckpt", slide=slide, trigger={"availableNow": True})
+    q = start_hot_items(lines, f"{scratch}/out", f"{scratch}/ckpt", slide=slide, trigger={"availableNow": True}, buckets=2)
     q.awaitTermination(300)
-    got = {(r.item_id, r.window_end, r["count"], r.rank) for r in spark.read.parquet(f"{scratch}/out/rankings")
-           .collect()}
     rows = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
     want = {(r.item_id, r.window_end, r["count"], r.rank) for r in jobs.hot_items(rows, "1 hour", slide).collect()}
-    assert got == want and len(want) > 1000
+    before = {(r.item_id, r.window_end, r["count"], r.rank) for r in ranked.latest_rankings(spark, f"{scratch}/out").collect()}
+    assert before < want  # the windows that event time has passed
+    got = {tuple(r) for r in close_hot_items(spark, f"{scratch}/out", f"{scratch}/ckpt", slide=slide).collect()}
+    assert got == want and len(want) > 200
 
 
 def test_app_page_views_to_parquet(spark, scratch):
@@ -198,15 +202,15 @@ def test_app_hot_urls_update_on_fixture(spark, scratch):
                            + [["10.0.0.1 1 - 01/01/1970:00:00:01 +0000 POST /a"]])
     lines = read_lines(spark, folder, streaming=True, max_files_per_trigger=1)
     start_hot_urls(lines, f"{scratch}/out", f"{scratch}/ckpt", "10 minutes", "5 minutes", "1 second",
-                   "0 seconds", trigger={"availableNow": True}).awaitTermination(300)
+                   "0 seconds", trigger={"availableNow": True}, buckets=2).awaitTermination(300)
     got = {(r.url, r.window_end // 1000): r.url_count
-           for r in late_counts.final_counts(spark, f"{scratch}/out", "url", "url_count").collect()}
+           for r in ranked.latest_rankings(spark, f"{scratch}/out").collect()}
     assert got == {("/a", 300): 3, ("/a", 600): 4, ("/a", 900): 2, ("/a", 1200): 1, ("/b", 300): 1,
                    ("/b", 600): 2, ("/b", 900): 2, ("/b", 1200): 1, ("/z", 5100): 1, ("/z", 5400): 2,
                    ("/z", 5700): 1}
-    late = sorted(r.event_ms // 1000 for r in late_counts.late_rows(spark, f"{scratch}/out").collect())
+    late = sorted(r.event_ms // 1000 for r in ranked.late_rows(spark, f"{scratch}/out").collect())
     assert late == [100, 650]   # the POST row is filtered out, not a late GET row
-    ranks = {(r.window_end // 1000, r.rank): r.url for r in late_counts.latest_rankings(spark, f"{scratch}/out")
+    ranks = {(r.window_end // 1000, r.rank): r.url for r in ranked.latest_rankings(spark, f"{scratch}/out")
              .collect()}
     assert ranks[(600, 1)] == "/a" and ranks[(600, 2)] == "/b"
 
@@ -218,7 +222,7 @@ def test_batch_operators_refuse_streams_with_a_pointer(spark, scratch):
     rows = stream_rows(spark, folder)
     with pytest.raises(ValueError, match="stream_counts"):
         windowed_count(rows, "item_id", "1 hour", "5 minutes")
-    with pytest.raises(ValueError, match="WindowCountsSink"):
+    with pytest.raises(ValueError, match="ranked_stream"):
         top_n(rows.withColumnRenamed("ts_sec", "count").withColumnRenamed("event_ms", "window_end"), "item_id")
 
 
@@ -228,6 +232,7 @@ def test_kafka_shaped_stream_hot_items(spark, scratch):
     from clickstats.sources.lines import decode_kafka
     from clickstats.streaming.apps import start_hot_items
     rows = standin.kafka_rows(load_table(spark, SF_SMALL, "events")).orderBy("offset").collect()
+    rows = rows[:len(rows) // 8]
     sentinel = spark.createDataFrame([(None, bytearray(b"1,999999,0,pv,4102444800"), "hot", 0, 10**9, None, 0)],
                                      standin.kafka_rows(load_table(spark, SF_SMALL, "events")).schema)
     schema = sentinel.schema
@@ -242,11 +247,29 @@ def test_kafka_shaped_stream_hot_items(spark, scratch):
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(folder))
     q = start_hot_items(decode_kafka(stream), f"{scratch}/out", f"{scratch}/ckpt", slide="3 seconds",
-                        trigger={"availableNow": True})
+                        trigger={"availableNow": True}, buckets=2)
     q.awaitTermination(300)
     got = {(r.item_id, r.window_end, r["count"], r.rank)
-           for r in spark.read.parquet(f"{scratch}/out/rankings").collect()}
+           for r in ranked.latest_rankings(spark, f"{scratch}/out").collect()}
     batch_rows = ingest_behavior(decode_kafka(spark.createDataFrame(rows, schema)).select("value")).rows
     want = {(r.item_id, r.window_end, r["count"], r.rank)
             for r in jobs.hot_items(batch_rows, "1 hour", "3 seconds").collect()}
     assert got == want and len(want) > 10000
+
+
+@pytest.mark.parametrize("size,slide", [("1 hour", "3 seconds"), ("10 seconds", "4 seconds")])
+def test_fine_slides_in_two_chained_aggregations(spark, scratch, size, slide):
+    from clickstats.streaming.jobs import stream_pane_counts
+    vals = _days_apart(_sf_small_lines(spark), 2)
+    folder = write_batches(f"{scratch}/in", [vals[: len(vals) // 2], vals[len(vals) // 2:], ["1,999999,0,pv,4102444800"],
+                                             ["1,999999,0,pv,4102444801"]])
+    rows = stream_rows(spark, folder)
+    count = stream_counts if size == "1 hour" else stream_pane_counts
+    q = run_available(spark, count(rows, "item_id", size, slide, keep=is_page_view()), scratch, f"panes{size[:2].strip()}")
+    got = {(r.item_id, r.window_end, r["count"]) for r in spark.table(f"panes{size[:2].strip()}").collect()}
+    batch = ingest_behavior(spark.createDataFrame([(v,) for v in vals], "value string")).rows
+    want = {(r.item_id, r.window_end, r["count"]) for r in jobs.item_counts(batch, size, slide).collect()}
+    assert got == want and len(want) > 30
+    plan = q._jsq.explainInternal(False)
+    raw = plan[plan.rindex("StateStoreSave"):]  # the first aggregation, down to the source
+    assert plan.count("StateStoreSave") == 2 and "Expand" not in plan and "explode" not in raw, plan
