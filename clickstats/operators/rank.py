@@ -58,31 +58,40 @@ def dyadic_pieces(runs: DataFrame, cols: list[str], top: int, first: str = "firs
 
 
 def top_n_runs(runs: DataFrame, key: str | list[str], n: int, size: str | int, slide: str | int,
-               count_col: str = "count", rank_col: str = "rank", max_level: int = MAX_LEVEL) -> DataFrame:
+               count_col: str = "count", rank_col: str = "rank", node_limit: bool = False,
+               max_level: int = MAX_LEVEL) -> DataFrame:
     """``top_n`` of every window, from runs of windows (``windows.windowed_runs``): ``key, window_end, count, rank``.
 
-    Runs are cut into dyadic nodes of windows, so what is shuffled and sorted is a run's few nodes, not its windows.
-    Of each node the ``n`` best pieces are kept (a ``WindowGroupLimit`` on both sides of the shuffle): a piece with ``n``
-    better ones on the whole node is in no window's top ``n``. What is left, at most ``n`` pieces a node, is sent to
-    blocks of ``2**max_level`` windows, and only there laid out window by window and ranked. Same order and ties as
-    ``top_n``.
+    Runs are shuffled, not windows: each goes to the blocks of windows that it overlaps (a block is about one window
+    length, so one or two), and only there is it laid out window by window and ranked. Same order and ties as ``top_n``.
+
+    ``node_limit`` is for windows with very many keys. Runs are first cut into dyadic nodes of windows, and of each node
+    the ``n`` best pieces are kept (a ``WindowGroupLimit`` on both sides of a shuffle): a piece with ``n`` better ones on
+    the whole node is in no window's top ``n``. So at most ``n`` pieces a node reach a block, however many keys it has,
+    for the price of a second shuffle.
     """
     if n is None or n < 1:
         raise ValueError("n must be a positive integer")
     keys = [key] if isinstance(key, str) else list(key)
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    # No node wider than about a window length: a row's run is hardly longer.
+    # No block or node wider than about a window length: a row's run is hardly longer.
     top = min(max_level, max(0, (size_ms // slide_ms).bit_length() - 1))
     order = [F.col(count_col).desc(), *[F.col(k).asc() for k in keys]]
-    pieces = dyadic_pieces(runs, [*keys, count_col], top)
-    best = (pieces.withColumn("_place", F.row_number().over(Window.partitionBy("level", "node").orderBy(*order)))
-            .where(F.col("_place") <= n))
-    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level"))
-    first = F.col("node") * width
+    if node_limit:
+        pieces = dyadic_pieces(runs, [*keys, count_col], top)
+        best = (pieces.withColumn("_place", F.row_number().over(Window.partitionBy("level", "node").orderBy(*order)))
+                .where(F.col("_place") <= n))
+        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level"))
+        first = F.col("node") * width
+        spans = best.select(*keys, count_col, first.alias("_lo"), (first + width - 1).alias("_hi"),
+                            floor_div(first, 1 << top).alias("_block"))
+    else:
+        lo, hi, wide = F.col("first_window"), F.col("last_window"), 1 << top
+        spans = runs.select(*keys, count_col, lo, hi, F.explode(F.sequence(floor_div(lo, wide), floor_div(hi, wide))).alias("_block"))
+        begin = F.col("_block") * wide
+        spans = spans.select(*keys, count_col, F.greatest(lo, begin).alias("_lo"), F.least(hi, begin + wide - 1).alias("_hi"), "_block")
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (best.select(*keys, count_col, first.alias("_lo"), (first + width - 1).alias("_hi"),
-                         floor_div(first, 1 << top).alias("_block"))
-             .repartition(parts, "_block"))
+    dealt = spans.repartition(parts, "_block")
     step, span = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
     each = dealt.select(*keys, count_col, "_block", F.explode(
         F.sequence(F.col("_lo") * step + span, F.col("_hi") * step + span, step)).alias("window_end"))

@@ -137,9 +137,14 @@ def interval_counts(intervals: DataFrame, keys: list[str], first_col: str, last_
     """
     runs = covered_runs(intervals, keys, first_col, last_col, weight_col, size_ms, slide_ms, count_col,
                         block_windows, partitions)
-    step, size = F.lit(slide_ms).cast("bigint"), F.lit(size_ms)
+    return lay_out(runs, keys, size_ms, slide_ms, count_col)
+
+
+def lay_out(runs: DataFrame, keys: list[str], size: str | int, slide: str | int, count_col: str = "count") -> DataFrame:
+    """Runs of windows, window by window: ``keys..., window_end, count``."""
+    step, span = F.lit(duration_ms(slide)).cast("bigint"), F.lit(duration_ms(size))
     lo, hi = F.col("first_window"), F.col("last_window")
-    return runs.select(*keys, F.explode(F.sequence(lo * step + size, hi * step + size, step)).alias("window_end"), count_col)
+    return runs.select(*keys, F.explode(F.sequence(lo * step + span, hi * step + span, step)).alias("window_end"), count_col)
 
 
 def covered_runs(intervals: DataFrame, keys: list[str], first_col: str, last_col: str,

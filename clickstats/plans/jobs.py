@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstats.functions.timecols import floor_div
-from clickstats.operators.late import accepted_runs, split_late
+from clickstats.operators.late import accepted_counts, split_late
 from clickstats.operators.rank import top_n, top_n_runs
 from clickstats.operators.windows import duration_ms, windowed_count, windowed_runs
 
@@ -42,11 +42,16 @@ def hot_items(behavior_rows: DataFrame, size: str = "1 hour", slide: str = "5 mi
 
 
 def _ranked(rows: DataFrame, key: str, size: str, slide: str, n: int, method: str, count_col: str) -> DataFrame:
-    """Sliding counts ranked from runs of windows; the other methods window by window."""
-    if method in ("auto", "panes") and duration_ms(slide) < duration_ms(size):
-        return top_n_runs(windowed_runs(rows, key, size, slide, count_col=count_col), key, n, size, slide, count_col)
-    counts = windowed_count(rows, key, size, slide, count_col=count_col, method=method)
-    return top_n(counts, key, n, count_col=count_col)
+    """Sliding counts, ranked; every ``method`` gives the same rows.
+
+    ``auto`` and the methods of ``windowed_count`` rank window by window and shuffle the best of each window. ``runs`` and
+    ``nodes`` shuffle runs of windows (``top_n_runs`` without and with its node limit): ``runs`` is cheaper where windows
+    hold few keys, and much dearer where they hold many, since all of them are laid out in one block.
+    """
+    if method in ("runs", "nodes"):
+        runs = windowed_runs(rows, key, size, slide, count_col=count_col)
+        return top_n_runs(runs, key, n, size, slide, count_col, node_limit=method == "nodes")
+    return top_n(windowed_count(rows, key, size, slide, count_col=count_col, method=method), key, n, count_col=count_col)
 
 
 def url_counts(log_rows: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
@@ -77,8 +82,8 @@ def hot_urls_with_lateness(log_rows: DataFrame, size: str = "10 minutes", slide:
     GET rows too late for all their windows (the side output).
     """
     split = split_late(log_rows, is_get(), size, slide, delay, lateness, batch_col)
-    runs = accepted_runs(split.on_time, "url", size, slide, lateness, count_col="url_count")
-    return top_n_runs(runs, "url", n, size, slide, "url_count"), split.late
+    counts = accepted_counts(split.on_time, "url", size, slide, lateness, count_col="url_count")
+    return top_n(counts, "url", n, count_col="url_count"), split.late
 
 
 def page_views(behavior_rows: DataFrame, size: str = "1 hour") -> DataFrame:

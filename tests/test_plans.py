@@ -74,14 +74,27 @@ def test_tables_are_read_as_they_are(spark):
     assert "Exchange" not in text and "event_id" not in text
 
 
-def test_fine_slides_shuffle_nodes_and_lay_windows_out_last(spark):
+def test_fine_slides_shuffle_runs_and_lay_windows_out_last(spark):
     df = rows(spark).withColumn("behavior", F.lit("pv")).withColumnRenamed("key", "item_id")
-    text = plan(jobs.hot_items(df, "1 hour", "3 seconds", 5))
-    ex = exchanges(text)
-    assert len(ex) == 4 and "_block" in ex[0] and "node" in ex[1] and "_blk" in ex[2], ex
-    assert not any("window_end" in e for e in ex), ex
-    above = text[:text.index("Exchange")]
-    assert above.count("Generate") == 1 and "sequence(" in above            # windows appear after the last shuffle
-    below = text[text.index("Exchange hashpartitioning(level"):]
-    assert "WindowGroupLimit [level" in below and "sequence(" in below      # n pieces of a node leave each map task
-    assert "SinglePartition" not in text
+    for method, shuffles in (("runs", 3), ("nodes", 4)):
+        text = plan(jobs.hot_items(df, "1 hour", "3 seconds", 5, method))
+        ex = exchanges(text)
+        assert len(ex) == shuffles and "_block" in ex[0] and "_blk" in ex[-2], ex
+        assert not any("window_end" in e for e in ex) and "SinglePartition" not in text, ex
+        above = text[:text.index("Exchange")]
+        assert above.count("Generate") == 1 and "sequence(" in above            # windows appear after the last shuffle
+        if method == "nodes":
+            assert "WindowGroupLimit [level" in text[text.index("Exchange hashpartitioning(level"):]  # n pieces of a node leave a task
+
+
+def test_every_ranking_method_gives_the_same_rows(spark):
+    df = spark.range(600).select((F.col("id") % 60).alias("item_id"), F.lit("pv").alias("behavior"), (F.col("id") * 7_001).alias("event_ms"))
+    cols = ("item_id", "window_end", "count", "rank")
+    got = [sorted(tuple(r[c] for c in cols) for r in jobs.hot_items(df, "10 minutes", "5 seconds", 2, m).collect())
+           for m in ("auto", "direct", "runs", "nodes")]
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) > 500
+
+
+def test_rankings_limit_windows_before_the_shuffle(spark):
+    df = rows(spark).withColumn("behavior", F.lit("pv")).withColumnRenamed("key", "item_id")
+    assert plan(jobs.hot_items(df, "1 hour", "3 seconds", 5)).count("WindowGroupLimit") == 2

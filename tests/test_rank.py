@@ -61,9 +61,10 @@ def test_top_n_of_runs_equals_top_n_of_windows(spark, size, slide, n, level):
     rows = spark.createDataFrame([(rnd.choice("abcdefgh"), rnd.randrange(-200_000, 400_000)) for _ in range(400)]
                                  + [(f"k{i}", 1_000_000) for i in range(50)], "key string, event_ms bigint")
     want = top_n(windowed_count(rows, "key", size, slide), "key", n).collect()
-    got = top_n_runs(windowed_runs(rows, "key", size, slide), "key", n, size, slide, max_level=level).collect()
     cols = ("key", "window_end", "count", "rank")
-    assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(tuple(r[c] for c in cols) for r in want)
+    for limit in (False, True):
+        got = top_n_runs(windowed_runs(rows, "key", size, slide), "key", n, size, slide, node_limit=limit, max_level=level).collect()
+        assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(tuple(r[c] for c in cols) for r in want)
 
 
 def test_top_n_of_runs_by_several_keys_and_of_no_rows(spark):
