@@ -120,9 +120,31 @@ def test_leaks_equal_brute_force(spark):
     assert benchmark_matches(docs(spark, rows), it.where("false")).collect() == []
 
 
+def test_leaks_of_a_shuffled_benchmark_and_of_a_long_text(spark, monkeypatch):
+    """A benchmark too large to broadcast gives the same rows; a text of 200,000 words is read in seconds."""
+    import time
+
+    from clickstats.llm import decontaminate
+    rows, items = leaks()
+    it = spark.createDataFrame([(k, t) for k, t in enumerate(items)], "item_id long, text string")
+    want = sorted(map(tuple, benchmark_matches(docs(spark, rows), it).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    plan = benchmark_matches(docs(spark, rows), it)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan
+    assert sorted(map(tuple, benchmark_matches(docs(spark, rows), it).collect())) == want
+    monkeypatch.undo()
+    took = []
+    for n in (20_000, 200_000):
+        long = docs(spark, [" ".join(f"w{i % 5_003}" for i in range(n)) + " " + items[0]])
+        t0 = time.time()
+        assert [(r["item_id"], r["similarity"]) for r in benchmark_matches(long, it).collect()] == [(0, 1.0)]
+        took.append(time.time() - t0)
+    assert took[1] < 30 * max(took[0], 1)
+
+
 def test_simhash_bits(spark):
     rng = random.Random(1)
-    lists = [[rng.randrange(-2**63, 2**63) for _ in range(n)] for n in (1, 2, 7, 40, 300)] + [[]]
+    lists = [[rng.randrange(-2**63, 2**63) for _ in range(n)] for n in (1, 2, 7, 40, 300, 33_000)] + [[], [-1] * 31_999, [1 << 63 - 1] * 9]
     got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, h array<long>").orderBy("i").select(
         simhash(F.col("h"))).collect()]
     for x, fp in zip(lists, got):
