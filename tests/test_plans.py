@@ -90,7 +90,7 @@ def test_fine_slides_shuffle_runs_and_lay_windows_out_last(spark):
 def test_every_ranking_method_gives_the_same_rows(spark):
     df = spark.range(600).select((F.col("id") % 60).alias("item_id"), F.lit("pv").alias("behavior"), (F.col("id") * 7_001).alias("event_ms"))
     cols = ("item_id", "window_end", "count", "rank")
-    got = [sorted(tuple(r[c] for c in cols) for r in jobs.hot_items(df, "10 minutes", "5 seconds", 2, m).collect())
+    got = [sorted(tuple(r[c] for c in cols) for r in jobs.hot_items(df, "10 minutes", "2 minutes", 2, m).collect())
            for m in ("auto", "direct", "runs", "nodes")]
     assert got[0] == got[1] == got[2] == got[3] and len(got[0]) > 500
 
