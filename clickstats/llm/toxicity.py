@@ -82,7 +82,7 @@ def bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     for t in texts:
         data = np.frombuffer(b" " + t + b" ", np.uint8)
         b, c = np.unique(gram_buckets(data)[1], return_counts=True)
-        out.append((b, (c / max(1, c.sum())).astype(np.float32)))
+        out.append((b.astype(np.int32, copy=False), (c / max(1, c.sum())).astype(np.float32)))
     return out
 
 
@@ -152,24 +152,37 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
                     per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """A model from the labelled rows that may be learnt from.
 
-    Rows without an id, a text row or a 0/1 label are left out. Of each class
-    the ``per_class`` rows with the smallest hash of the id are read (all, if
-    fewer); the class weights restore the shares among all rows that qualify.
+    Rows without an id, a text row or a 0/1 label are left out, and so are ids
+    with both labels; of several texts under one id the one with the smallest
+    hash is read. Of each class the ``per_class`` rows with the smallest hash of
+    the id are taken (all, if fewer); the class weights restore the shares among
+    all rows that qualify. The model does not depend on the order or the
+    partitions of the rows. The sample is bounded, so one task trains on it; the
+    driver gets the trained numbers only.
     """
     lab = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y"))
-    lab = lab.where(learns_from("id") & F.col("y").isin(0, 1)).dropDuplicates(["id"])
+    lab = lab.where(learns_from("id") & F.col("y").isin(0, 1)).groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("z"))
+    lab = lab.where("y = z").select("id", "y")
     n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = [lab.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
     chosen = picked[0].unionAll(picked[1])  # at most 2 * per_class rows of two numbers
     texts = docs.select(F.col(key).alias("doc"), text_column(text).alias("t"))
-    rows = texts.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "t", "y")
-    rows = rows.dropDuplicates(["id"]).limit(2 * per_class).collect()
-    rows.sort(key=lambda r: r["id"])
-    y = [r["y"] for r in rows]
-    have = (max(1, y.count(0)), max(1, y.count(1)))
+    rows = texts.join(F.broadcast(chosen), F.col("doc") == F.col("id"))
+    rows = rows.groupBy("id", "y").agg(F.min_by("t", F.struct(F.xxhash64("t"), F.col("t"))).alias("t"))
     every = max(1, sum(n.values()))
-    weight = tuple(n.get(c, 0) / every * len(y) / have[c] for c in (0, 1))
-    return train([r["t"].encode() for r in rows], y, weight)
+
+    def run(batches):
+        rows = sorted(((r["id"], r["y"], r["t"]) for b in batches for r in b.to_pylist()), key=lambda r: r[0])
+        y = [r[1] for r in rows]
+        weight = tuple(n.get(c, 0) / every * len(y) / max(1, y.count(c)) for c in (0, 1))
+        model = train([r[2] for r in rows], y, weight)
+        yield pa.RecordBatch.from_pydict({"weight": [model.weight.tobytes()], "bias": [model.bias]})
+
+    sample = rows.select("id", "y", F.col("t").cast("binary").alias("t")).coalesce(1)
+    model = sample.mapInArrow(run, "weight binary, bias double").first()
+    if model is None:  # an empty table has no task
+        return train([], [])
+    return ToxicityModel(np.frombuffer(bytes(model["weight"]), np.float32), model["bias"])
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "toxicity_score") -> DataFrame:

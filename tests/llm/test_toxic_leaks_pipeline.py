@@ -55,6 +55,18 @@ def test_held_out_labels_are_never_read(spark):
     assert (a.weight == b.weight).all() and a.bias == b.bias
 
 
+def test_repeated_ids_give_one_model_in_any_order(spark):
+    """Two texts under an id, repeated and conflicting labels: two orders and partitionings give the same numbers."""
+    rows, y = corpus(120)
+    given = [*enumerate(rows), (4, "another text of four"), (4, rows[4]), (None, "no id"), (8, None)]
+    labels = [*enumerate(y), (4, y[4]), (6, 1 - y[6]), (None, 1)]
+    schema = "doc_id long, toxic int"
+    a = fit_from_labels(docs(spark, [t for _, t in given], [i for i, _ in given]).repartition(2), spark.createDataFrame(labels, schema))
+    given, labels = given[::-1], labels[::-1]
+    b = fit_from_labels(docs(spark, [t for _, t in given], [i for i, _ in given]).repartition(5), spark.createDataFrame(labels, schema).repartition(3))
+    assert (a.weight == b.weight).all() and a.bias == b.bias and a.weight.any()
+
+
 def test_training_without_both_classes(spark):
     m = train([b"a b"], [0])
     assert m.score(np.zeros(1), np.zeros(1))[0] < 0.01 and isinstance(m, ToxicityModel)
