@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. Null counts as an empty text, and
+equal rows are rows of their own unless a stage says otherwise; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,30 +25,32 @@ from clickstats.session import state_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model calls toxic go."""
+    """Documents that the model calls toxic go. A null or empty text has the score of the bias alone; a repeated row goes or
+    stays with its like; an id with two texts or two labels: see ``toxicity.fit_from_labels``."""
     model = fit_from_labels(docs, load(spark, sf_dir, "labels"))
     scored = score_texts(docs, model, out="toxicity_score_")
     return scored.where(F.col("toxicity_score_") < 0.5).drop("toxicity_score_")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id stays, equal rows included. Texts without words,
+    null among them, are duplicates of nothing and stay."""
     return keep_one_per_component(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; texts without words stay. Rows that share an id are judged by their own text."""
     return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; every document stays. ``n_chars`` follows the text."""
+    """Secrets in the texts are replaced by a mark; every row stays, a null text as null. ``n_chars`` follows the text."""
     clean = redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its place in the mix of sources (``ORDER BY slot, block_row``)."""
+    """Every row with its place in the mix of sources (``ORDER BY slot, block_row``); a null source is one of the rest."""
     return mix_sources(docs, TARGET_WEIGHTS, block_rows=BLOCK_ROWS)
 
 
@@ -58,7 +62,7 @@ STAGES = [
     ("mix_sources", mixture),
 ]
 
-#: No SQL: the first stage trains a model. tests/llm checks the stages against brute force.
+#: No SQL: the first stage trains a model. tests/llm/test_pipeline.py checks each stage against a plain version.
 ORACLE_SQL = None
 
 
