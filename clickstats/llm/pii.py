@@ -12,6 +12,7 @@ high-confidence pattern of their kind are added. Seeds always stay.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,13 +30,16 @@ SMOOTHING = 2.0
 # The expressions of the contract.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The same matches as ``[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)``: no match starts inside a run of digits, and a run is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Loose forms of each kind.
+# Loose forms of each kind. An e-mail is ``[\w.%+-]+(?:@|\(at\)|\[at\])[\w.-]*\w``, looked for from its sign.
+_AT = re.compile(r"@|\(at\)|\[at\]")
+_NAME = re.compile(r"[\w.%+-]")
+_HOST = re.compile(r"[\w.-]*\w")
 _LOOSE = (
-    ("email", re.compile(r"[\w.%+-]+(?:@|\(at\)|\[at\])[\w.-]*\w")),
     ("ip", re.compile(r"(?<![\w.:-])[0-9]{1,3}(?:[.:-][0-9]{1,3}){3}(?![\w:-])")),
     ("card", re.compile(r"(?<![\w.])[0-9](?:[\x20./-]?[0-9]){11,18}(?![\w])")),
     ("phone", re.compile(r"(?<![\w.+])(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20./-]{1,2}[0-9]{2,5}){1,4}(?![\w])")),
@@ -86,19 +90,38 @@ def strict_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _loose_emails(text: str):
+    end = 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > end and _NAME.match(text, start - 1):
+            start -= 1
+        host = _HOST.match(text, m.end())
+        if host and end <= start < m.start():
+            yield start, host.end()
+            end = host.end()
+
+
 def loose_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """(kind, start, end) of looser matches that touch no seed and no earlier loose match."""
-    spans = sorted((a, z) for _, a, z in taken)
+    starts, ends = [], []  # what is covered, as disjoint spans in order
+    for a, z in sorted((a, z) for _, a, z in taken):
+        if starts and a < ends[-1]:
+            ends[-1] = max(ends[-1], z)
+        else:
+            starts.append(a)
+            ends.append(z)
     out = []
-    for kind, pattern in _LOOSE:
-        if kind == "email" and "@" not in text and "at)" not in text and "at]" not in text:
+    found = [("email", a, z) for a, z in _loose_emails(text)]
+    found += [(kind, m.start(), m.end()) for kind, pattern in _LOOSE for m in pattern.finditer(text)]
+    for kind, a, z in found:
+        if kind == "phone" and not 7 <= len(_digits(text[a:z])) <= 15:
             continue
-        for m in pattern.finditer(text):
-            if kind == "phone" and not 7 <= len(_digits(m.group())) <= 15:
-                continue
-            if all(m.end() <= a or m.start() >= z for a, z in spans):
-                out.append((kind, m.start(), m.end()))
-                spans.append((m.start(), m.end()))
+        i = bisect_left(ends, a + 1)  # the first covered span that ends after a
+        if i == len(starts) or starts[i] >= z:
+            out.append((kind, a, z))
+            starts.insert(i, a)
+            ends.insert(i, z)
     return out
 
 
@@ -109,7 +132,7 @@ def _instance(kind: str, found: str) -> str:
 def _patterns(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns at a span: the word before, the two before, the words on both sides."""
     left = [w.strip(_EDGE).lower() for w in text[max(0, start - 80):start].split()[-2:]]
-    m = _WORD.search(text, end)
+    m = _WORD.search(text, end, end + 43)  # no more of the next word is used
     right = m.group()[:40].strip(_EDGE).lower() if m and m.start() - end <= 3 else ""
     out = []
     if left and left[-1]:

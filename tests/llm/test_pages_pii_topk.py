@@ -1,9 +1,10 @@
+import time
 import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from clickstats.llm import topk
+from clickstats.llm import pii, topk
 from clickstats.llm.html_text import blocks_of, extract_main_text, main_text
 from clickstats.llm.pii import KINDS, confident_patterns, find_personal_data, strict_spans
 from clickstats.llm.topk import top_inner_products
@@ -66,6 +67,38 @@ def test_strict_spans_equal_the_expressions():
         assert strict_spans(t) == brute_strict(t), t
 
 
+def brute_loose(text, taken):
+    """The loose expressions as they are written, each match held against every span before it."""
+    loose = [("email", r"[\w.%+-]+(?:@|\(at\)|\[at\])[\w.-]*\w"), *[(k, p.pattern) for k, p in pii._LOOSE]]
+    spans, out = [(a, z) for _, a, z in taken], []
+    for kind, pattern in loose:
+        for m in re.finditer(pattern, text):
+            if (kind != "phone" or 7 <= sum(c in "0123456789" for c in m.group()) <= 15) and all(m.end() <= a or m.start() >= z for a, z in spans):
+                out.append((kind, m.start(), m.end()))
+                spans.append((m.start(), m.end()))
+    return out
+
+
+def test_loose_spans_equal_the_expressions():
+    rng = np.random.default_rng(4)
+    pieces = ["a", "b9", ".", "@", "(at)", "[at]", " ", "-", "+", "12", "345", "1.2.3.4", "é", "/", "(55)", "4111111111111111"]
+    for _ in range(4000):
+        t = "".join(rng.choice(pieces, rng.integers(0, 25)))
+        assert pii.loose_spans(t, strict_spans(t)) == brute_loose(t, strict_spans(t)), t
+
+
+def test_long_runs_take_linear_time():
+    """A million word characters beside an e-mail address, a million digits, a million dots and signs: seconds."""
+    for t in ("x" * 10**6 + " me@host.org", "x" * 10**6 + "@host.org", "1" * 10**6, "1." * 500_000, "@" * 10**6, "a@" * 500_000,
+              "+1 " * 300_000, "12 34567 " * 100_000 + "me(at)host.org", "a@b.c " * 100_000):
+        t0 = time.time()
+        spans = strict_spans(t)
+        spans += pii.loose_spans(t, spans)
+        for _, a, z in spans[:2000]:
+            pii._patterns(t, a, z)
+        assert time.time() - t0 < 15, t[:20]
+
+
 def test_bootstrapping_finds_unseen_identifiers(spark):
     rows = [f"x mail {n}.smith{i}@host{i}.org now" for i, n in enumerate("abcdefghijklmn")]
     rows += [f"call hotline +1 (555) 555-01{i:02d} today" for i in range(14)]
