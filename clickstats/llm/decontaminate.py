@@ -170,7 +170,7 @@ def _matches(d: DataFrame, items: DataFrame, width: int, percent: int) -> DataFr
         return F.broadcast(df) if small else df
 
     hits = _each_shingle(d, width).join(sized(flat), F.col("h") == F.col("ih"))
-    # A row with the id and text of another has the same shingles: the positions are a set.
+    # A row with the id and text of another has the same shingles and windows: the positions are a set, and the best window is one.
     found = hits.groupBy("doc_id", "row", "n", "item_id", "m").agg(F.array_sort(F.collect_set("p")).alias("at"))
     theirs = F.col("m") - (width - 1)
     own = F.least("n", "m") - (width - 1)
@@ -180,7 +180,7 @@ def _matches(d: DataFrame, items: DataFrame, width: int, percent: int) -> DataFr
     found = found.select("doc_id", "row", "item_id", own.alias("own"),
                          F.explode(_window_starts(F.col("at"), F.greatest(need, F.lit(1)), own, final)).alias("start"))
     mine = found.groupBy(F.col("doc_id").alias("k"), F.col("row").alias("r")).agg(F.collect_list(F.struct("item_id", "own", "start")).alias("windows"))
-    texts = d.dropDuplicates(["doc_id", "row"]).join(mine, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")))
+    texts = d.join(mine, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")))
     texts = _once(texts.select("doc_id", "row", "windows", "t"), words=words_of(F.col("t"))).drop("t")
     texts = _once(texts, sh=_shingles(F.col("words"), F.size("words"), width)).drop("words")
     cut = F.transform("windows", lambda w: F.struct(w["item_id"].alias("item"), w["start"].alias("start"),
