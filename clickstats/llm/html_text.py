@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -56,8 +57,9 @@ LONG = 200
 STOP_LOW, STOP_HIGH = 0.15, 0.30
 LINK_HIGH = 0.4
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                  r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_OPEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 #: Every attribute with its whole value, so that no name is found inside another's value.
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _HAS_MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
@@ -65,6 +67,35 @@ _SPLIT = re.compile(r"[^a-z]+")
 _WORDS = re.compile(r"\w+")
 
 
+class _Tags:
+    """The tags of a page, in time proportional to its length.
+
+    A tag ends at the first ``>`` outside quotes. A tag whose quote is never closed ends at its first ``>``, and from there on
+    quotes mean nothing on that page; a ``<`` with no ``>`` after it is text.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quotes, self.last = page, True, page.rfind(">")
+
+    def next(self, at: int):
+        """(start, end, is end tag, name, attributes) of the first tag from ``at`` on; the name is None for comments and the like."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            if page.startswith(("<!", "<?"), i):
+                return i, _OTHER.match(page, i).end(), False, None, ""
+            m = _OPEN.match(page, i) if i < self.last else None
+            if m is None:
+                at = i + 1
+                continue
+            rest = _REST.match(page, m.end()) if self.quotes else None
+            if rest is not None:
+                return i, rest.end(), bool(m.group(1)), m.group(2).lower(), rest.group(1)
+            self.quotes = False
+            end = page.index(">", m.end())
+            return i, end + 1, bool(m.group(1)), m.group(2).lower(), page[m.end():end]
+        return None
+
+
 @dataclass
 class Block:
     text: str
@@ -99,34 +130,45 @@ def _wrappers(page: str) -> set[int]:
     """Starts of the tags of elements that a mark does not drop: those that hold the first main element (or article, if there
     is no main), and on pages without either those that hold most of the text that is good on its own."""
     first: dict[str, set[int]] = {}
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, int]] = []  # name, start, good characters before it
+    opened: Counter[str] = Counter()
     held: dict[int, int] = {}  # characters of good text
-    whole, at, n = 0, 0, len(page)
+    whole, at, n, shut = 0, 0, len(page), 0  # shut: open links and dropped elements
     no_main = _HAS_MAIN.search(page) is None
-    while (m := _TAG.search(page, at)) is not None:
-        text = page[at:m.start()]
-        at = m.end()
-        if no_main and len(text) >= SHORT and not any(s[0] == "a" or s[0] in DROPPED for s in stack):
+    tags = _Tags(page)
+
+    def leave(k):
+        nonlocal shut
+        for name, start, before in stack[k:]:
+            opened[name] -= 1
+            shut -= name == "a" or name in DROPPED
+            held[start] = whole - before
+        del stack[k:]
+
+    while (tag := tags.next(at)) is not None:
+        start, end, closing, name, attributes = tag
+        text = page[at:start]
+        at = end
+        if no_main and len(text) >= SHORT and not shut:
             if label_alone(Block(" ".join(text.split()), 0, False, 0, False)) == "good":
                 whole += len(text)
-                for _, start in stack:
-                    held[start] = held.get(start, 0) + len(text)
-        name = (m.group(2) or "").lower()
         if not name or name in VOID:
             continue
-        if m.group(1):
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if k is not None:
-                del stack[k:]
+        if closing:
+            if opened[name]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
         elif name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = stop.end() if stop else n
         else:
-            if name in MAIN:
-                first.setdefault(name, {start for _, start in stack})
-            if not m.group(3).endswith("/") or name in MAIN:
-                stack.append((name, m.start()))
-    return first.get("main", first.get("article", {start for start, size in held.items() if 2 * size > whole}))
+            if name in MAIN and name not in first:
+                first[name] = {s[1] for s in stack}
+            if not attributes.endswith("/") or name in MAIN:
+                stack.append((name, start, whole))
+                opened[name] += 1
+                shut += name == "a" or name in DROPPED
+    leave(0)
+    return first.get("main", first.get("article", {start for start, size in held.items() if size and 2 * size > whole}))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -134,9 +176,11 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # name, dropped, container
     parts: list[str] = []
+    opened: Counter[str] = Counter()
     linked = 0
     containers = 0
     heading = False
+    tags = _Tags(page)
 
     def close_block():
         nonlocal linked, heading
@@ -154,43 +198,43 @@ def blocks_of(page: str) -> list[Block]:
             return
         text = entities.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if any(s[0] == "a" for s in stack):
+        if opened["a"]:
             linked += len("".join(text.split()))
 
     def leave(k):  # end the element at stack[k] and all inside it
         nonlocal heading
         if any(s[0] not in INLINE for s in stack[k:]):
             close_block()
+        for s in stack[k:]:
+            opened[s[0]] -= 1
         del stack[k:]
-        heading = any(s[0] in HEADINGS for s in stack)
+        heading = any(opened[h] for h in HEADINGS)
 
     has_main = _HAS_MAIN.search(page) is not None
     wrappers = _wrappers(page)
     at, n = 0, len(page)
     while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
+        tag = tags.next(at)
+        if tag is None:
             take(page[at:])
             break
-        take(page[at:m.start()])
-        at = m.end()
-        name = m.group(2)
+        start, end, closing, name, attributes = tag
+        take(page[at:start])
+        at = end
         if name is None:
-            if m.group().startswith("<![CDATA["):
-                take(m.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
+            if page.startswith("<![CDATA[", start):
+                take(page[start + 9:end].removesuffix("]]>").replace("&", "&amp;"))
             continue
-        name = name.lower()
-        if m.group(1):
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if k is not None:
-                leave(k)
+        if closing:
+            if opened[name]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if name == "br":
             take(" ")
             continue
         if name not in INLINE:
             if name in ("p", *HEADINGS, "div", "ul", "ol", "table", "section", "article", "footer", "nav", "aside", "form",
-                        "blockquote", "pre", "header", "main") and any(s[0] == "p" for s in stack):
+                        "blockquote", "pre", "header", "main") and opened["p"]:
                 leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"))
             elif name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
                 leave(len(stack) - 1)
@@ -198,19 +242,20 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         dropped, container = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        marks_main = name in MAIN or (not has_main and name in ("div", "section", "td") and _names_main(m.group(3)))
+        marks_main = name in MAIN or (not has_main and name in ("div", "section", "td") and _names_main(attributes))
         if marks_main and container == 0 and not dropped:
             containers += 1
             container = containers
         dropped = (dropped or name in DROPPED or (name == "header" and container == 0)
-                   or (name not in ("html", "body") and name not in MAIN and (_is_hidden(m.group(3)) or (
-                       m.start() not in wrappers and _is_marked(m.group(3), name not in HEADINGS and name not in INLINE)))))
+                   or (name not in ("html", "body") and name not in MAIN and (_is_hidden(attributes) or (
+                       start not in wrappers and _is_marked(attributes, name not in HEADINGS and name not in INLINE)))))
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = stop.end() if stop else n
             continue
-        if not m.group(3).endswith("/") or name in MAIN:
+        if not attributes.endswith("/") or name in MAIN:
             stack.append((name, dropped, container))
+            opened[name] += 1
             heading = heading or name in HEADINGS
     close_block()
     return out

@@ -188,3 +188,14 @@ def test_partial_sums_prune_most_pairs():
         assert (np.sort(np.concatenate(kept, 1), 1)[:, -5:] == np.sort(want, 1)[:, -5:]).all()
         share = scored / (len(q_key) * len(key))
         assert share < 0.2, (tasks, share)
+
+
+def test_unclosed_markup_takes_linear_time():
+    """A megabyte of unclosed tags, quotes, comments, nested or stray elements: seconds, and no markup in the text of an odd quote."""
+    for t in ("<a " * 330_000, "<a " * 330_000 + ">", "<b>" * 300_000, "<div>" * 200_000 + "x" * 100, "</b>" * 250_000, '<a "' * 250_000 + ">",
+              "<a<a" * 250_000, "<!--" * 250_000, '<a href="' * 100_000 + '"> t', "<div><p>word the and of " * 40_000, "<a '>\"> " * 100_000):
+        t0 = time.time()
+        main_text(t)
+        assert time.time() - t0 < 20, t[:20]
+    assert main_text('<p class="x>The story goes on</p><p>more of it</p>') == "The story goes on\nmore of it"
+    assert main_text('<div title="a > b"><p>one < two</p></div>') == "one < two"
