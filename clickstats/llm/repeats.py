@@ -7,7 +7,9 @@ id. Shuffling every window would move many times the corpus, so:
 1. Every window is given a key, the smallest hash of the short grams inside it.
    Equal windows have equal keys, and neighbouring windows mostly share theirs;
    a run of windows with one key is a zone. One shuffle of (key, document)
-   finds the keys that two documents share.
+   finds the keys that two documents share. Where a gram is so short that it
+   recurs by chance, prints of the units on both sides of it go along: equal
+   windows share the gram and at least one whole side.
 2. A task settles the equal zones it has of shared keys: whoever has not the
    smallest id is covered. The others send their piece of text to the bucket of
    their key. Equal pieces are settled there too, and a matcher (an automaton or
@@ -38,11 +40,14 @@ FLUSH = 1 << 20
 #: A zone is split after so many windows, whatever it repeats.
 ZONE_WINDOWS = 64
 #: A key is hot when so many documents of one task's flush, or of a bucket, have it. Hot and other keys are matched
-#: exactly alike; a hot key's windows are only routed one by one.
+#: exactly alike; a hot key's windows are only routed one by one. With prints, the documents must share a side too; without
+#: a common side it takes HOT_KEY times as many of a flush.
 HOT_IN_FLUSH = 64
 HOT_IN_BUCKET = 4096
+HOT_KEY = 16
 
 _ZONE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u8")])
+_PRINTED = np.dtype(_ZONE.descr + [("left", "<u2"), ("right", "<u2")])  # prints; 0: no window of the zone reaches so far
 _MARK = np.iinfo(np.int64).min  # instead of a document: this key is hot
 _HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4")])  # a window of a hot key
 _PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<u8"), ("start", "<u4"), ("windows", "<u2"), ("bytes", "<u4")])
@@ -53,11 +58,29 @@ _LENGTH_BITS = 8
 
 @dataclass(frozen=True)
 class Units:
-    """What windows consist of: ``size`` units each, keyed by grams of ``gram`` units; words are matched by their bytes."""
+    """What windows consist of: ``size`` units each, keyed by grams of ``gram`` units; words are matched by their bytes.
+
+    ``prints`` (bytes only, sides of 8 bytes at least): keys are shared only if a side of the gram is.
+    """
 
     words: bool
     size: int
     gram: int
+    prints: bool = False
+
+    @property
+    def span(self) -> int:
+        """Grams of a window."""
+        return self.size - self.gram + 1
+
+    @property
+    def side(self) -> int:
+        """Units of a side: wherever the gram lies in a window, so many fit on its left or on its right."""
+        return self.span // 2
+
+    @property
+    def record(self) -> np.dtype:
+        return _PRINTED if self.prints else _ZONE
 
 
 @dataclass
@@ -107,36 +130,83 @@ def _grams(step: _Step, u: Units) -> np.ndarray:
     return textops.mix(at[:n] * np.uint64(0x9E3779B97F4A7C15) ^ textops.mix(at[u.gram - 8:u.gram - 8 + n]))
 
 
-def zones(step: _Step, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, windows, key) of every zone; windows are numbered by their first unit."""
-    g = _grams(step, u)
-    span = u.size - u.gram + 1
-    if len(g) < span:
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64)
-    low, width = g, 1
+def _smallest(g: np.ndarray, span: int, places: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """The smallest hash of every ``span`` in a row, and how far into them it stands first."""
+    low, width, shifts = g, 1, []
     while 2 * width <= span:
-        low = np.minimum(low[:-width], low[width:])
+        shifts.append(width)
         width *= 2
-    if width < span:
-        low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
+    into = np.zeros(len(g), np.min_scalar_type(span)) if places else None
+    for shift in shifts + [span - width] * (width < span):
+        left, right = low[:-shift], low[shift:]
+        if places:
+            into = np.where(right < left, into[shift:] + into.dtype.type(shift), into[:-shift])
+        low = np.minimum(left, right)
+    return low, into
+
+
+def _runs(step: _Step, u: Units, places: bool = False) -> tuple:
+    """(smallest hash, first window, end) of the zones; with ``places`` of their parts whose windows have the gram first at one
+    place, and that place."""
+    g = _grams(step, u)
+    if len(g) < u.span:
+        z = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), z, z, z
+    low, into = _smallest(g, u.span, places)
     first = step.first
     ends = first[1:]
     whole = np.ones(len(low), bool)  # windows that lie in one text
     gone = _covered(len(step.hashes), np.minimum(np.maximum(first[:-1], ends - u.size + 1), ends), ends)
     whole &= ~gone[:len(low)]
+    place = np.arange(len(low)) + into if places else None
     new = whole.copy()
     new[1:] &= (low[1:] != low[:-1]) | ~whole[:-1]
+    if places:
+        new[1:] |= whole[1:] & (place[1:] != place[:-1])
     start = np.flatnonzero(new)
     stop = np.flatnonzero(whole & np.r_[new[1:] | ~whole[1:], True]) + 1
+    return low[start], start, stop, place[start] if places else None
+
+
+def zones(step: _Step, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, key) of every zone; windows are numbered by their first unit."""
+    key, start, stop, _ = _runs(step, u)
     count = stop - start
     if len(count) and count.max() > ZONE_WINDOWS:
         parts = -(-count // ZONE_WINDOWS)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         start = np.repeat(start, parts) + nth * ZONE_WINDOWS
         count = np.minimum(ZONE_WINDOWS, np.repeat(stop, parts) - start)
-    text = np.searchsorted(first, start, side="right") - 1
-    return text, start, count, low[start]
+        key = np.repeat(key, parts)
+    text = np.searchsorted(step.first, start, side="right") - 1
+    return text, start, count, key
+
+
+def _side_prints(content: np.ndarray, at: np.ndarray, needed: np.ndarray, side: int) -> np.ndarray:
+    """16-bit hashes, not 0, of the ``side`` bytes from ``at`` on; 0 where not ``needed``."""
+    out = np.zeros(len(at), np.uint16)
+    at = at[needed]
+    if len(at):
+        load = np.ndarray((len(content) - 7,), "<u8", content, 0, (1,))
+        h = np.zeros(len(at), np.uint64)
+        for k in range(-(-side // 8)):
+            h = textops.mix(h * np.uint64(0x9E3779B97F4A7C15) + load[at + min(8 * k, side - 8)])
+        out[needed] = np.maximum(h >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+    return out
+
+
+def zone_records(step: _Step, u: Units, docs: np.ndarray, rows: np.ndarray, buckets: int) -> np.ndarray:
+    """The records of ``_scan`` for some texts, in their order: one of each zone; with prints one of each place of a zone where
+    the gram stands first in some of its windows."""
+    key, start, stop, place = _runs(step, u, u.prints)
+    text = np.searchsorted(step.first, start, side="right") - 1
+    r = np.empty(len(start), u.record)
+    r["key"], r["doc"], r["row"] = blobs.short_keys(key, buckets), docs[text], rows[text]
+    if u.prints:
+        content = np.ascontiguousarray(step.content)
+        r["left"] = _side_prints(content, place - u.side, place - start >= u.side, u.side)
+        r["right"] = _side_prints(content, place + u.gram, place - (stop - 1) < u.span - u.side, u.side)
+    return r
 
 
 def _distinct(r: np.ndarray) -> np.ndarray:
@@ -145,22 +215,64 @@ def _distinct(r: np.ndarray) -> np.ndarray:
     return r[np.r_[True, r[1:] != r[:-1]]] if len(r) else r
 
 
+def _once(r: np.ndarray) -> np.ndarray:
+    """The records in their order, without the repeated ones (but for collisions of a 64-bit hash)."""
+    h = np.zeros(len(r), np.uint64)
+    for name in r.dtype.names:
+        h = textops.mix(h * np.uint64(0x9E3779B97F4A7C15) + r[name].astype(np.uint64))
+    order = np.argsort(h)
+    keep = np.ones(len(r), bool)
+    keep[order[1:]] = r[order[1:]] != r[order[:-1]]
+    return r[keep]
+
+
+def _plain(r: np.ndarray) -> np.ndarray:
+    """The records without prints."""
+    out = np.empty(len(r), _ZONE)
+    for name in _ZONE.names:
+        out[name] = r[name]
+    return out
+
+
+def _by_side(r: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each side (mask of the records that have it, hashes of key and side); without prints the keys alone."""
+    if "left" not in r.dtype.names:
+        return [(np.ones(len(r), bool), r["key"])]
+    key = textops.mix(r["key"])
+    return [(r[s] > 0, key + r[s].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for s in ("left", "right")]
+
+
+def _hot_keys(r: np.ndarray) -> np.ndarray:
+    """Keys that many documents of a flush have, with a common side if there are prints; in their order."""
+    groups = [(HOT_IN_FLUSH, *x) for x in _by_side(r)]
+    if len(groups) > 1:
+        groups.append((HOT_IN_FLUSH * HOT_KEY, np.ones(len(r), bool), r["key"]))
+    out = [np.zeros(0, np.uint64)]
+    for least, has, code in groups:
+        order = np.sort(code[has])
+        last = order[least - 1:]
+        some = np.flatnonzero(has & np.isin(code, np.unique(last[last == order[:len(last)]])))
+        d = _plain(r[some])
+        d["key"] = code[some]
+        value, n = np.unique(_distinct(d)["key"], return_counts=True)
+        out.append(r["key"][some][np.isin(code[some], value[n >= least])])
+    return np.unique(np.concatenate(out))
+
+
 def _scan(texts: DataFrame, u: Units) -> DataFrame:
-    """Packed (key, doc, row) of all zones. Keys that are hot in a flush bypass their bucket, which gets a mark instead."""
+    """Packed records of all zones. Keys that are hot in a flush bypass their bucket, which gets a mark instead."""
     buckets = blobs.bucket_count(texts.sparkSession)
 
     def flush(held, turn):
-        r = np.concatenate(held)
-        r = _distinct(r)
-        at = np.flatnonzero(np.r_[True, r["key"][1:] != r["key"][:-1]])
-        length = np.diff(np.r_[at, len(r)])
-        hot = np.repeat(length >= HOT_IN_FLUSH, length)
-        marks = np.empty(int((length >= HOT_IN_FLUSH).sum()), _ZONE)
-        marks["key"], marks["doc"], marks["row"] = r["key"][at[length >= HOT_IN_FLUSH]], _MARK, 0
+        r = _once(np.concatenate(held))
+        keys = _hot_keys(r)
+        hot = np.isin(r["key"], keys)
+        marks = np.zeros(len(keys), u.record)
+        marks["key"], marks["doc"] = keys, _MARK
         plain = r[~hot]
         plain = np.concatenate([marks, plain[np.argsort(plain["doc"], kind="stable")]])
         rows = blobs.pack(plain, blobs.bucket_of(plain["key"]))
-        past = r[hot]  # known to be shared: only passed on, evenly
+        past = _distinct(_plain(r[hot]))  # known to be shared: only passed on, evenly
         return rows + blobs.pack(past, buckets + (turn * 31 + np.arange(len(past)) // 4096).astype(np.int32) % buckets)
 
     def run(batches):
@@ -169,9 +281,7 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
             docs, rows = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
             data, off = textops.column_buffer(b.column(2))
             for i, z in textops.steps(off, STEP_BYTES):
-                text, _, _, key = zones(_units(data[off[i]:off[z]], off[i:z + 1] - off[i], u), u)
-                r = np.empty(len(key), _ZONE)
-                r["key"], r["doc"], r["row"] = blobs.short_keys(key, buckets), docs[i:z][text], rows[i:z][text]
+                r = zone_records(_units(data[off[i]:off[z]], off[i:z + 1] - off[i], u), u, docs[i:z], rows[i:z], buckets)
                 held.append(r)
                 size += len(r)
                 if size > FLUSH:
@@ -184,23 +294,37 @@ def _scan(texts: DataFrame, u: Units) -> DataFrame:
     return texts.mapInArrow(run, blobs.SCHEMA)
 
 
-def _shared_keys(packed: DataFrame) -> DataFrame:
+def _shared(r: np.ndarray) -> np.ndarray:
+    """Whether a document with another id has the record's key, and with prints one of its sides; marks count as one."""
+    out = np.zeros(len(r), bool)
+    for has, code in _by_side(r):
+        some = np.flatnonzero(has)
+        if not len(some):
+            continue
+        some = some[np.argsort(code[some])]
+        code, doc = code[some], r["doc"][some]
+        at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        two = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+        out[some[np.repeat(two, np.diff(np.r_[at, len(some)]))]] = True
+    return out
+
+
+def _shared_keys(packed: DataFrame, u: Units) -> DataFrame:
     """(doc, row, key) of the keys that more than one document has; the lowest bit of the key is set if it is hot."""
     buckets = blobs.bucket_count(packed.sparkSession)
 
     def run(batches):
         for bucket, held in blobs.each_bucket(batches):
-            r = np.concatenate([blobs.unpack(x, _ZONE) for x in held])
             if bucket < buckets:
-                r = r[np.lexsort((r["doc"], r["key"]))]
-                at = np.flatnonzero(np.r_[True, r["key"][1:] != r["key"][:-1]])
-                ends = np.r_[at[1:], len(r)]
-                marked = r["doc"][at] == _MARK
-                shared = marked | (r["doc"][at] != r["doc"][ends - 1])
-                hot = marked | (ends - at > HOT_IN_BUCKET)
-                r["key"] |= np.repeat(hot, ends - at).astype(np.uint64)
-                r = _distinct(r[np.repeat(shared, ends - at) & (r["doc"] != _MARK)])
+                r = np.concatenate([blobs.unpack(x, u.record) for x in held])
+                marked = np.isin(r["key"], r["key"][r["doc"] == _MARK])
+                marks = np.unique(r["key"][marked])
+                r = _distinct(_plain(r[(_shared(r) | marked) & (r["doc"] != _MARK)]))
+                at = np.flatnonzero(np.r_[True, r["key"][1:] != r["key"][:-1]]) if len(r) else np.zeros(0, np.int64)
+                n = np.diff(np.r_[at, len(r)])
+                r["key"] |= np.repeat((n > HOT_IN_BUCKET) | np.isin(r["key"][at], marks), n).astype(np.uint64)
             else:
+                r = np.concatenate([blobs.unpack(x, _ZONE) for x in held])
                 r["key"] |= np.uint64(1)
             for i in range(0, len(r), 1 << 16):
                 part = r[i:i + (1 << 16)]
@@ -469,7 +593,7 @@ def with_repeats(docs: DataFrame, u: Units, matcher, key: str = "doc_id", text:
         return (F.col("doc") == F.col(doc)) & (F.col("row") == F.col(row))
 
     # Sets, not lists: rows that repeat both id and text send the same keys and ranges.
-    keys = _shared_keys(packed).groupBy("k_doc", "k_row").agg(F.collect_set("k").alias("keys"))
+    keys = _shared_keys(packed, u).groupBy("k_doc", "k_row").agg(F.collect_set("k").alias("keys"))
     # Every join with the texts puts the same side with the same columns first, and every use of ``seen`` has both of its
     # lists, so Spark shuffles each once and reads it again.
     keyed = source.join(keys, own("k_doc", "k_row"), "left").select("doc", "row", "text", "keys", "key_in")

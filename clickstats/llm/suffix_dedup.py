@@ -19,7 +19,7 @@ from clickstats.llm import repeats, textops
 
 BYTES = 50
 GRAM = 12
-UNITS = repeats.Units(False, BYTES, GRAM)
+UNITS = repeats.Units(False, BYTES, GRAM, prints=True)
 #: Keys of 8 bytes that the shallow sort looks at.
 SHALLOW_KEYS = 2
 

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from types import SimpleNamespace
 
 import numpy as np
@@ -119,3 +120,35 @@ def test_many_texts_under_one_id_keep_their_own_ranges(spark, shared_id):
     by_bytes = remove_repeated_bytes(docs(spark, rows, ids)).where("n_removed > 0")
     got = by_bytes.groupBy("n_removed", "n_spans").agg(F.count("*").alias("n")).collect()
     assert {tuple(r) for r in got} == {(len(passage), 1, 2000)}
+
+
+def test_a_gram_shared_by_chance_sends_no_text(spark):
+    """Every text has the same 20 bytes again and again, but only two hold the same 50; what one text repeats is not shared."""
+    rng = np.random.default_rng(11)
+    rows = ["".join("the same twenty byte" + "".join(map(chr, rng.integers(97, 123, 40))) for _ in range(12)) for _ in range(60)]
+    rows[41] += rows[7][200:300]
+    rows[50] += rows[50]
+    source = docs(spark, rows).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("row"), "text")
+    u = suffix_dedup.UNITS
+    by_key, found = ({r["k_doc"] for r in repeats._shared_keys(repeats._scan(source, x), x).collect()} for x in (replace(u, prints=False), u))
+    assert len(by_key) == 60
+    assert {7, 41} <= found and len(found) < 10  # prints of 16 bits may agree by chance
+    got = remove_repeated_bytes(docs(spark, rows)).where("n_removed > 0").collect()
+    assert [(r["doc_id"], r["n_spans"]) for r in got] == [(41, 1)] and got[0]["n_removed"] >= 100
+
+
+def test_bytes_of_periodic_texts_equal_brute_force(spark, setting):
+    """A gram that recurs inside a window, or fills the text, has the same first place in equal windows."""
+    rng = np.random.default_rng(12)
+    rows = ["a" * 49, "a" * 50, "a" * 300, "b" + "a" * 60 + "b", "-" * 200 + "a" * 55]
+    for period in (1, 2, 3, 7, 12, 13, 30, 38, 39, 49, 50, 51):
+        unit = "".join(map(chr, rng.integers(97, 99, period)))
+        for k in range(3):
+            noise = "".join(map(chr, rng.integers(97, 123, int(rng.integers(0, 30)))))
+            rows.append(noise + (unit * 140)[int(rng.integers(0, period)):][:int(rng.integers(45, 140))] + noise[::-1])
+    ids = rng.permutation(len(rows)).tolist()
+    units = [t.encode() for t in rows]
+    masks = brute(units, ids, 50)
+    want = sorted((i, len(u), sum(m), sha(bytes(b for b, x in zip(u, m) if not x))) for i, u, m in zip(ids, units, masks))
+    got = remove_repeated_bytes(docs(spark, rows, ids)).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == want and sum(w[2] > 0 for w in want) > 15
